@@ -16,7 +16,11 @@ DASHES = ["-", "—", "ー", "―"]
 ALL_WIDE = "".join(chr(0xFF01 + i) for i in range(94))
 ALL_NARROW = "".join(chr(0x21 + i) for i in range(94))
 
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Patterns hold the white space themselves, so a cell is matched once.
+NUMBER = r"^[\s　]*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)[\s　]*$"
+WHOLE = r"^[\s　]*([+-]?[0-9]+)(?:\.0*)?[\s　]*$"
+PLACE = r"^[\s　]*([1-6])(?:\.0*)?[\s　]*$"
+COUNT = r"^[\s　]*([0-9]+)(?:\.0)?[\s　]*$"
 
 
 def strip(c: Column) -> Column:
@@ -38,16 +42,19 @@ def half_width_all(c: Column) -> Column:
     return F.translate(c, ALL_WIDE, ALL_NARROW)
 
 
+def taken(c: Column, pattern: str, kind: str) -> Column:
+    """First group of the pattern cast to ``kind``; no match is null."""
+    return F.regexp_extract(c.cast("string"), pattern, 1).try_cast(kind)
+
+
 def to_number(c: Column) -> Column:
     """Tolerant cast to DOUBLE; anything that is not a plain number is null."""
-    t = strip(c.cast("string"))
-    return F.when(t.rlike(NUMBER), t.try_cast("double"))
+    return taken(c, NUMBER, "double")
 
 
 def to_whole(c: Column) -> Column:
     """Tolerant cast to BIGINT that accepts ``1.0``; fractions become null."""
-    x = to_number(c)
-    return F.when(x == F.floor(x), x.try_cast("long"))
+    return taken(c, WHOLE, "long")
 
 
 def to_flag(c: Column) -> Column:
@@ -121,13 +128,11 @@ def iso_day(d: Column) -> Column:
 
 
 def first_int(c: Column) -> Column:
-    return F.nullif(F.regexp_extract(half_width(c.cast("string")), r"([0-9]+)", 1), F.lit("")).try_cast("long")
+    return taken(half_width(c.cast("string")), r"([0-9]+)", "long")
 
 
 def first_decimal(c: Column) -> Column:
-    return F.nullif(F.regexp_extract(half_width(c.cast("string")), r"([0-9]+(?:\.[0-9]+)?)", 1), F.lit("")).try_cast(
-        "double"
-    )
+    return taken(half_width(c.cast("string")), r"([0-9]+(?:\.[0-9]+)?)", "double")
 
 
 def percent(c: Column) -> Column:
@@ -136,19 +141,16 @@ def percent(c: Column) -> Column:
 
 def parse_count(c: Column) -> Column:
     """Digits only, optional ``.0``."""
-    t = drop_point_zero(half_width(c.cast("string")))
-    return F.when(t.rlike("^[0-9]+$"), t.try_cast("long"))
+    return taken(half_width(c.cast("string")), COUNT, "long")
 
 
 def parse_lane(c: Column) -> Column:
-    lane = parse_count(c)
-    return F.when(lane.between(1, 6), lane)
+    return taken(half_width(c.cast("string")), PLACE, "long")
 
 
 def payout_amount(c: Column) -> Column:
     """Strip currency signs and thousands commas; digits only, else null."""
-    t = strip(F.regexp_replace(half_width(c.cast("string")), r"[¥￥\\円,]", ""))
-    return F.when(t.rlike("^[0-9]+$"), t.try_cast("long"))
+    return taken(F.regexp_replace(half_width(c.cast("string")), r"[¥￥\\円,]", ""), r"^[\s　]*([0-9]+)[\s　]*$", "long")
 
 
 def race_number(c: Column) -> Column:

@@ -49,6 +49,10 @@ VENUES = (
 # Race-name patterns of the late stages of a meeting.
 STAGES = {"finals": "優勝戦", "semi": "準優勝戦", "semi-entry": "準優進出戦|準優進出"}
 
+# Fixed patterns: an optional lane digit and letter, then the number.
+TIME = r"(?i)^(?:(?:[0-9]+\s*)?[FL](?=\.)|[FL]\s*|)([0-9]+(?:\.[0-9]+)?|\.[0-9]+)$"
+LEGACY_TIME = r"(?i)^(?:[FL](?=\.)|)([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?)$"
+
 START_TIME_KINDS = ("base", "course", "race", "exhibition", "legacy")
 
 
@@ -62,20 +66,12 @@ def start_time(c: Column, kind: str = "base") -> Column:
     if kind not in START_TIME_KINDS:
         raise ValueError(f"unknown kind {kind!r}")
     t = tx.half_width(tx.strip(c.cast("string")), marks=kind == "course", letters=kind != "legacy")
+    number = F.regexp_extract(t, LEGACY_TIME if kind == "legacy" else TIME, 1)
+    sign = F.when(t.rlike(r"(?i)^[0-9]*\s*F"), -1.0).otherwise(1.0)
+    scale = F.when(number.rlike("^[0-9]{2}$"), 100.0).otherwise(1.0)
     if kind == "legacy":
-        coded = r"(?i)^([FL])\.([0-9]+)$"
-        sign = F.when(F.upper(F.substring(t, 1, 1)) == "F", -1.0).otherwise(1.0)
-        value = F.concat(F.lit("0."), F.regexp_extract(t, coded, 2)).try_cast("double")
-        return F.when(t.rlike(coded), sign * value).otherwise(tx.to_number(t))
-    core = F.regexp_replace(t, r"(?i)^[0-9]+\s*([FL](\.[0-9]+)?)$", "$1")
-    sign = F.when(core.rlike("(?i)^f"), -1.0).otherwise(1.0)
-    body = tx.strip(F.regexp_replace(core, r"(?i)^[fl]", ""))
-    body = (
-        F.when(body.rlike("^[0-9]{2}$"), F.concat(F.lit("0."), body))
-        .when(F.startswith(body, F.lit(".")), F.concat(F.lit("0"), body))
-        .otherwise(body)
-    )
-    value = F.when(body.rlike(r"^[0-9]+(\.[0-9]+)?$"), sign * body.try_cast("double"))
+        scale = F.lit(1.0)
+    value = sign * (number.try_cast("double") / scale)
     if kind == "exhibition":
         return F.when(t.rlike(r"(?i)^[0-9]+\s*L$"), F.lit(EXHIBITION_LATE)).otherwise(value)
     return value
@@ -87,23 +83,30 @@ def rank_token(c: Column) -> Column:
     return F.coalesce(F.replace(tx.strip(t), F.lit(" "), F.lit("")), F.lit(""))
 
 
+def _lookup(token: Column, values: dict) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), token)
+
+
+def _class_of_token() -> dict[str, str]:
+    named = {str(k): "finish" for k in range(1, 7)}
+    named.update({t: name for name, tokens in RANK_CLASSES.items() for t in tokens})
+    return named
+
+
 def rank_class(token: Column) -> Column:
-    out = F.when(token.rlike("^[1-6]$"), "finish")
-    for name, tokens in RANK_CLASSES.items():
-        out = out.when(token.isin(tokens), name)
-    return out.otherwise("unknown")
+    return F.coalesce(_lookup(token, _class_of_token()), F.lit("unknown"))
 
 
 def parse_rank(c: Column) -> Column:
     """Struct (rank_code, rank_num, rank_class, is_start, is_finish)."""
     token = rank_token(c)
-    cls = rank_class(token)
+    started = {t: cls in STARTED_CLASSES for t, cls in _class_of_token().items()}
     return F.struct(
         token.alias("rank_code"),
-        F.when(cls == "finish", token.try_cast("double")).alias("rank_num"),
-        cls.alias("rank_class"),
-        cls.isin(STARTED_CLASSES).alias("is_start"),
-        (cls == "finish").alias("is_finish"),
+        F.regexp_extract(token, "^([1-6])$", 1).try_cast("double").alias("rank_num"),
+        rank_class(token).alias("rank_class"),
+        F.coalesce(_lookup(token, started), F.lit(False)).alias("is_start"),
+        token.rlike("^[1-6]$").alias("is_finish"),
     )
 
 
@@ -115,8 +118,7 @@ def is_started(c: Column) -> Column:
 
 def finish_place(c: Column) -> Column:
     """Place 1..6 or null, after half-width conversion."""
-    place = tx.to_whole(tx.half_width(c.cast("string")))
-    return F.when(place.between(1, 6), place)
+    return tx.parse_lane(c)
 
 
 def clamp_place(c: Column) -> Column:

@@ -148,6 +148,12 @@ def _ranged(df: DataFrame, ranges: DataFrame, row_id: str, keys, day: str, start
     return left.join(sized_broadcast(right), cond)
 
 
+def range_matches(df, ranges, row_id, keys, day, value, start="effective_from", end="effective_to"):
+    """Every (row, value) match of the range join."""
+    found = _ranged(df, ranges, row_id, keys, day, start, end, value)
+    return found.select(row_id, F.col("__value").alias(value))
+
+
 def effective_candidates(df, ranges, row_id, keys, day, value, start="effective_from", end="effective_to"):
     """Per matched row: how many distinct values apply, and the earliest one."""
     found = _ranged(df, ranges, row_id, keys, day, start, end, value)

@@ -1,4 +1,4 @@
 """Importing this package registers every query."""
 
-from heatlane.plans.queries import groups, history  # noqa: F401
+from heatlane.plans.queries import groups, history, priors, texts  # noqa: F401
 from heatlane.plans.registry import ORACLES, QUERIES  # noqa: F401
