@@ -29,21 +29,27 @@ _CHUNK, _HALO, _SALT, _ALL = "__chunk", "__halo", "__salt", "__all"
 NULL_SALTS = 4096
 
 
+def _limits(split_rows) -> tuple[int, int]:
+    """(rows that make a key hot, rows per chunk); one number serves for both."""
+    return split_rows if isinstance(split_rows, tuple) else (split_rows, split_rows)
+
+
 def asc_order(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int = SPLIT_ROWS):
+def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int | tuple[int, int] = SPLIT_ROWS):
     """(DataFrame of hot keys or None, rows they hold). One counting job when
     nothing is hot, a second small one otherwise."""
+    most, _ = _limits(split_rows)
     live = df
     for k in keys:
         live = live.where(F.col(k).isNotNull())
     counts = live.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     top = counts.agg(F.max("__n").alias("top"), F.sum("__n").alias("total")).first()
-    if not top["total"] or top["top"] <= split_rows:
+    if not top["total"] or top["top"] <= most:
         return None, 0
-    limit = max(split_rows, top["total"] // MAX_HOT)
+    limit = max(most, top["total"] // MAX_HOT)
     rows = counts.where(F.col("__n") > limit).collect()  # at most MAX_HOT rows
     if not rows:
         return None, 0
@@ -75,13 +81,13 @@ def _by_heat(df, keys, hot):
     return df.join(listed, list(keys), "left_anti"), df.join(listed, list(keys), "left_semi")
 
 
-def chunked(df: DataFrame, keys, order: Sequence[str], rows: int, split_rows: int) -> DataFrame:
+def chunked(df: DataFrame, keys, order: Sequence[str], rows: int, split_rows) -> DataFrame:
     """Range-partition on (keys, order) and pin the partition number as a column.
 
     The partition number depends on sampled bounds, so the result is written
     once and read back: both users of the chunks then see the same ones.
     """
-    parts = max(2, math.ceil(rows / max(split_rows, 1)))
+    parts = max(2, math.ceil(rows / _limits(split_rows)[1]))
     ranged = df.repartitionByRange(parts, *[F.col(k) for k in keys], *asc_order(order))
     return durable(ranged.withColumn(_CHUNK, F.spark_partition_id().cast("long")), "chunks")
 
@@ -92,7 +98,7 @@ def over_previous(
     order: Sequence[str],
     n: int,
     builders: Mapping[str, Callable[[WindowSpec], Column]],
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int | tuple[int, int] = SPLIT_ROWS,
 ) -> DataFrame:
     """Add columns computed over the previous ``n`` rows of the same key.
 
@@ -138,7 +144,7 @@ def totals_before(
     keys: Sequence[str],
     order: Sequence[str],
     sums: Mapping[str, Column],
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int | tuple[int, int] = SPLIT_ROWS,
 ) -> DataFrame:
     """Add, per new column, the sum over all earlier rows of the key (0 at the
     first row). Hot keys: running sums inside a chunk plus the chunk's offset."""
@@ -170,7 +176,8 @@ def totals_before(
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, split_rows: int = SPLIT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,
+    split_rows: int | tuple[int, int] = SPLIT_ROWS,
 ) -> DataFrame:
     """``row_number`` that also works without a key on a large table."""
     out = totals_before(df, keys, order, {name: F.lit(1).cast("long")}, split_rows)
@@ -183,7 +190,7 @@ def quantile_exact(
     value: str,
     q: float,
     name: str,
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int | tuple[int, int] = SPLIT_ROWS,
 ) -> DataFrame:
     """Exact interpolated quantile per key, without holding a key in one buffer.
 

@@ -112,13 +112,12 @@ def residual_z(
 
 def lane_share_prior(payouts: DataFrame, venue: str, lanes: Sequence[str], name: str = "lane") -> DataFrame:
     """Share of each lane among the first three, per venue; unseen lanes get 0."""
-    three = F.array(*[F.col(c) for c in lanes])
     whole = F.lit(True)
     for c in lanes:
         whole = whole & F.col(c).between(1, 6)
     counts = payouts.where(whole).groupBy(venue).agg(
         *[
-            F.sum(F.size(F.filter(three, lambda x, k=k: x == k))).cast("long").alias(f"__{k}")
+            F.sum(sum((F.col(c) == k).cast("int") for c in lanes)).cast("long").alias(f"__{k}")
             for k in LANES
         ],
         (F.count(F.lit(1)) * len(lanes)).alias("__all"),

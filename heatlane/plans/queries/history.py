@@ -37,7 +37,7 @@ def history_rates(spark, sf):
 @query("history_rates_hot", HISTORY_SQL)
 def history_rates_hot(spark, sf):
     """The same numbers through the hot-key path, with a low limit."""
-    return _history(spark, sf, split_rows=16)
+    return _history(spark, sf, split_rows=(16, 400))
 
 
 @query(

@@ -459,7 +459,7 @@ def venue_signal_prior(spark, sf):
 @query("venue_signal_prior_hot", VENUE_SQL)
 def venue_signal_prior_hot(spark, sf):
     """Medians through the hot-key path."""
-    return rounded(signal_prior(spark, sf, split_rows=100), 6)
+    return rounded(signal_prior(spark, sf, split_rows=(100, 500)), 6)
 
 
 @query("signal_violations", f"{lens('payouts')}, {_venue_prior_sql()} select venue from vp where false")
@@ -507,7 +507,7 @@ def running_posterior(spark, sf):
 @query("running_posterior_hot", POSTERIOR_SQL)
 def running_posterior_hot(spark, sf):
     """Running totals through the hot-key path."""
-    return rounded(posterior(spark, sf, split_rows=10), 6)
+    return rounded(posterior(spark, sf, split_rows=(10, 700)), 6)
 
 
 def _share_sql():
