@@ -129,7 +129,11 @@ def extract_text_cells(spark, sf):
     return items.select("page_id", (F.col("seq") + 1).cast("long").alias("pos"), "text")
 
 
-@query("page_titles", None)
+TITLES = """select cast(page_id as varchar) as page_id, cast({n} as int) as seq, '{t}' as tag,
+ trim(regexp_replace(replace(regexp_extract(html, '<{t}>([^<]*)</{t}>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) as text from pages"""
+
+
+@query("page_titles", TITLES.format(n=0, t="title") + " union all " + TITLES.format(n=1, t="h1"))
 def page_titles(spark, sf):
     """Titles and headings of every page."""
     return markup.page_elements(table(spark, sf, "pages"), ["title", "h1"]).select("page_id", "seq", "tag", "text")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 VOID = {"img", "br", "hr", "meta", "link", "input", "col", "wbr", "source", "area", "base", "embed", "track"}
 SILENT = {"script", "style"}
+PAGES_PER_BATCH = 64
 PIECE = "struct<tag:string,classes:array<string>,ref:string,text:string>"
 CELL_FIELDS = {
     "page_id": "string", "table_no": "int", "table_classes": "array<string>", "section": "string", "body_no": "int",
@@ -194,11 +195,13 @@ def _table(rows: list[dict], fields: dict) -> pd.DataFrame:
 
 
 def _over_pages(pages: DataFrame, page_id: str, html: str, rows_of, fields: dict) -> DataFrame:
-    """Parse pages in parallel, page by page; one output batch per input batch."""
+    """Parse pages in parallel, page by page; small output batches."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield _table([r for k, h in zip(pdf["k"], pdf["h"]) for r in rows_of(k, h)], fields)
+            for i in range(0, len(pdf), PAGES_PER_BATCH):
+                part = pdf.iloc[i : i + PAGES_PER_BATCH]
+                yield _table([r for k, h in zip(part["k"], part["h"]) for r in rows_of(k, h)], fields)
 
     return pages.select(F.col(page_id).cast("string").alias("k"), F.col(html).alias("h")).mapInPandas(run, _ddl(fields))
 
