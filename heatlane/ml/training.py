@@ -15,6 +15,7 @@ from heatlane.functions.scoring import meta_features
 from heatlane.ml import metrics
 from heatlane.ml.preprocess import Prepared
 from heatlane.operators.ordered import SPLIT_ROWS, numbered
+from heatlane.session import durable
 
 # The search space.
 SPACE = {
@@ -77,7 +78,8 @@ def random_search(
     space: dict | None = None, parallelism: int = 2, part: str = "part",
 ) -> list[dict]:
     """One dict of parameters and hold-out metrics per trial; trials run side by
-    side as Spark jobs."""
+    side as Spark jobs over one written copy of the rows."""
+    df = durable(df, "search")
     fit_rows, valid = hold_out(df, part)
 
     def trial(item):
@@ -112,7 +114,9 @@ def stratified_folds(df: DataFrame, y: str, keys: Sequence[str], k: int = 5, see
 
 
 def out_of_fold(df: DataFrame, estimator, k: int = 5, name: str = "p_oof") -> DataFrame:
-    """Every row scored by the model that did not see its fold."""
+    """Every row scored by the model that did not see its fold. The folds are
+    written once, as each fit passes over them many times."""
+    df = durable(df, "folds")
     parts = []
     for i in range(k):
         model = estimator.fit(df.where(F.col("fold") != i))
@@ -186,10 +190,11 @@ def permutation_importance(
     All columns of a repeat share one shuffled copy and one aggregate.
     """
     spark = df.sparkSession
+    df = durable(df, "permute")
     base = metrics.binary_metrics(score(model, prepared.vector(df)), y, "proba").first()["logloss"]
     rows = []
     for n in range(repeats):
-        both = shuffled_copy(df, cols, keys, seed + n)
+        both = durable(shuffled_copy(df, cols, keys, seed + n), "permute")
         frames = []
         for c in cols:
             swapped = both.withColumn(c, F.col(f"alt_{c}"))

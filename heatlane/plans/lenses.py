@@ -98,7 +98,10 @@ def months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One race per order: 24 venues, twelve races per venue and day."""
-    o = table(spark, sf_dir, "orders")
+    return payouts_of(table(spark, sf_dir, "orders"))
+
+
+def payouts_of(o: DataFrame) -> DataFrame:
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     meeting = F.floor(k / 12)
     return o.select(
