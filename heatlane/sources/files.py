@@ -24,8 +24,7 @@ def header_groups(spark: SparkSession, folder: str, encoding: str = "UTF-8") ->
     header order must be read apart.
     """
     first = (
-        spark.read.option("header", False).option("encoding", encoding).option("wholetext", True)
-        .option("pathGlobFilter", "*.csv").text(folder)
+        spark.read.option("encoding", encoding).text(folder, wholetext=True, pathGlobFilter="*.csv")
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.replace(F.regexp_extract("value", r"^﻿?([^\r\n]*)", 1), F.lit('"'), F.lit("")).alias("header"),
@@ -43,8 +42,7 @@ def scan_daily_csv(spark: SparkSession, folder: str, wanted: Sequence[str] | Non
     frames = []
     for header, paths in header_groups(spark, folder):
         rows = (
-            spark.read.schema(_strings(header)).option("header", True).option("enforceSchema", True)
-            .option("nullValue", "\u0000").option("emptyValue", "").csv(paths)
+            spark.read.schema(_strings(header)).option("header", True).option("enforceSchema", True).csv(paths)
         )
         rows = rows.select("*", F.col("_metadata.file_name").alias(SOURCE))
         texts = {c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in header}
@@ -71,12 +69,11 @@ def utf8_files(spark: SparkSession, folder: str) -> DataFrame:
 def scan_csv_lenient(spark: SparkSession, folder: str) -> DataFrame:
     """UTF-8 files as they are, the others as Windows Japanese text.
 
-    Bad bytes decide per file. The decode runs in the CSV source with
-    ``spark.sql.legacy.javaCharsets``.
+    Bad bytes decide per file. The CSV source knows the Japanese charset only
+    with ``spark.sql.legacy.javaCharsets``, which is set when it is needed.
     """
     flags = {r["path"]: r["is_utf8"] for r in utf8_files(spark, folder).collect()}  # one short row per file
     frames = []
-    before = spark.conf.get("spark.sql.legacy.javaCharsets", "false")
     for good, encoding in ((True, "UTF-8"), (False, "windows-31j")):
         paths = sorted(p for p, ok in flags.items() if ok == good)
         if not paths:
@@ -85,9 +82,6 @@ def scan_csv_lenient(spark: SparkSession, folder: str) -> DataFrame:
             spark.conf.set("spark.sql.legacy.javaCharsets", "true")
         rows = spark.read.option("header", True).option("encoding", encoding).option("inferSchema", False).csv(paths)
         frames.append(rows.select("*", F.col("_metadata.file_name").alias(SOURCE)))
-    if "true" != before and any(not ok for ok in flags.values()):
-        # the charset check happens when the scan is planned, so plan it now
-        frames[-1].queryExecution if hasattr(frames[-1], "queryExecution") else None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
