@@ -25,7 +25,7 @@ COUNT = r"^[\s　]*([0-9]+)(?:\.0)?[\s　]*$"
 
 def strip(c: Column) -> Column:
     """Trim ASCII and full-width white space on both sides."""
-    return F.regexp_replace(c, r"^[\s　]+|[\s　]+$", "")
+    return F.btrim(c, F.lit(" \t\n\r\x0b\x0c" + WIDE_SPACE))
 
 
 def half_width(c: Column, marks: bool = True, letters: bool = False) -> Column:
@@ -68,7 +68,7 @@ def is_blank_mark(c: Column) -> Column:
 
 def pad_left(c: Column, width: int) -> Column:
     """Zero-pad without cutting longer text (``lpad`` alone would cut)."""
-    return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
+    return F.lpad(c, F.greatest(F.length(c), F.lit(width)), F.lit("0"))
 
 
 def drop_point_zero(c: Column) -> Column:
@@ -82,7 +82,7 @@ def blank_to_null(c: Column) -> Column:
 def venue_code(c: Column) -> Column:
     """``1`` / ``1.0`` -> ``01``; other text is kept."""
     t = drop_point_zero(blank_to_null(strip(c.cast("string"))))
-    return F.when(t.rlike("^[0-9]{1,2}$"), pad_left(t, 2)).otherwise(t)
+    return F.regexp_replace(t, "^([0-9])$", "0$1")
 
 
 def motor_key(c: Column) -> Column:
@@ -94,9 +94,7 @@ def motor_key(c: Column) -> Column:
 def section_key(c: Column) -> Column:
     """``20240928-3`` / ``20240928_3`` -> ``20240928_03``; other text is kept."""
     t = F.replace(strip(c.cast("string")), F.lit("-"), F.lit("_"))
-    pattern = r"^([0-9]{8})_([0-9]{1,2})$"
-    fixed = F.concat(F.regexp_extract(t, pattern, 1), F.lit("_"), pad_left(F.regexp_extract(t, pattern, 2), 2))
-    return F.when(t.rlike(pattern), fixed).when(t != "", t)
+    return F.nullif(F.regexp_replace(t, r"^([0-9]{8})_([0-9])$", "$1_0$2"), F.lit(""))
 
 
 def race_key(c: Column) -> Column:

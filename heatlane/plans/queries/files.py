@@ -130,7 +130,7 @@ def extract_text_cells(spark, sf):
 
 
 TITLES = """select cast(page_id as varchar) as page_id, cast({n} as int) as seq, '{t}' as tag,
- trim(regexp_replace(replace(regexp_extract(html, '<{t}>([^<]*)</{t}>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) as text from pages"""
+ trim(regexp_replace(regexp_replace(regexp_extract(html, '<{t}>([^<]*)</{t}>', 1), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) as text from pages"""
 
 
 @query("page_titles", TITLES.format(n=0, t="title") + " union all " + TITLES.format(n=1, t="h1"))

@@ -204,18 +204,20 @@ def race_titles(spark, sf):
     return table(spark, sf, "part").select("p_partkey", tk.race_title(title).alias("t")).select("p_partkey", "t.*")
 
 
+def meeting():
+    return F.floor(F.col("event_id") / 14).cast("long").alias("meeting")
+
+
 def history_strings_of(spark, sf):
-    """Entry and rank strings per (user, day), ordered by time."""
+    """Entry and rank strings per meeting of fourteen runs, in order."""
     e = table(spark, sf, "events")
     v = F.floor("value").cast("long")
     entry = F.when(v % 9 == 8, "-").otherwise((v % 6 + 1).cast("string"))
     rank = F.when(v % 7 == 6, "F").otherwise((F.floor(v / 6) % 6 + 1).cast("string"))
-    cell = F.struct("ts", "event_id", entry.alias("e"), rank.alias("r"))
-    # a player's day is short: the strings of one meeting
-    return e.groupBy("user_id", F.col("ts").cast("date").alias("day")).agg(
-        F.sort_array(F.collect_list(cell)).alias("cells")
-    ).select(
-        "user_id", "day",
+    cell = F.struct("event_id", entry.alias("e"), rank.alias("r"))
+    # ids are unique, so a meeting holds at most fourteen cells
+    return e.groupBy(meeting()).agg(F.sort_array(F.collect_list(cell)).alias("cells")).select(
+        "meeting",
         F.array_join(F.col("cells.e"), "").alias("entry_history"),
         F.array_join(F.col("cells.r"), "").alias("rank_history"),
         F.size("cells").cast("long").alias("race_ct_current"),
@@ -224,15 +226,15 @@ def history_strings_of(spark, sf):
 
 RP = "[" + ",".join(str(points.ranking_points(e, q)) for e in range(1, 7) for q in range(1, 7)) + "]"
 CP = "[" + ",".join(str(points.condition_points(e, q)) for e in range(1, 7) for q in range(1, 7)) + "]"
-STRINGS = """cells as (select user_id, cast(ts as date) as day, ts, event_id, cast(floor(value) as bigint) as v from events),
+STRINGS = """cells as (select cast(floor(event_id / 14) as bigint) as meeting, event_id, cast(floor(value) as bigint) as v from events),
 parts as (select *, case when v % 9 = 8 then '-' else cast(v % 6 + 1 as varchar) end as e,
   case when v % 7 = 6 then 'F' else cast(cast(floor(v / 6) as bigint) % 6 + 1 as varchar) end as r from cells)"""
 
 
 @query(
     "history_strings",
-    f"""with {STRINGS} select user_id, day, string_agg(e, '' order by ts, event_id) as entry_history,
- string_agg(r, '' order by ts, event_id) as rank_history, count(*) as race_ct_current from parts group by 1, 2""",
+    f"""with {STRINGS} select meeting, string_agg(e, '' order by event_id) as entry_history,
+ string_agg(r, '' order by event_id) as rank_history, count(*) as race_ct_current from parts group by 1""",
 )
 def history_strings(spark, sf):
     return history_strings_of(spark, sf)
@@ -241,15 +243,15 @@ def history_strings(spark, sf):
 def _points_sql(kind, table_sql):
     p = f"case when r = 'F' then 0 else {table_sql}[(cast(e as int) - 1) * 6 + cast(r as int)] end"
     s = f"coalesce(sum({p}) filter (where e <> '-'), 0)"
-    return f"""coalesce(string_agg(cast({p} as varchar), ' ' order by ts, event_id) filter (where e <> '-'), '') as {kind}_point,
+    return f"""coalesce(string_agg(cast({p} as varchar), ' ' order by event_id) filter (where e <> '-'), '') as {kind}_point,
  cast({s} as bigint) as {kind}_point_sum, {r(f'{s} / cast(count(*) as double)')} as {kind}_point_rate"""
 
 
 @query(
     "zip_points",
-    f"""with {STRINGS} select user_id, day, {_points_sql('ranking', RP).replace("cast(e as int)", "try_cast(e as int)").replace("cast(r as int)", "try_cast(r as int)")},
+    f"""with {STRINGS} select meeting, {_points_sql('ranking', RP).replace("cast(e as int)", "try_cast(e as int)").replace("cast(r as int)", "try_cast(r as int)")},
  {_points_sql('condition', CP).replace("cast(e as int)", "try_cast(e as int)").replace("cast(r as int)", "try_cast(r as int)")}
-from parts group by 1, 2""",
+from parts group by 1""",
 )
 def zip_points(spark, sf):
     out = points.add_history_points(history_strings_of(spark, sf))
@@ -258,25 +260,23 @@ def zip_points(spark, sf):
 
 @query(
     "start_lists",
-    f"""with c as (select user_id, cast(ts as date) as day, ts, event_id,
+    f"""with c as (select cast(floor(event_id / 14) as bigint) as meeting, event_id,
   case when cast(floor(value) as bigint) % 11 = 0 then 'L' else '.' || lpad(cast(cast(floor(value) as bigint) % 100 as varchar), 2, '0') end as x,
   case when cast(floor(value) as bigint) % 11 = 0 then cast(0 as double) else (cast(floor(value) as bigint) % 100) / cast(100 as double) end as n from events)
-select user_id, day, string_agg('0' || x, '' order by ts, event_id) as "ST_timing",
+select meeting, string_agg('0' || x, '' order by event_id) as "ST_timing",
  {r('cast(sum(cast(n as decimal(18,2))) as double) / cast(count(*) as double)', 6)} as "ST_mean_current",
- right(string_agg('0' || x, '' order by ts, event_id), 4) as "ST_previous_time",
- try_cast('0.' || right(right(string_agg('0' || x, '' order by ts, event_id), 4), 2) as double) as "ST_previous_time_num",
- least(count(*), 6) * cast(1.0 as double) as race_ct_clip6 from c group by 1, 2""",
+ right(string_agg('0' || x, '' order by event_id), 4) as "ST_previous_time",
+ try_cast('0.' || right(right(string_agg('0' || x, '' order by event_id), 4), 2) as double) as "ST_previous_time_num",
+ least(count(*), 6) * cast(1.0 as double) as race_ct_clip6 from c group by 1""",
 )
 def start_lists(spark, sf):
     e = table(spark, sf, "events")
     v = F.floor("value").cast("long")
     cell = F.when(v % 11 == 0, "L").otherwise(F.concat(F.lit("."), F.lpad((v % 100).cast("string"), 2, "0")))
-    days = e.groupBy("user_id", F.col("ts").cast("date").alias("day")).agg(
-        F.sort_array(F.collect_list(F.struct("ts", "event_id", cell.alias("x")))).alias("c")
-    )
-    days = days.select("user_id", "day", F.col("c.x").alias("cells"), F.size("c").alias("n"))
+    days = e.groupBy(meeting()).agg(F.sort_array(F.collect_list(F.struct("event_id", cell.alias("x")))).alias("c"))
+    days = days.select("meeting", F.col("c.x").alias("cells"), F.size("c").alias("n"))
     out = days.select(
-        "user_id", "day", points.start_texts(F.col("cells")).alias("ST_timing"),
+        "meeting", points.start_texts(F.col("cells")).alias("ST_timing"),
         rnd(points.start_mean_of(F.col("cells"), F.col("n")), 6).alias("ST_mean_current"),
         points.previous_start(F.col("cells")).alias("ST_previous_time"),
         points.runs_clipped(F.col("n")).alias("race_ct_clip6"),
