@@ -359,7 +359,7 @@ def before_rows(pages: DataFrame) -> DataFrame:
         tx.strip(F.right(F.col("text"), F.lit(4))).alias("ST_tenji"),
     )
     e = page_elements(pages, ["div", "p", "span"])
-    units = e.where(F.col("classes")[0].isin("weather1_bodyUnit")).groupBy("page_id").agg(
+    units = e.where(has("classes", "weather1_bodyUnit")).groupBy("page_id").agg(
         F.min(F.when(has("classes", "is-weather"), F.col("text"))).alias("weather"),
         *[
             F.min(F.when(has("classes", css), tx.first_decimal(F.col("text")))).alias(name)
@@ -380,7 +380,8 @@ def before_rows(pages: DataFrame) -> DataFrame:
 
 
 def result_rows(pages: DataFrame) -> DataFrame:
-    """Finishing order, entry course and start time per boat, plus remarks."""
+    """Finishing order, entry course and start time per boat, plus remarks.
+    A start time with a letter is left null here."""
     cells = page_cells(pages).where(F.col("section") == "tbody")
     race = F.regexp_extract("page_id", "([0-9]{12})", 1)
     order = cells.where(F.col("table_no") == 1).groupBy("page_id", "row_no").agg(
@@ -390,7 +391,7 @@ def result_rows(pages: DataFrame) -> DataFrame:
     starts = cells.where((F.col("table_no") == 2) & (F.col("cell_no") == 0)).select(
         "page_id", F.dense_rank().over(Window.partitionBy("page_id").orderBy("row_no")).cast("long").alias("entry"),
         F.substring("text", 1, 1).try_cast("long").alias("wakuban"),
-        tk.start_time(F.regexp_extract("text", r"^[0-9]\s*([FL]?\.?[0-9]*)", 1), "race").alias("ST"),
+        tx.to_number(F.concat(F.lit("0"), F.regexp_extract("text", r"^[0-9]\s*(\S+)", 1))).alias("ST"),
     )
 
     def note(table: int) -> Column:
