@@ -132,59 +132,56 @@ def pairs_within_group(df: DataFrame, group: str, member: str, cols: Sequence[st
 OPEN_START, OPEN_END = "1900-01-01", "2100-12-31"
 
 
-def _ranged(df: DataFrame, ranges: DataFrame, row_id: str, keys, day: str, start: str, end: str, value: str):
-    """Candidate ranges per row. The equality keys carry the join, the range is
-    its residual condition; generations per key are few."""
-    left = df.select(row_id, *keys, day)
-    right = ranges.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
-        F.coalesce(F.col(start), F.lit(OPEN_START).cast("date")).alias("__from"),
-        F.coalesce(F.col(end), F.lit(OPEN_END).cast("date")).alias("__to"),
-        F.col(value).alias("__value"),
+def pack_ranges(ranges: DataFrame, keys: Sequence[str], value: str, start: str, end: str) -> DataFrame:
+    """One row per key with its ranges as a sorted array. A key has one range per
+    generation, so the arrays are short."""
+    row = F.struct(
+        F.coalesce(F.col(start), F.lit(OPEN_START).cast("date")).alias("a"),
+        F.col(value).alias("v"),
+        F.coalesce(F.col(end), F.lit(OPEN_END).cast("date")).alias("z"),
     )
-    cond = (F.col(day) >= F.col("__from")) & (F.col(day) <= F.col("__to"))
-    for k in keys:
-        cond = cond & (F.col(k) == F.col(f"__k_{k}"))
-    return left.join(sized_broadcast(right), cond)
+    return ranges.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("__ranges"))
 
 
-def range_matches(df, ranges, row_id, keys, day, value, start="effective_from", end="effective_to"):
-    """Every (row, value) match of the range join."""
-    found = _ranged(df, ranges, row_id, keys, day, start, end, value)
-    return found.select(row_id, F.col("__value").alias(value))
+def with_candidates(df, ranges, keys, day, value, start="effective_from", end="effective_to") -> DataFrame:
+    """Every row with the values whose range holds its day, earliest start first.
 
+    The facts are not shuffled when the packed ranges are small enough to
+    broadcast, and never grouped by row.
+    """
+    packed = sized_broadcast(pack_ranges(ranges, keys, value, start, end))
+    joined = df.join(packed, list(keys), "left")
+    inside = F.filter("__ranges", lambda r: (r["a"] <= F.col(day)) & (r["z"] >= F.col(day)))
+    return joined.withColumn("__found", F.transform(inside, lambda r: r["v"])).drop("__ranges")
 
-def effective_candidates(df, ranges, row_id, keys, day, value, start="effective_from", end="effective_to"):
-    """Per matched row: how many distinct values apply, and the earliest one."""
-    found = _ranged(df, ranges, row_id, keys, day, start, end, value)
-    return found.groupBy(row_id).agg(
-        F.count_distinct("__value").alias("n_candidates"),
-        F.min_by("__value", F.struct("__from", "__value")).alias(value),
-    )
+
+def range_matches(df, ranges, row_id, keys, day, value, start="effective_from", end="effective_to"):
+    """Every (row, value) match of the range join."""
+    found = with_candidates(df, ranges, keys, day, value, start, end)
+    return found.select(row_id, F.explode("__found").alias(value))
 
 
-def effective_join_first(df, ranges, row_id, keys, day, value, start="effective_from", end="effective_to"):
+def effective_join_first(df, ranges, keys, day, value, start="effective_from", end="effective_to"):
     """Left join to the range that contains the day; earliest start wins."""
-    hits = effective_candidates(df, ranges, row_id, keys, day, value, start, end)
-    return df.join(hits.drop("n_candidates"), row_id, "left")
+    found = with_candidates(df, ranges, keys, day, value, start, end)
+    return found.withColumn(value, F.get("__found", F.lit(0))).drop("__found")
 
 
 def effective_join_strict(
-    df, ranges, row_id, keys, day, value, max_miss_pct: float | None = None,
-    start="effective_from", end="effective_to",
+    df, ranges, keys, day, value, max_miss_pct: float | None = None, start="effective_from", end="effective_to",
 ):
     """As above, but several different candidates for a row are an error, and so
-    is a share of unmatched rows above ``max_miss_pct``."""
-    hits = effective_candidates(df, ranges, row_id, keys, day, value, start, end)
-    clash = hits.where("n_candidates > 1").limit(10).collect()
-    if clash:
-        raise ValueError(f"several {value} apply to one row, e.g. {clash}")
-    out = df.join(hits.drop("n_candidates"), row_id, "left")
-    if max_miss_pct is not None:
-        miss = out.agg(F.avg(F.col(value).isNull().cast("int")) * 100).first()[0]
-        if miss is not None and miss > max_miss_pct:
-            raise ValueError(f"{miss:.3f}% of rows have no {value}, limit {max_miss_pct}%")
-    return out
+    is a share of unmatched rows above ``max_miss_pct``. One aggregate checks both."""
+    found = with_candidates(df, ranges, keys, day, value, start, end)
+    several = F.coalesce(F.size(F.array_distinct("__found")), F.lit(0)) > 1
+    none = F.coalesce(F.size("__found"), F.lit(0)) <= 0
+    seen = found.agg(F.max(several.cast("int")).alias("clash"), (F.avg(none.cast("int")) * 100).alias("miss")).first()
+    if seen["clash"]:
+        sample = found.where(several).select(*keys, day, "__found").limit(10).collect()
+        raise ValueError(f"several {value} apply to one row, e.g. {sample}")
+    if max_miss_pct is not None and seen["miss"] is not None and seen["miss"] > max_miss_pct:
+        raise ValueError(f"{seen['miss']:.3f}% of rows have no {value}, limit {max_miss_pct}%")
+    return found.withColumn(value, F.get("__found", F.lit(0))).drop("__found")
 
 
 def positional_join(a: DataFrame, b: DataFrame, group: str, pos: str) -> DataFrame:

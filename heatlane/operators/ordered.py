@@ -194,16 +194,17 @@ def quantile_exact(
 ) -> DataFrame:
     """Exact interpolated quantile per key, without holding a key in one buffer.
 
-    Collapses to distinct values, ranks them with :func:`totals_before`, and
-    keeps the one or two values around the position.
+    The table is read once, to counts per distinct value; those are written and
+    ranked with :func:`totals_before`, and the one or two values around the
+    position are kept.
     """
     if not keys:
         whole = df.withColumn(_ALL, F.lit(0))
         return quantile_exact(whole, [_ALL], value, q, name, split_rows).drop(_ALL)
     live = df.where(F.col(value).isNotNull())
-    weights = live.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
+    weights = durable(live.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c")), "weights")
     ranked = totals_before(weights, keys, [value], {"__before": F.col("__c")}, split_rows)
-    totals = live.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    totals = weights.groupBy(*keys).agg(F.sum("__c").alias("__n"))
     joined = ranked.join(totals, list(keys))
     pos = (F.col("__n") - 1) * F.lit(q)
     lo, hi = F.floor(pos), F.ceil(pos)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from heatlane.functions import tokens as tk
 from heatlane.operators.ordered import SPLIT_ROWS, quantile_exact
+from heatlane.session import durable
 
 LANES = list(range(1, 7))
 
@@ -79,15 +80,20 @@ def shrunk_mean_sd(
 ) -> DataFrame:
     """Cell mean and sample sd pulled towards the global mean and population sd.
 
-    Weight of the cell is n / (n + m); a cell of one row takes the global sd.
-    The two globals are scalars from one aggregate.
+    Weight of the cell is n / (n + m); a cell of one row takes the global sd. The
+    table is read once: the cells are written, and the globals follow from their
+    counts, means and squared deviations.
     """
     mu, sd, n = names
-    whole = df.agg(F.avg(value).alias("mu"), F.stddev_pop(value).alias("sd")).first()
-    mu_g, sd_g = F.lit(whole["mu"]).cast("double"), F.lit(whole["sd"]).cast("double")
     cells = df.groupBy(*keys).agg(
-        F.avg(value).alias("__m"), F.stddev_samp(value).alias("__s"), F.count(F.lit(1)).alias(n)
-    )
+        F.avg(value).alias("__m"), F.stddev_samp(value).alias("__s"), F.var_pop(value).alias("__v"),
+        F.count(value).alias("__k"), F.count(F.lit(1)).alias(n),
+    )
+    cells = durable(cells, "cells")
+    mean = cells.agg((F.sum(F.col("__m") * F.col("__k")) / F.sum("__k")).alias("mu")).first()["mu"]
+    mu_g = F.lit(mean).cast("double")
+    spread = F.sum(F.col("__k") * (F.col("__v") + F.pow(F.col("__m") - mu_g, 2))) / F.sum("__k")
+    sd_g = F.lit(cells.agg(F.sqrt(spread).alias("sd")).first()["sd"]).cast("double")
     w = F.col(n) / (F.col(n) + F.lit(float(m)))
     return cells.select(
         *keys,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heatlane.operators.ordered import SPLIT_ROWS, numbered, over_previous
+from heatlane.session import durable
 
 
 def history_rates(
@@ -144,8 +145,9 @@ def split_by_first_seen(
     appearance, ``valid`` for the rest; a group is never divided."""
     first = df.groupBy(group).agg(F.min(F.struct(*order)).alias("__at"))
     first = first.select(group, *[F.col(f"__at.{o}").alias(f"__o{i}") for i, o in enumerate(order)])
-    placed = numbered(first, [], [*[f"__o{i}" for i in range(len(order))], group], "__pos", split_rows)
+    first = durable(first, "races")
     cut = int(first.count() * ratio)
+    placed = numbered(first, [], [*[f"__o{i}" for i in range(len(order))], group], "__pos", split_rows)
     part = F.when(F.col("__pos") <= cut, "train").otherwise("valid")
     return df.join(placed.select(group, part.alias(name)), group)
 

@@ -16,6 +16,7 @@ from heatlane.functions import text as tx
 from heatlane.functions import tokens as tk
 from heatlane.functions.scoring import result_flags, top_flag
 from heatlane.operators import filters, joins, priors, quality, windows
+from heatlane.session import durable
 
 
 def cast_and_clean(raw: DataFrame) -> DataFrame:
@@ -142,12 +143,8 @@ def with_meeting(df: DataFrame, raceinfo: DataFrame) -> DataFrame:
 
 def with_motor_id(df: DataFrame, ranges: DataFrame, max_miss_pct: float | None = None) -> DataFrame:
     """Generation of the motor on the race day; two candidates are an error."""
-    keyed = df.withColumn("__row", F.concat_ws("_", "race_id", F.col("wakuban").cast("string")))
-    out = joins.effective_join_strict(
-        keyed, joins.align_keys(keyed, ranges, ["code", "motor_number"]), "__row", ["code", "motor_number"], "date",
-        "motor_id", max_miss_pct,
-    )
-    return out.drop("__row")
+    keys = ["code", "motor_number"]
+    return joins.effective_join_strict(df, joins.align_keys(df, ranges, keys), keys, "date", "motor_id", max_miss_pct)
 
 
 def with_motor_history(df: DataFrame, features: DataFrame, prefix: str = "motor_") -> DataFrame:
@@ -197,11 +194,9 @@ def raw_with_motor(raw: DataFrame, snapshots: DataFrame, ranges: DataFrame) -> D
     kept = filters.drop_void_groups(typed, "race_id")
     snap = joins.align_keys(kept, snapshots, ["date", "code", "motor_number"])
     out = joins.attach_first(kept, snap, ["date", "code", "motor_number"], ["snapshot_id"], "_snap")
-    out = out.withColumn("__row", F.concat_ws("_", "race_id", F.col("wakuban").cast("string")))
-    out = joins.effective_join_first(
-        out, joins.align_keys(out, ranges, ["code", "motor_number"]), "__row", ["code", "motor_number"], "date", "motor_id"
-    )
-    return out.drop("__row").withColumn("date_iso", tx.iso_day(F.col("date")))
+    keys = ["code", "motor_number"]
+    out = joins.effective_join_first(out, joins.align_keys(out, ranges, keys), keys, "date", "motor_id")
+    return out.withColumn("date_iso", tx.iso_day(F.col("date")))
 
 
 def section_features(with_motor: DataFrame) -> DataFrame:
@@ -213,6 +208,7 @@ def section_features(with_motor: DataFrame) -> DataFrame:
     rows = rows.withColumn("score", F.coalesce(points.finish_score(F.col("rank_num")), F.lit(0)))
     names = ["score", "ranking_point", "condition_point"]
     base = priors.section_totals(rows, ["motor_id", "section_id"], "date", "is_start", {n: n for n in names})
+    base = durable(base, "sections")
     order = ["section_start_dt", "section_end_dt", "section_id"]
     return windows.prev_features(
         base, "motor_id", order, [f"motor_{n}_rate" for n in names], ["motor_race_ct", *[f"motor_{n}_sum" for n in names]]

@@ -483,12 +483,11 @@ def sample_rows(spark, sf):
 
 @query(
     "venue_codes",
-    """select r_regionkey, n_nationkey, case when n_nationkey between 0 and 9 then '0' || cast(n_nationkey as varchar)
- else cast(n_nationkey as varchar) end as code from nation join region on n_regionkey = r_regionkey""",
+    """select c_custkey, n_regionkey, lpad(cast(c_nationkey as varchar), 2, '0') as code
+from customer join nation on c_nationkey = n_nationkey""",
 )
 def venue_codes(spark, sf):
-    n = table(spark, sf, "nation")
-    reg = table(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    j = n.join(F.broadcast(reg), "n_regionkey")  # five regions
-    code = tx.venue_code(F.concat(F.col("n_nationkey").cast("string"), F.lit(".0")))
-    return j.select(F.col("n_regionkey").alias("r_regionkey"), "n_nationkey", code.alias("code"))
+    n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    j = table(spark, sf, "customer").join(F.broadcast(n), "c_nationkey")  # 25 nations
+    code = tx.venue_code(F.concat(F.col("c_nationkey").cast("string"), F.lit(".0")))
+    return j.select("c_custkey", "n_regionkey", code.alias("code"))

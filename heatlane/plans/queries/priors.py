@@ -11,6 +11,7 @@ from heatlane.plans import lenses
 from heatlane.plans.lenses import table
 from heatlane.plans.queries.groups import ranked
 from heatlane.plans.registry import lens, query, r, rounded
+from heatlane.session import durable
 
 K6 = range(1, 7)
 
@@ -118,7 +119,8 @@ select race_id, lane, {r('e', 6)} as tenji_resid, {r('z', 6)} as tenji_z,
 )
 def residual_z(spark, sf):
     b = lenses.boats(spark, sf)
-    out = joins.lookup_join(b, tenji_prior(b).drop("n_tenji"), ["place", "lane", "season_q"])
+    prior = durable(tenji_prior(b).drop("n_tenji"), "prior")
+    out = joins.lookup_join(b, prior, ["place", "lane", "season_q"])
     out = priors.residual_z(out, "time_tenji", "tenji_mu", "tenji_sd")
     out = rounded(out.select("race_id", "lane", "tenji_resid", "tenji_z"), 6)
     return windows.rank_in_group(out, "race_id", "tenji_z", "tenji_z_rank")
@@ -181,7 +183,7 @@ select motor_number, section, lag(motor_race_ct) {_w1} as prev1_motor_race_ct,
  {r(f'lag(rate) {_w1} - case when count(rate) {_w3} = 3 then avg(rate) {_w3} end', 6)} as delta_1_3_motor_score_rate from x""",
 )
 def section_features(spark, sf):
-    base = section_base(spark, sf)
+    base = durable(section_base(spark, sf), "sections")
     out = windows.prev_features(
         base, "motor_number", ["section_start_dt", "section_end_dt", "section"], ["motor_score_rate"],
         ["motor_race_ct"], ns=(3,),
@@ -343,8 +345,9 @@ def transition_events(spark, sf):
 
 def ranges_of(spark, sf):
     s = lenses.snapshots(spark, sf)
+    s = durable(s, "snapshots")
     starts = ranges.generation_starts(s, ["user_id"], "day", "rate", gap=5)
-    return ranges.effective_ranges(s, starts, ["user_id"], "day", "rate")
+    return durable(ranges.effective_ranges(s, starts, ["user_id"], "day", "rate"), "ranges")
 
 
 @query(
@@ -364,7 +367,7 @@ def effective_ranges(spark, sf):
 )
 def effective_join_strict(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("date").alias("date"))
-    out = joins.effective_join_strict(e, ranges_of(spark, sf), "event_id", ["user_id"], "date", "idx_motor", 0.0)
+    out = joins.effective_join_strict(e, ranges_of(spark, sf), ["user_id"], "date", "idx_motor", 0.0)
     return out.select("event_id", "idx_motor")
 
 
@@ -383,7 +386,7 @@ def effective_join_first(spark, sf):
         "user_id", "idx_motor", F.when(F.col("idx_motor") != 1, F.col("effective_from")).alias("effective_from"),
         F.date_add("effective_to", 3).alias("effective_to"),
     )
-    out = joins.effective_join_first(e, wide, "event_id", ["user_id"], "date", "idx_motor")
+    out = joins.effective_join_first(e, wide, ["user_id"], "date", "idx_motor")
     return out.select("event_id", "idx_motor")
 
 
@@ -494,7 +497,7 @@ RACE = ["race_id", "venue", "day", "race_no"]
 
 def posterior(spark, sf, **kw):
     return regime.running_posterior(
-        lenses.payouts(spark, sf), signal_prior(spark, sf), "venue", "day", ["race_no", "race_id"], R3, "valid",
+        lenses.payouts(spark, sf), durable(signal_prior(spark, sf), "prior"), "venue", "day", ["race_no", "race_id"], R3, "valid",
         keep=RACE, **kw,
     )
 
@@ -528,7 +531,7 @@ select race_id, count(*) {w} as observed_races, {', '.join(post)}, {r(' + '.join
 @query("share_posterior", _share_sql())
 def share_posterior(spark, sf):
     p = lenses.payouts(spark, sf)
-    shares = priors.lane_share_prior(p.where("valid"), "venue", R3)
+    shares = durable(priors.lane_share_prior(p.where("valid"), "venue", R3), "prior")
     out = regime.share_posterior(p, shares, "venue", "day", ["race_no"], R3, "valid", keep=["race_id"])
     return rounded(out, 6)
 
@@ -546,7 +549,7 @@ select race_id, pop_valid_obs, payout_valid_obs, {r('bp', 6)} as base_popularity
 @query("market_shift", MARKET_SQL)
 def market_shift(spark, sf):
     out = regime.market_shift(
-        lenses.payouts(spark, sf), signal_prior(spark, sf), "venue", "day", ["race_no"], "popularity", "payout",
+        lenses.payouts(spark, sf), durable(signal_prior(spark, sf), "prior"), "venue", "day", ["race_no"], "popularity", "payout",
         keep=["race_id"],
     )
     return rounded(out, 6)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from heatlane.plans import lenses
 from heatlane.plans.queries.priors import POSTERIOR_SQL, signal_prior
 from heatlane.plans.registry import query, rounded
-from heatlane.session import scratch_root
+from heatlane.session import durable, scratch_root
 from heatlane.streaming import live, posterior
 
 
@@ -34,7 +34,7 @@ def posterior_stream(spark, sf):
     """Days the watermark has closed: all but the last one."""
     root = f"{scratch_root(spark)}/heatlane/stream-{uuid.uuid4().hex}"
     with posterior.rocksdb_state(spark):
-        out = posterior.posterior_stream(race_stream(spark, sf), signal_prior(spark, sf))
+        out = posterior.posterior_stream(race_stream(spark, sf), durable(signal_prior(spark, sf), "prior"))
         posterior.run_to_table(out, f"{root}/rows", f"{root}/state")
     return rounded(spark.read.schema(out.schema).parquet(f"{root}/rows"), 6)
 

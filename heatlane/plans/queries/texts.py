@@ -162,15 +162,15 @@ def half_width_names(spark, sf):
 
 @query(
     "venue_grade",
-    """select n_nationkey, case when n_nationkey = 0 then null else n_nationkey end as code,
- case n_nationkey % 4 when 0 then 'SG' when 1 then 'G1' when 2 then 'G3' else '一般' end as grade,
- case n_nationkey % 3 when 0 then 'ナイター' when 1 then 'モーニング' else '通常' end as part,
- case when n_nationkey % 4 = 3 then '一般' else case n_nationkey % 4 when 0 then 'SG' when 1 then 'G1' else 'G3' end end as series,
- cast(case when n_nationkey % 5 between 1 and 4 then 5 - n_nationkey % 5 else 0 end as bigint) as mark from nation""",
+    """select c_custkey, c_nationkey, case when c_nationkey = 0 then null else c_nationkey end as code,
+ case c_nationkey % 4 when 0 then 'SG' when 1 then 'G1' when 2 then 'G3' else '一般' end as grade,
+ case c_nationkey % 3 when 0 then 'ナイター' when 1 then 'モーニング' else '通常' end as part,
+ case when c_nationkey % 4 = 3 then '一般' else case c_nationkey % 4 when 0 then 'SG' when 1 then 'G1' else 'G3' end end as series,
+ cast(case when c_nationkey % 5 between 1 and 4 then 5 - c_nationkey % 5 else 0 end as bigint) as mark from customer""",
 )
 def venue_grade(spark, sf):
-    n = table(spark, sf, "nation")
-    k = F.col("n_nationkey")
+    n = table(spark, sf, "customer")
+    k = F.col("c_nationkey")
     venue = F.when(k > 0, F.element_at(F.array(*[F.lit(v) for v in tk.VENUES]), F.greatest(k, F.lit(1))))
     css = F.array(
         F.lit("table1_areaType"),
@@ -179,7 +179,7 @@ def venue_grade(spark, sf):
     )
     g = tk.grade(css)
     return n.select(
-        "n_nationkey", tk.venue_number(venue).alias("code"), g.alias("grade"), tk.day_part(css).alias("part"),
+        "c_custkey", "c_nationkey", tk.venue_number(venue).alias("code"), g.alias("grade"), tk.day_part(css).alias("part"),
         tk.series(css, F.array_contains(css, "is-ippan"), g).alias("series"),
         tk.prediction_mark((k % 5).cast("string")).alias("mark"),
     )

@@ -41,13 +41,13 @@ def test_effective_join(spark):
     facts = spark.createDataFrame([(1, "m", D(2024, 1, 31)), (2, "m", D(2024, 2, 1)), (3, "x", D(2024, 2, 1))], "r int, k string, d date")
     table = spark.createDataFrame(RANGES, RANGE_SCHEMA)
     for join in (joins.effective_join_first, joins.effective_join_strict):
-        assert rows(join(facts, table, "r", ["k"], "d", "id"), "r", "id") == [(1, 1), (2, 2), (3, None)]
+        assert rows(join(facts, table, ["k"], "d", "id"), "r", "id") == [(1, 1), (2, 2), (3, None)]
     with pytest.raises(ValueError, match="no id"):
-        joins.effective_join_strict(facts, table, "r", ["k"], "d", "id", max_miss_pct=10)
+        joins.effective_join_strict(facts, table, ["k"], "d", "id", max_miss_pct=10)
     clash = spark.createDataFrame([*RANGES, ("m", 3, D(2024, 1, 15), D(2024, 3, 1))], RANGE_SCHEMA)
     with pytest.raises(ValueError, match="several"):
-        joins.effective_join_strict(facts, clash, "r", ["k"], "d", "id")
-    assert rows(joins.effective_join_first(facts, clash, "r", ["k"], "d", "id"), "r", "id")[0] == (1, 1)
+        joins.effective_join_strict(facts, clash, ["k"], "d", "id")
+    assert rows(joins.effective_join_first(facts, clash, ["k"], "d", "id"), "r", "id")[0] == (1, 1)
 
 
 def test_lookup_contract(spark):
