@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from heatlane.plans import lenses
 from heatlane.plans.queries.priors import POSTERIOR_SQL, signal_prior
 from heatlane.plans.registry import query, rounded
-from heatlane.session import durable, scratch_root
+from heatlane.session import durable, scratch_path
 from heatlane.streaming import live, posterior
 
 
@@ -32,7 +30,7 @@ CLOSED_SQL = POSTERIOR_SQL.replace("select race_id, p.venue", "select * from (se
 @query("posterior_stream", CLOSED_SQL)
 def posterior_stream(spark, sf):
     """Days the watermark has closed: all but the last one."""
-    root = f"{scratch_root(spark)}/heatlane/stream-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "stream")
     with posterior.rocksdb_state(spark):
         out = posterior.posterior_stream(race_stream(spark, sf), durable(signal_prior(spark, sf), "prior"))
         posterior.run_to_table(out, f"{root}/rows", f"{root}/state")
@@ -45,7 +43,7 @@ def posterior_stream(spark, sf):
 )
 def daily_intake(spark, sf):
     """Incremental intake of table files; a second run takes nothing twice."""
-    root = f"{scratch_root(spark)}/heatlane/intake-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "intake")
     schema = lenses.table(spark, sf, "orders").schema
     for _ in range(2):
         q = live.daily_intake(
@@ -62,7 +60,7 @@ select o_orderkey, round(o_totalprice / mean, 6) + cast(0.0 as double) as p from
 )
 def score_stream(spark, sf):
     """Arriving rows joined to a static prior and scored in ``foreachBatch``."""
-    root = f"{scratch_root(spark)}/heatlane/score-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "score")
     prior = lenses.table(spark, sf, "orders").groupBy("o_custkey").agg(F.avg("o_totalprice").alias("mean"))
 
     def model(df):

@@ -47,6 +47,12 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path below the shared folder; one parent folder per application, so
+    that a finished job's scratch tables can be dropped together."""
+    return f"{scratch_root(spark)}/heatlane/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -54,6 +60,6 @@ def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     lost executor re-reads files instead of re-deriving different values.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/heatlane/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
