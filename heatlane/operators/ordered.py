@@ -220,3 +220,79 @@ def quantile_exact(
     return picked.select(
         *keys, (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("__f")).alias(name)
     )
+
+
+RADIX = 16
+
+
+def median_before(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str,
+    split_rows: int | tuple[int, int] = SPLIT_ROWS,
+) -> DataFrame:
+    """Add the exact median of the non-null values of all earlier rows of the key
+    (null when there are none).
+
+    Ordinary keys use Spark's percentile over the growing frame. For hot keys the
+    wanted order statistics descend the value ranks digit by digit: at each digit a
+    row asks how many earlier values fall under each of ``RADIX`` branches, which is
+    a :func:`totals_before` per branch node, and follows the branch that holds its
+    statistic. The number of rounds is the number of digits of the largest rank.
+    """
+    x = F.col(value).cast("double")
+    frame = (Window.unboundedPreceding, -1)
+    builders = {name: lambda w: F.percentile(x, F.lit(0.5)).over(w)}
+    hot, _ = hot_keys(df, keys, split_rows)
+    if hot is None:
+        return _plain(df, keys, order, frame, builders)
+    calm, heavy = _by_heat(df, keys, hot)
+    heavy = durable(heavy, "heavy")
+    ids = [*keys, *order]
+    live = heavy.where(F.col(value).isNotNull()).select(*ids, x.alias("__v"))
+    values = numbered(live.select(*keys, "__v").distinct(), keys, ["__v"], "__node", split_rows)
+    values = durable(values.withColumn("__node", F.col("__node") - 1), "values")
+    members = live.join(values, [*keys, "__v"]).select(*ids, F.col("__node").alias("__rank"))
+    members = durable(members, "members")
+    top = values.agg(F.max("__node")).first()[0] or 0
+    digits = 1
+    while RADIX**digits <= top:
+        digits += 1
+
+    seen = totals_before(heavy.select(*ids, value), keys, order, {"__n": x.isNotNull().cast("long")}, split_rows)
+    middle = (F.col("__n") - 1) / 2
+    wanted = F.array_distinct(F.array(F.floor(middle), F.ceil(middle)))
+    asks = seen.where("__n > 0").select(*ids, F.explode(wanted).alias("__q"))
+    asks = asks.select("*", F.col("__q").alias("__k"), F.lit(0).cast("long").alias("__node"))
+    for place in range(digits - 1, -1, -1):
+        width = RADIX**place
+        branch = F.floor(F.col("__rank") / F.lit(width))
+        counted = members.select(
+            *ids, F.lit(None).cast("long").alias("__q"), F.lit(None).cast("long").alias("__k"),
+            F.floor(F.col("__rank") / F.lit(width * RADIX)).alias("__node"), (branch % RADIX).alias("__d"),
+            F.lit(1).alias("__kind"),
+        )
+        asking = asks.select("*", F.lit(-1).cast("long").alias("__d"), F.lit(0).alias("__kind"))
+        sums = {f"__c{d}": (F.col("__d") == d).cast("long") for d in range(RADIX)}
+        # at one row the question comes first, so a row never counts itself
+        run = totals_before(
+            asking.unionByName(counted), [*keys, "__node"], [*order, "__kind", "__q"], sums, split_rows
+        ).where("__kind = 0")
+        upto = [F.col("__c0")]
+        for d in range(1, RADIX):
+            upto.append(upto[-1] + F.col(f"__c{d}"))
+        run = run.withColumn("__upto", F.array(*upto))
+        digit = F.size(F.filter("__upto", lambda c: c <= F.col("__k"))).cast("long")
+        run = run.withColumn("__d", digit)
+        skipped = F.when(F.col("__d") > 0, F.get("__upto", (F.col("__d") - 1).cast("int"))).otherwise(0)
+        asks = durable(
+            run.select(
+                *ids, "__q", (F.col("__k") - skipped).alias("__k"), (F.col("__node") * RADIX + F.col("__d")).alias("__node")
+            ),
+            "descent",
+        )
+    found = asks.join(values, [*keys, "__node"]).groupBy(*ids).agg(F.avg("__v").alias(name))
+    done = heavy.join(found, ids, "left").select(*df.columns, name)
+    return _plain(calm, keys, order, frame, builders).unionByName(done)

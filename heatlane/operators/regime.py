@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heatlane.operators.joins import lookup_join
-from heatlane.operators.ordered import SPLIT_ROWS, totals_before
+from heatlane.operators.ordered import SPLIT_ROWS, median_before, totals_before
 
 LANES = range(1, 7)
 KINDS = {"win": 1, "top2": 2, "top3": 3}
@@ -103,27 +103,24 @@ def share_posterior(
 
 def market_shift(
     races: DataFrame, prior: DataFrame, venue: str, day: str, order: Sequence[str],
-    popularity: str, payout: str, keep: Sequence[str] = (),
+    popularity: str, payout: str, keep: Sequence[str] = (), split_rows=SPLIT_ROWS,
 ) -> DataFrame:
     """Running medians of popularity and log payout before each race against the
-    venue's base, as ratio and exp difference.
-
-    A venue runs at most twelve races a day, which bounds the window.
-    """
+    venue's base, as ratio and exp difference; the base itself before the first
+    valid value. The order must be unique within a venue day."""
     base = prior.select(venue, "base_popularity_median", "base_log_payout_median")
     known = lookup_join(races, base, [venue]).where(F.col("base_popularity_median").isNotNull())
-    w = Window.partitionBy(venue, day).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    pop = F.col(popularity).cast("double")
-    pay = F.log1p(F.col(payout).cast("double"))
-    out = known.select(
-        *keep,
-        "base_popularity_median",
-        "base_log_payout_median",
-        F.count(pop).over(w).alias("pop_valid_obs"),
-        F.count(pay).over(w).alias("payout_valid_obs"),
-        F.coalesce(F.percentile(pop, F.lit(0.5)).over(w), F.col("base_popularity_median")).alias("post_popularity_median"),
-        F.coalesce(F.percentile(pay, F.lit(0.5)).over(w), F.col("base_log_payout_median")).alias("post_log_payout_median"),
-    )
+    known = known.withColumns({"__pop": F.col(popularity).cast("double"), "__pay": F.log1p(F.col(payout).cast("double"))})
+    keys = [venue, day]
+    counts = {"pop_valid_obs": "__pop", "payout_valid_obs": "__pay"}
+    out = totals_before(known, keys, order, {n: F.col(c).isNotNull().cast("long") for n, c in counts.items()}, split_rows)
+    out = median_before(out, keys, order, "__pop", "__pop_median", split_rows)
+    out = median_before(out, keys, order, "__pay", "__pay_median", split_rows)
+    out = out.select(
+        *keep, "base_popularity_median", "base_log_payout_median", *counts,
+        F.coalesce("__pop_median", "base_popularity_median").alias("post_popularity_median"),
+        F.coalesce("__pay_median", "base_log_payout_median").alias("post_log_payout_median"),
+    )
     ratio = F.col("post_popularity_median") / F.col("base_popularity_median")
     diff = F.exp(F.col("post_log_payout_median") - F.col("base_log_payout_median"))
     out = out.withColumn("regime_popularity_shift", ratio).withColumn("regime_payout_shift", diff)

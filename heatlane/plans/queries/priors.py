@@ -546,15 +546,25 @@ select race_id, pop_valid_obs, payout_valid_obs, {r('bp', 6)} as base_popularity
  {r('exp(pl - bl)', 6)} as regime_payout_shift, {r('abs(ln(pp / bp)) + abs(ln(exp(pl - bl)))', 6)} as strength_market from m"""
 
 
-@query("market_shift", MARKET_SQL)
-def market_shift(spark, sf):
+def shift(spark, sf, **kw):
     out = regime.market_shift(
-        lenses.payouts(spark, sf), durable(signal_prior(spark, sf), "prior"), "venue", "day", ["race_no"], "popularity", "payout",
-        keep=["race_id"],
+        lenses.payouts(spark, sf), durable(signal_prior(spark, sf), "prior"), "venue", "day", ["race_no"],
+        "popularity", "payout", keep=["race_id"], **kw,
     )
     return rounded(out, 6)
 
 
+@query("market_shift", MARKET_SQL)
+def market_shift(spark, sf):
+    return shift(spark, sf)
+
+
+@query("market_shift_hot", MARKET_SQL)
+def market_shift_hot(spark, sf):
+    """Medians by descent over the value ranks."""
+    return shift(spark, sf, split_rows=(10, 4000))
+
+
 SHARE = "round(price / sum(cast(price as decimal(18,2))) over (partition by race_id), 6)"
 
 

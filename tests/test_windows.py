@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import statistics
 
 import pytest
 from tests.conftest import rows
@@ -94,6 +95,23 @@ def test_quantile_hot_equals_builtin(skewed, q):
         assert rows(got, "k", "x") == rows(want, "k", "x")
 
 
+@pytest.mark.parametrize("null_share", [0, 3])
+def test_median_before_brute_force(skewed, null_share):
+    v = F.when(F.col("t") % 5 >= null_share, F.col("v") * 7 + F.col("t") % 3) if null_share else F.col("v") * 7 + F.col("t") % 3
+    df = skewed.where("k is not null").withColumn("v", v)
+    want = {}
+    for key in ("hot", "k1"):
+        seen = []
+        for r in df.where(F.col("k") == key).orderBy("t").collect():
+            want[key, r["t"]] = statistics.median(seen) if seen else None
+            if r["v"] is not None:
+                seen.append(r["v"])
+    for split in (ordered.SPLIT_ROWS, (100, 120)):
+        got = ordered.median_before(df, ["k"], ["t"], "v", "m", split)
+        assert got.count() == 900
+        assert {(r["k"], r["t"]): r["m"] for r in got.where("k in ('hot', 'k1')").collect()} == want
+
+
 def test_hot_partitions_stay_small(spark, skewed):
     pieces = ordered.chunked(skewed.where("k = 'hot'"), ["k"], ["t"], 600, 50)
     largest = pieces.groupBy("__chunk").count().agg(F.max("count")).first()[0]
