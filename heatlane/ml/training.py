@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from heatlane.functions.scoring import meta_features
@@ -158,8 +158,6 @@ def importances(model, names: Sequence[str], spark) -> DataFrame:
     """(feature, importance, rank), zeros left out. One row per model input."""
     rows = [(n, float(v)) for n, v in zip(names, model.featureImportances.toArray())]
     out = spark.createDataFrame(rows, "feature string, importance double").where("importance > 0")
-    from pyspark.sql import Window
-
     return out.withColumn("rank", F.rank().over(Window.orderBy(F.col("importance").desc())).cast("long"))
 
 

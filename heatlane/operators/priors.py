@@ -170,9 +170,14 @@ def venue_signal_prior(
     )
     # distinct races apart: one row per race first, then a count
     races = rows.where("__v").select(venue, *race).distinct().groupBy(venue).agg(F.count(F.lit(1)).alias("n_races"))
-    pops = quantile_exact(rows, [venue], "__pop", 0.5, "base_popularity_median", split_rows)
-    pays = quantile_exact(rows, [venue], "__pay", 0.5, "base_log_payout_median", split_rows)
-    out = races.join(counts, venue).join(pops, venue, "left").join(pays, venue, "left")
+    cells = F.array(*[F.struct(F.lit(c).alias("__of"), F.col(c).alias("__x")) for c in ("__pop", "__pay")])
+    long = rows.select(venue, F.explode(cells).alias("c")).select(venue, "c.*")
+    both = quantile_exact(long, [venue, "__of"], "__x", 0.5, "__median", split_rows)
+    medians = both.groupBy(venue).agg(
+        F.max(F.when(F.col("__of") == "__pop", F.col("__median"))).alias("base_popularity_median"),
+        F.max(F.when(F.col("__of") == "__pay", F.col("__median"))).alias("base_log_payout_median"),
+    )
+    out = races.join(counts, venue).join(medians, venue, "left")
     n = F.col("n_races").cast("double")
     a = F.lit(float(alpha))
     cols = {}
@@ -187,7 +192,7 @@ def venue_signal_prior(
     )
 
 
-def signal_violations(prior: DataFrame, venue: str, tol: float = 1e-9) -> DataFrame:
+def signal_violations(prior: DataFrame, tol: float = 1e-9) -> DataFrame:
     """Venues whose shares do not add up to 1: must be empty."""
     bad = F.lit(False)
     for kind in ("win", "top2", "top3"):

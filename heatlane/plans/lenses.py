@@ -8,7 +8,7 @@ All rows of the base tables take part.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 FULL_WIDTH = "１２３４５６"
@@ -55,8 +55,6 @@ def boats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("status"),
     )
     b = lanes(spark, sf_dir).join(o, "race_id")
-    from pyspark.sql import Window
-
     place = F.rank().over(Window.partitionBy("race_id").orderBy(F.col("price").desc(), "lane")).cast("long")
     m = F.month("date")
     season = (

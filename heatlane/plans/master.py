@@ -17,6 +17,7 @@ from heatlane.functions import tokens as tk
 from heatlane.functions.scoring import result_flags, top_flag
 from heatlane.operators import filters, joins, priors, quality, windows
 from heatlane.session import durable
+from heatlane.streaming.live import guard_races
 
 
 def cast_and_clean(raw: DataFrame) -> DataFrame:
@@ -106,7 +107,7 @@ def with_priors(df: DataFrame, tenji: DataFrame, course: DataFrame, trick: DataF
     return out
 
 
-def history_table(raw: DataFrame, start, end, warmup: int = 180, n: int = 10) -> DataFrame:
+def history_table(raw: DataFrame, start, end, warmup: int = 180) -> DataFrame:
     """All rows from the warm-up on, before any exclusion, with history flags."""
     have = cast_and_clean(raw)
     have = filters.filter_with_warmup(have, "date", start, end, warmup)
@@ -222,8 +223,6 @@ def prepare_live(live: DataFrame, training_schema, tenji, course, trick, hist: D
     """Live rows through the training features: conform to the training raw
     table, guard, priors in live mode, history with the live rows as targets,
     neutral meeting values when the card is not there."""
-    from heatlane.streaming.live import guard_races
-
     rows = cast_and_clean(filters.conform(live, training_schema))
     rows = filters.fill_from(rows, "entry", "entry_tenji").withColumn("season_q", tk.season(F.col("date"), "autumn"))
     go, stopped = guard_races(rows, "race_id", "ST_tenji")

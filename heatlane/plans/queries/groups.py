@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heatlane.functions import text as tx
 from heatlane.functions import tokens as tk
@@ -10,6 +11,8 @@ from heatlane.operators import filters, quality, sets
 from heatlane.plans import lenses
 from heatlane.plans.lenses import table
 from heatlane.plans.registry import lens, query, r, rounded
+from heatlane.sources import files
+from heatlane.streaming.live import guard_races
 
 BR = lens("boats", "ranks")
 
@@ -125,8 +128,6 @@ g as (select race_id, bool_or(x is null) as stop from t group by 1)
 select t.race_id, lane, cast(stop as int) as stopped from t join g on t.race_id = g.race_id""",
 )
 def live_guard(spark, sf):
-    from heatlane.streaming.live import guard_races
-
     b = lenses.lanes(spark, sf).withColumn("x", F.when(F.col("part") % 31 != 0, F.col("time_tenji")))
     go, stop = guard_races(b, "race_id", "x")
     both = go.withColumn("stopped", F.lit(0)).unionByName(stop.withColumn("stopped", F.lit(1)))
@@ -365,8 +366,6 @@ def union_conform(spark, sf):
         F.col("c_name").alias("extra"),
     )
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("balance"))
-    from pyspark.sql import types as T
-
     target = T.StructType(
         [
             T.StructField("id", T.LongType()), T.StructField("balance", T.DoubleType()),
@@ -476,9 +475,7 @@ def required_keys(spark, sf):
 )
 def sample_rows(spark, sf):
     """Fixed-seed sample of 100 rows: the sampling operator."""
-    from heatlane.sources.files import sample_rows as sample
-
-    return sample(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], 100, 42)
+    return files.sample_rows(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], 100, 42)
 
 
 @query(

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from heatlane.functions import points
+from heatlane.functions import text as tx
 from heatlane.functions import tokens as tk
-from heatlane.operators import joins, priors, ranges, regime, tickets, windows
+from heatlane.operators import joins, priors, quality, ranges, regime, tickets, windows
 from heatlane.plans import lenses
 from heatlane.plans.lenses import table
 from heatlane.plans.queries.groups import ranked
@@ -299,9 +300,7 @@ def named_join(spark, sf):
     name = F.concat(F.lit("　NATION_"), F.col("s_nationkey").cast("string"), F.lit("　"))
     s = table(spark, sf, "supplier").select("s_suppkey", name.alias("n_name"))
     n = table(spark, sf, "nation").select("n_name", "n_regionkey")
-    from heatlane.functions.text import person_name
-
-    return joins.named_join(s, n, "n_name", person_name).select("s_suppkey", "n_regionkey")
+    return joins.named_join(s, n, "n_name", tx.person_name).select("s_suppkey", "n_regionkey")
 
 
 @query(
@@ -398,12 +397,10 @@ select event_id, count(distinct idx_motor) as n_candidates, min(idx_motor) as fi
  group by 1 having count(distinct idx_motor) > 1""",
 )
 def candidate_clashes(spark, sf):
-    from heatlane.operators.quality import candidate_clashes as clashes
-
     e = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("date").alias("date"))
     wide = ranges_of(spark, sf).withColumn("effective_to", F.date_add("effective_to", 3))
     found = joins.range_matches(e, wide, "event_id", ["user_id"], "date", "idx_motor")
-    return clashes(found, "event_id", "idx_motor")
+    return quality.candidate_clashes(found, "event_id", "idx_motor")
 
 
 R3 = ["r1", "r2", "r3"]
@@ -467,7 +464,7 @@ def venue_signal_prior_hot(spark, sf):
 
 @query("signal_violations", f"{lens('payouts')}, {_venue_prior_sql()} select venue from vp where false")
 def signal_violations(spark, sf):
-    return priors.signal_violations(signal_prior(spark, sf), "venue").select("venue")
+    return priors.signal_violations(signal_prior(spark, sf)).select("venue")
 
 
 _before = "over (partition by p.venue, day order by race_no, race_id rows between unbounded preceding and 1 preceding)"

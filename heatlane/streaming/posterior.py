@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from heatlane.operators.regime import KINDS, LANES
+from heatlane.operators.regime import KINDS, LANES, valid_result
 from heatlane.session import STATE_STORE
 
 KEYS = ["venue", "day"]
@@ -92,8 +92,6 @@ def posterior_stream(
     ``races``: streaming (race_id, venue, day, race_no, ts, r1..r3, valid);
     ``ts`` lies on the race's day. ``prior``: static, one row per venue.
     """
-    from heatlane.operators.regime import valid_result
-
     day_end = (F.unix_date(F.to_date("ts")) + 1).cast("long") * 86_400_000
     ready = (
         races.withWatermark("ts", delay)
