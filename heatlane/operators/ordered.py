@@ -10,7 +10,8 @@ chunks before it - a few trailing rows, or a running total - is carried over.
 The order must be total; add a unique tie-break column.
 
 At most ``MAX_HOT`` keys can exceed the threshold because it is raised to
-rows / MAX_HOT when needed; that is the size bound of everything broadcast here.
+rows / MAX_HOT when needed, and there are at most ``MAX_CHUNKS`` chunks (larger
+ones beyond that); these two bound everything that is collected or broadcast here.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from heatlane.session import durable
 
 SPLIT_ROWS = 4_000_000
 MAX_HOT = 2_000
+MAX_CHUNKS = 20_000
 _CHUNK, _HALO, _SALT, _ALL = "__chunk", "__halo", "__salt", "__all"
 NULL_SALTS = 4096
 
@@ -87,7 +89,7 @@ def chunked(df: DataFrame, keys, order: Sequence[str], rows: int, split_rows) ->
     The partition number depends on sampled bounds, so the result is written
     once and read back: both users of the chunks then see the same ones.
     """
-    parts = max(2, math.ceil(rows / _limits(split_rows)[1]))
+    parts = min(MAX_CHUNKS, max(2, math.ceil(rows / _limits(split_rows)[1])))
     ranged = df.repartitionByRange(parts, *[F.col(k) for k in keys], *asc_order(order))
     return durable(ranged.withColumn(_CHUNK, F.spark_partition_id().cast("long")), "chunks")
 
