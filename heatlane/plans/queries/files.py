@@ -129,8 +129,9 @@ def extract_text_cells(spark, sf):
     return items.select("page_id", (F.col("seq") + 1).cast("long").alias("pos"), "text")
 
 
+# The SQL has no entity decoder, so it spells out the entities of HTML text.
 TITLES = """select cast(page_id as varchar) as page_id, cast({n} as int) as seq, '{t}' as tag,
- trim(regexp_replace(regexp_replace(regexp_extract(html, '<{t}>([^<]*)</{t}>', 1), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) as text from pages"""
+ trim(regexp_replace(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<{t}>([^<]*)</{t}>', 1), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&#39;', ''''), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) as text from pages"""
 
 
 @query("page_titles", TITLES.format(n=0, t="title") + " union all " + TITLES.format(n=1, t="h1"))
