@@ -97,3 +97,70 @@ judged as (
 QUALITY = f"""with {quality("documents")}
 select doc_id, n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols, n_dup_lines, n_repeat_words,
        lost_chars, base_failed, kept from judged"""
+
+
+def _secrets() -> str:
+    from heatlane.llm.secret_scan import RULES
+
+    quoted = lambda p: p.replace("'", "''")
+    parts = ",\n".join(
+        f"""found_{k} as (
+  select doc_id, unnest(gaps) as gap, unnest(found) as hit, unnest(vals) as val, unnest(generate_series(1, len(gaps))) as i
+  from (select doc_id, string_split_regex(body, '{quoted(r.pattern)}') as gaps,
+               regexp_extract_all(body, '{quoted(r.pattern)}', 0) as found,
+               regexp_extract_all(body, '{quoted(r.pattern)}', {r.group}) as vals from given
+        where regexp_matches(body, '{quoted(r.pattern)}'))),
+spans_{k} as (
+  select doc_id, {k} as k, '{r.kind}' as kind, val,
+         sum(length(gap)) over w + coalesce(sum(length(hit)) over (w rows between unbounded preceding and 1 preceding), 0) as start,
+         length(hit) as size
+  from found_{k} window w as (partition by doc_id order by i))"""
+        for k, r in enumerate(RULES)
+    )
+    union = " union all ".join(
+        f"select doc_id, k, kind, start::bigint as start, (start + size)::bigint as stop from spans_{k} where length(val) >= {r.least}"
+        for k, r in enumerate(RULES)
+    )
+    return f"""with given as (select doc_id, coalesce(text, '') as body from documents),
+{parts},
+spans as ({union}),
+told as (
+  select doc_id, count(*) filter (where k = 0) as n_assign, count(*) filter (where k = 1) as n_access,
+         count(*) filter (where k = 2) as n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' order by start, k) filter (where k < 3) as base,
+         string_agg(kind || ':' || start || ':' || stop, ',' order by start, k) as spans from spans group by doc_id)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from given left join told using (doc_id)"""
+
+
+def _licenses() -> str:
+    from heatlane.llm.license_scan import TEMPLATES
+
+    quoted = lambda t: t.replace("'", "''")
+    rows = ", ".join(f"('{name}', {i}, '{quoted(t)}')" for i, (name, t) in enumerate(TEMPLATES))
+    other = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    words = lambda c: f"list_filter(string_split_regex({LOWER.format(c)}, '{other}'), lambda x: x <> '')"
+    grams = lambda c: f"list_distinct(list_transform(generate_series(1, len({c}) - 1), lambda i: {c}[i] || ' ' || {c}[i + 1]))"
+    return f"""with templates as (
+  select name, no, ws, {grams("ws")} as grams from (select name, no, {words("t")} as ws from (values {rows}) v(name, no, t))),
+given as (select doc_id, coalesce(text, '') as body from documents),
+blocks as (select doc_id, body, string_split_regex(body, '\\n[\\x20\\x09-\\x0D]*\\n') as bs from given),
+units as (
+  select doc_id, 'line' as unit, unnest(string_split(body, chr(10))) as part,
+         unnest(generate_series(0, len(string_split(body, chr(10))) - 1)) as pos from given
+  union all
+  select * from (select doc_id, 'paragraph', unnest(bs) as part, unnest(generate_series(0, len(bs) - 1)) from blocks)
+  where contains(part, chr(10))
+  union all select doc_id, 'document', body, 0 from blocks where len(bs) > 1),
+sized as (select *, {grams("ws")} as grams from (select *, {words("part")} as ws from units) where len(ws) between 2 and 3000),
+matches as (
+  select distinct doc_id, unit, pos, name, 2.0::double * len(list_intersect(s.grams, t.grams)) / (len(s.grams) + len(t.grams)) as dice
+  from sized s join templates t on len(s.grams) * 8 <= len(t.grams) * 12 and len(t.grams) * 8 <= len(s.grams) * 12
+  where len(list_intersect(s.grams, t.grams)) * 20 >= (len(s.grams) + len(t.grams)) * 8)
+select g.doc_id, count(name) as n_matches, coalesce(string_agg(distinct name, ',' order by name), '') as licenses,
+       first(name order by dice desc, name) as best, max(dice) as dice
+from given g left join matches m using (doc_id) group by g.doc_id"""
+
+
+SECRETS, LICENSES = _secrets(), _licenses()

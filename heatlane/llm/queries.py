@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heatlane.llm import line_dedup, oracles, quality
+from heatlane.llm import license_scan, line_dedup, oracles, quality, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,3 +41,29 @@ def op7(spark, sf):
 def op8(spark, sf):
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return quality.judge(_documents(spark, sf)).select("row.doc_id", *counts, "lost_chars", "base_failed", "kept")
+
+
+@query("op1_secret_scan", oracles.SECRETS)
+def op1(spark, sf):
+    found = secret_scan.scan(_documents(spark, sf)).select("row.doc_id", "spans")
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] < len(secret_scan.BASE))
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{r.kind}") for k, r in enumerate(secret_scan.BASE)],
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"), secret_scan.span_text(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op10_license_scan", oracles.LICENSES)
+def op10(spark, sf):
+    found = license_scan.find_licenses(_documents(spark, sf)).select("row.doc_id", F.array_distinct("matches").alias("matches"))
+    best = F.array_sort(
+        "matches",
+        lambda a, b: F.when(a["dice"] > b["dice"], -1).when(a["dice"] < b["dice"], 1)
+        .when(a["license"] < b["license"], -1).when(a["license"] > b["license"], 1).otherwise(0),
+    )
+    return found.select(
+        "doc_id", F.size("matches").cast("long").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"]))), ",").alias("licenses"),
+        F.get(best, F.lit(0))["license"].alias("best"), F.get(best, F.lit(0))["dice"].alias("dice"),
+    )
