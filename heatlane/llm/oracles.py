@@ -164,3 +164,28 @@ from given g left join matches m using (doc_id) group by g.doc_id"""
 
 
 SECRETS, LICENSES = _secrets(), _licenses()
+
+
+def mixed(table: str) -> str:
+    """CTEs that end in ``copies``: all columns, copy and rate."""
+    return f"""
+sizes as (select source, sum(length(coalesce(text, '')))::double as size from {table} group by source),
+weighed as (select *, case when size > 0 then pow(size, 0.7) else 0 end as weight from sizes),
+rates as (
+  select source, case when size > 0 then weight / (select sum(weight) from weighed) * (select sum(size) from weighed) / size
+                 else 0 end as rate from weighed),
+dists as (
+  select *, greatest(ceil(rate / 16), 1)::bigint as draws from rates),
+cdfs as (
+  select *, list_transform(generate_series(0, 63), lambda k: list_sum(list_transform(generate_series(0, k), lambda i:
+              case when rate = 0 then case when i = 0 then 1.0::double else 0 end
+                   else exp(-rate / draws + i * ln(rate / draws) - lgamma(i + 1)) end))) as cdf from dists),
+drawn as (
+  select d.*, rate, list_sum(list_transform(generate_series(1, draws), lambda j: len(list_filter(cdf, lambda c:
+           c <= ('0x' || substr(md5(concat_ws('|', 42, j, doc_id)), 1, 13))::bigint / pow(2, 52)))))::bigint as times
+  from {table} d join cdfs c on d.source is not distinct from c.source),
+copies as (select *, unnest(generate_series(1, times)) as copy from drawn where times > 0)"""
+
+
+MIX = f"""with {mixed("documents")}
+select * exclude (times, rate), round(rate, 9) as rate from copies"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heatlane.llm import license_scan, line_dedup, oracles, quality, secret_scan
+from heatlane.llm import license_scan, line_dedup, mixing, oracles, packing, quality, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,14 @@ def op10(spark, sf):
         F.array_join(F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"]))), ",").alias("licenses"),
         F.get(best, F.lit(0))["license"].alias("best"), F.get(best, F.lit(0))["dice"].alias("dice"),
     )
+
+
+@query("op3_mix_sources", oracles.MIX)
+def op3(spark, sf):
+    docs = _documents(spark, sf)
+    return mixing.mix(docs).select("row.*", F.col("copy").cast("long").alias("copy"), F.round("rate", 9).alias("rate"))
+
+
+@query("op2_best_fit_packing")
+def op2(spark, sf):
+    return packing.pack(packing.cut(_documents(spark, sf)))
