@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heatlane.llm import license_scan, line_dedup, mixing, oracles, packing, quality, secret_scan
+from heatlane.llm import license_scan, line_dedup, mixing, near_dedup, oracles, packing, quality, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,8 @@ def op3(spark, sf):
 @query("op2_best_fit_packing")
 def op2(spark, sf):
     return packing.pack(packing.cut(_documents(spark, sf)))
+
+
+@query("op6_simhash_near_dedup")
+def op6(spark, sf):
+    return near_dedup.near_duplicates(_documents(spark, sf))
