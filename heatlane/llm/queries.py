@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heatlane.llm import license_scan, line_dedup, mixing, near_dedup, oracles, packing, quality, secret_scan
+from heatlane.llm import license_scan, line_dedup, mixing, near_dedup, oracles, packing, quality, secret_scan, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,8 @@ def op2(spark, sf):
 @query("op6_simhash_near_dedup")
 def op6(spark, sf):
     return near_dedup.near_duplicates(_documents(spark, sf))
+
+
+@query("op5_substring_dedup")
+def op5(spark, sf):
+    return substring_dedup.remove_repeats(_documents(spark, sf), digest=True).withColumnRenamed("kept", "kept_sha256")
