@@ -189,3 +189,14 @@ copies as (select *, unnest(generate_series(1, times)) as copy from drawn where
 
 MIX = f"""with {mixed("documents")}
 select * exclude (times, rate), round(rate, 9) as rate from copies"""
+
+TOP_K = """with fine as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+vectors as (select vec_id, min(v) as v from fine group by vec_id),
+scores as (
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from vectors q join vectors c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0)
+select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::integer as rank, vec_id, score
+from scores qualify rank <= 20"""

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heatlane.llm import license_scan, line_dedup, mixing, near_dedup, oracles, packing, quality, secret_scan, substring_dedup
+from heatlane.llm import license_scan, line_dedup, mixing, near_dedup, oracles, packing, quality, secret_scan, substring_dedup, token_counts, topk_search
+from heatlane.session import durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +89,14 @@ def op6(spark, sf):
 @query("op5_substring_dedup")
 def op5(spark, sf):
     return substring_dedup.remove_repeats(_documents(spark, sf), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+@query("op4_topk_search", oracles.TOP_K)
+def op4(spark, sf):
+    vectors = durable(topk_search.quantised(spark.read.parquet(f"{sf}/embeddings.parquet")), "vectors")
+    return topk_search.top_k(vectors, vectors.filter(topk_search.is_query()))
+
+
+@query("op9_token_counts")
+def op9(spark, sf):
+    return token_counts.count_tokens(_documents(spark, sf))
