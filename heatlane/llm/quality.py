@@ -102,11 +102,14 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         (F.col("word_chars") - F.length(squeezed(F.col("clean")))).cast("long").alias("lost_chars"),
     )
     all_counts = _repeated_words(counted, "row", "clean", "n_words", "word_chars", "n_symbols", "n_dup_lines", "lost_chars")
+    # A filter on the result must not be pushed below: Catalyst would write the whole chain of arrays into its
+    # condition and work it out again per element. A column that isn't deterministic keeps it above.
+    stay = F.spark_partition_id() >= 0
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     return all_counts.select(
         "row", F.col("clean").alias("text"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_chars",
         failed.alias("base_failed"),
-        (~failed & (F.col("lost_chars") * 100 <= F.col("word_chars") * LOST_PERCENT)).alias("kept"),
+        (stay & ~failed & (F.col("lost_chars") * 100 <= F.col("word_chars") * LOST_PERCENT)).alias("kept"),
     )
 
 
