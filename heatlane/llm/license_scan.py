@@ -73,8 +73,8 @@ def find_licenses(docs: DataFrame, text_col: str = "text", templates=TEMPLATES,
     Units are each line, each paragraph (blocks between blank lines) of several
     lines, and the whole text if it has several paragraphs; ``pos`` counts from 0
     within the kind of unit. A unit matches a template if the Dice coefficient of
-    their sets of word bigrams is at least ``least`` (a fraction). With it go
-    size bounds: a unit of n and a template of m bigrams can only reach t if
+    their sets of word bigrams is at least ``least`` (a fraction); the best one
+    counts, of equal ones the last name. With the least value go size bounds: a unit of n and a template of m bigrams can only reach t if
     t * m <= (2 - t) * n and t * n <= (2 - t) * m. They drop units before
     any bigram is built, as n is below the number of words and not below the
     number of different words less one; and templates per unit after that.
@@ -130,12 +130,8 @@ def find_licenses(docs: DataFrame, text_col: str = "text", templates=TEMPLATES,
             lambda t: (t["m"] * num <= n * rest) & (n * num <= t["m"] * rest)
             & (common(t) * (2 * den) >= (n + t["m"]) * num),
         )
-        return F.transform(
-            close,
-            lambda t: F.struct(
-                u["unit"].alias("unit"), u["pos"].alias("pos"), t["license"].alias("license"),
-                (F.lit(2.0) * common(t) / (n + t["m"])).alias("dice"),
-            ),
-        )
+        best = F.array_max(F.transform(close, lambda t: F.struct((F.lit(2.0) * common(t) / (n + t["m"])).alias("dice"), t["license"].alias("license"))))
+        found = F.struct(u["unit"].alias("unit"), u["pos"].alias("pos"), best["license"].alias("license"), best["dice"].alias("dice"))
+        return F.when(best.isNotNull(), found)
 
-    return sized.select("row", F.flatten(F.transform("units", matches)).alias("matches"))
+    return sized.select("row", F.array_compact(F.transform("units", matches)).alias("matches"))

@@ -155,11 +155,12 @@ units as (
   union all select doc_id, 'document', body, 0 from blocks where len(bs) > 1),
 sized as (select *, {grams("ws")} as grams from (select *, {words("part")} as ws from units) where len(ws) between 2 and 3000),
 matches as (
-  select distinct doc_id, unit, pos, name, 2.0::double * len(list_intersect(s.grams, t.grams)) / (len(s.grams) + len(t.grams)) as dice
+  select doc_id, unit, pos, name, 2.0::double * len(list_intersect(s.grams, t.grams)) / (len(s.grams) + len(t.grams)) as dice
   from sized s join templates t on len(s.grams) * 8 <= len(t.grams) * 12 and len(t.grams) * 8 <= len(s.grams) * 12
-  where len(list_intersect(s.grams, t.grams)) * 20 >= (len(s.grams) + len(t.grams)) * 8)
+  where len(list_intersect(s.grams, t.grams)) * 20 >= (len(s.grams) + len(t.grams)) * 8
+  qualify row_number() over (partition by doc_id, unit, pos order by dice desc, name desc) = 1)
 select g.doc_id, count(name) as n_matches, coalesce(string_agg(distinct name, ',' order by name), '') as licenses,
-       first(name order by dice desc, name) as best, max(dice) as dice
+       first(name order by dice desc, name desc) as best, max(dice) as dice
 from given g left join matches m using (doc_id) group by g.doc_id"""
 
 

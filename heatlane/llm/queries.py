@@ -57,16 +57,12 @@ def op1(spark, sf):
 
 @query("op10_license_scan", oracles.LICENSES)
 def op10(spark, sf):
-    found = license_scan.find_licenses(_documents(spark, sf)).select("row.doc_id", F.array_distinct("matches").alias("matches"))
-    best = F.array_sort(
-        "matches",
-        lambda a, b: F.when(a["dice"] > b["dice"], -1).when(a["dice"] < b["dice"], 1)
-        .when(a["license"] < b["license"], -1).when(a["license"] > b["license"], 1).otherwise(0),
-    )
+    found = license_scan.find_licenses(_documents(spark, sf)).select("row.doc_id", "matches")
+    best = F.array_max(F.transform("matches", lambda m: F.struct(m["dice"].alias("dice"), m["license"].alias("license"))))
     return found.select(
         "doc_id", F.size("matches").cast("long").alias("n_matches"),
         F.array_join(F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"]))), ",").alias("licenses"),
-        F.get(best, F.lit(0))["license"].alias("best"), F.get(best, F.lit(0))["dice"].alias("dice"),
+        best["license"].alias("best"), best["dice"].alias("dice"),
     )
 
 
