@@ -137,5 +137,6 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component the document with the least id. Rows of
     one id keep together; if all ids of a component are null, its rows stay."""
     found = near_duplicates(docs).select("doc_id", "component_id")
-    gone = durable(found.filter(F.col("doc_id") > F.col("component_id")).select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = found.filter(F.col("doc_id") > F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = durable(gone, "gone")
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
