@@ -106,7 +106,7 @@ def scan_token_files(
     stitched = found.select(
         "file", "ends",
         F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("done"),
-        F.coalesce(F.max(F.element_at("ends", -1)).over(before) + 1, F.lit(0)).alias("open"),
+        F.coalesce(F.max(F.try_element_at("ends", F.lit(-1))).over(before) + 1, F.lit(0)).alias("open"),
     )
     ended = stitched.select("file", "done", "open", "ends", F.posexplode("ends").alias("i", "end")).select(
         "file", (F.col("done") + F.col("i")).alias("ordinal"),
@@ -115,7 +115,7 @@ def scan_token_files(
     )
     tails = found.groupBy("file").agg(
         F.sum(F.size("ends")).alias("ordinal"),
-        (F.max(F.col("start") + F.col("n")) - F.coalesce(F.max(F.element_at("ends", -1)) + 1, F.lit(0))).alias("n_tokens"),
+        (F.max(F.col("start") + F.col("n")) - F.coalesce(F.max(F.try_element_at("ends", F.lit(-1))) + 1, F.lit(0))).alias("n_tokens"),
     )
     return ended.unionByName(tails.filter(F.col("n_tokens") > 0).withColumn("complete", F.lit(False)))
 
