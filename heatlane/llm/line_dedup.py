@@ -44,6 +44,7 @@ def dedup_lines(
         .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("keeper"))
         .filter(F.col("docs") >= min_docs).select("h1", "h2", "keeper")
     )
+    shared = durable(shared, "shared")  # both sides of the join come from files, so Spark can split a hot line
     drops = (
         lines.join(shared, ["h1", "h2"]).filter(~F.col("doc").eqNullSafe(F.col("keeper")))
         .groupBy(F.col("doc").alias("d"), F.col("body").alias("b")).agg(F.sort_array(F.collect_set("pos")).alias("drops"))
