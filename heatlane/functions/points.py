@@ -13,17 +13,33 @@ LANES = range(1, 7)
 SCORES = [10, 8, 6, 4, 2, 1]
 
 
+# Ranking points, by entry lane (rows 1 to 6) and place (columns 1 to 6).
+RANKING_POINTS = [
+    [0, -1, -2, -3, -4, -5],
+    [1, 0, -1, -2, -3, -4],
+    [2, 1, 0, -1, -2, -3],
+    [3, 2, 1, 0, -1, -2],
+    [4, 3, 2, 1, 0, -1],
+    [5, 4, 3, 2, 1, 0],
+]
+
+# Condition points, laid out alike.
+CONDITION_POINTS = [
+    [2, -1, -2, -3, -4, -5],
+    [1, 1, -1, -2, -3, -4],
+    [2, 1, 1, -1, -2, -3],
+    [3, 2, 1, 0, -1, -2],
+    [4, 3, 2, 1, 0, -1],
+    [5, 4, 3, 2, 1, -1],
+]
+
+
 def ranking_points(entry: int, place: int) -> int:
-    """Ranking points: how many lanes better than the entry lane."""
-    return entry - place
+    return RANKING_POINTS[entry - 1][place - 1]
 
 
 def condition_points(entry: int, place: int) -> int:
-    """Condition points: as ranking points below the entry lane or above it,
-    with a bonus for keeping the lane and for winning from lane 1."""
-    if entry == place:
-        return {1: 2, 6: -1}.get(entry, 1 if entry in (2, 3) else 0)
-    return entry - place
+    return CONDITION_POINTS[entry - 1][place - 1]
 
 
 def point_rows() -> list[tuple[int, int, int, int]]:

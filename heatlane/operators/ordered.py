@@ -9,15 +9,18 @@ becomes a chunk, windows run per (key, chunk), and what a chunk needs from the
 chunks before it - a few trailing rows, or a running total - is carried over.
 The order must be total; add a unique tie-break column.
 
-At most ``MAX_HOT`` keys can exceed the threshold because it is raised to
-rows / MAX_HOT when needed, and there are at most ``MAX_CHUNKS`` chunks (larger
-ones beyond that); these two bound everything that is collected or broadcast here.
+The threshold is fixed, whatever the size of the table. The list of hot keys is a
+written table; it, and what is kept per key or chunk, is broadcast up to
+``MAX_BROADCAST`` rows, which are counted first, and joined by a shuffle beyond.
+Without a key all rows count as one hot key, so a global order is never the work
+of one task.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -25,37 +28,52 @@ from pyspark.sql import functions as F
 from heatlane.session import durable
 
 SPLIT_ROWS = 4_000_000
-MAX_HOT = 2_000
-MAX_CHUNKS = 20_000
+#: Rows of a key up to which a running median may use Spark's percentile, whose cost is quadratic.
+MEDIAN_ROWS = 500
+MAX_BROADCAST = 20_000
 _CHUNK, _HALO, _SALT, _ALL = "__chunk", "__halo", "__salt", "__all"
 NULL_SALTS = 4096
 
 
+class Hot(NamedTuple):
+    """Keys above the limit: the list (None if empty), their number and their rows."""
+
+    keys: DataFrame | None
+    count: int
+    rows: int
+
+
 def _limits(split_rows) -> tuple[int, int]:
     """(rows that make a key hot, rows per chunk); one number serves for both."""
     return split_rows if isinstance(split_rows, tuple) else (split_rows, split_rows)
 
 
+def _always(split_rows) -> tuple[int, int]:
+    """Limits for one key that holds the whole table: chunks in any case."""
+    return 0, _limits(split_rows)[1]
+
+
 def asc_order(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int | tuple[int, int] = SPLIT_ROWS):
-    """(DataFrame of hot keys or None, rows they hold). One counting job when
-    nothing is hot, a second small one otherwise."""
+def listed(df: DataFrame, n: int) -> DataFrame:
+    """``df``, whose rows are counted as at most ``n``, sent to all tasks if that is few."""
+    return F.broadcast(df) if n <= MAX_BROADCAST else df
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int | tuple[int, int] = SPLIT_ROWS) -> Hot:
+    """Keys with more rows than the limit, counted in one map-side combined pass."""
     most, _ = _limits(split_rows)
     live = df
     for k in keys:
         live = live.where(F.col(k).isNotNull())
-    counts = live.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    top = counts.agg(F.max("__n").alias("top"), F.sum("__n").alias("total")).first()
-    if not top["total"] or top["top"] <= most:
-        return None, 0
-    limit = max(most, top["total"] // MAX_HOT)
-    rows = counts.where(F.col("__n") > limit).collect()  # at most MAX_HOT rows
-    if not rows:
-        return None, 0
-    return df.sparkSession.createDataFrame(rows, counts.schema), sum(r["__n"] for r in rows)
+    counts = live.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > most)
+    hot = durable(counts, "hot")
+    found = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("__n").alias("rows")).first()
+    if not found["keys"]:
+        return Hot(None, 0, 0)
+    return Hot(hot.select(*keys), found["keys"], found["rows"])
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -77,10 +95,14 @@ def _plain(df, keys, order, frame, builders) -> DataFrame:
     )
 
 
-def _by_heat(df, keys, hot):
-    """Split rows into (ordinary, hot); the hot key list is bounded by MAX_HOT."""
-    listed = F.broadcast(hot.select(*keys))
-    return df.join(listed, list(keys), "left_anti"), df.join(listed, list(keys), "left_semi")
+def _by_heat(df, keys, hot: Hot):
+    """Split rows into (ordinary, hot)."""
+    names = listed(hot.keys, hot.count)
+    return df.join(names, list(keys), "left_anti"), df.join(names, list(keys), "left_semi")
+
+
+def chunk_count(rows: int, split_rows) -> int:
+    return max(2, math.ceil(rows / _limits(split_rows)[1]))
 
 
 def chunked(df: DataFrame, keys, order: Sequence[str], rows: int, split_rows) -> DataFrame:
@@ -89,8 +111,7 @@ def chunked(df: DataFrame, keys, order: Sequence[str], rows: int, split_rows) ->
     The partition number depends on sampled bounds, so the result is written
     once and read back: both users of the chunks then see the same ones.
     """
-    parts = min(MAX_CHUNKS, max(2, math.ceil(rows / _limits(split_rows)[1])))
-    ranged = df.repartitionByRange(parts, *[F.col(k) for k in keys], *asc_order(order))
+    ranged = df.repartitionByRange(chunk_count(rows, split_rows), *[F.col(k) for k in keys], *asc_order(order))
     return durable(ranged.withColumn(_CHUNK, F.spark_partition_id().cast("long")), "chunks")
 
 
@@ -109,13 +130,13 @@ def over_previous(
     """
     if not keys:
         whole = df.withColumn(_ALL, F.lit(0))
-        return over_previous(whole, [_ALL], order, n, builders, split_rows).drop(_ALL)
-    hot, rows = hot_keys(df, keys, split_rows)
+        return over_previous(whole, [_ALL], order, n, builders, _always(split_rows)).drop(_ALL)
+    hot = hot_keys(df, keys, split_rows)
     frame = (-n, -1)
-    if hot is None:
+    if hot.keys is None:
         return _plain(df, keys, order, frame, builders)
     calm, heavy = _by_heat(df, keys, hot)
-    pieces = chunked(heavy, keys, order, rows, split_rows)
+    pieces = chunked(heavy, keys, order, hot.rows, split_rows)
 
     # Chunks of one key are contiguous and none is empty, so the n chunks before
     # a chunk hold its n previous rows. Tails are n rows per (key, chunk).
@@ -123,7 +144,7 @@ def over_previous(
     back = Window.partitionBy(*group).orderBy(*[F.col(o).desc_nulls_last() for o in order])
     tails = pieces.withColumn("__r", F.row_number().over(back)).where(F.col("__r") <= n).drop("__r")
     lasts = pieces.groupBy(*keys).agg(F.max(_CHUNK).alias("__last"))
-    tails = tails.join(F.broadcast(lasts), list(keys))  # <= MAX_HOT rows
+    tails = tails.join(listed(lasts, hot.count), list(keys))
     halo = (
         tails.withColumn(_CHUNK, F.explode(F.sequence(F.col(_CHUNK) + 1, F.col(_CHUNK) + n)))
         .where(F.col(_CHUNK) <= F.col("__last"))
@@ -152,26 +173,26 @@ def totals_before(
     first row). Hot keys: running sums inside a chunk plus the chunk's offset."""
     if not keys:
         whole = df.withColumn(_ALL, F.lit(0))
-        return totals_before(whole, [_ALL], order, sums, split_rows).drop(_ALL)
-    hot, rows = hot_keys(df, keys, split_rows)
+        return totals_before(whole, [_ALL], order, sums, _always(split_rows)).drop(_ALL)
+    hot = hot_keys(df, keys, split_rows)
     before = (Window.unboundedPreceding, -1)
     def running(c: Column) -> Callable[[WindowSpec], Column]:
         return lambda w: F.coalesce(F.sum(c).over(w), F.lit(0))
 
-    if hot is None:
+    if hot.keys is None:
         return _plain(df, keys, order, before, {n: running(c) for n, c in sums.items()})
     calm, heavy = _by_heat(df, keys, hot)
-    pieces = chunked(heavy, keys, order, rows, split_rows)
+    pieces = chunked(heavy, keys, order, hot.rows, split_rows)
     group = [*keys, _CHUNK]
     w = Window.partitionBy(*group).orderBy(*asc_order(order)).rowsBetween(*before)
     inside = pieces.select("*", *[running(c)(w).alias(n) for n, c in sums.items()])
-    # one row per (hot key, chunk): bounded by chunks + MAX_HOT
+    # one row per (hot key, chunk): at most chunks + keys, as the chunks are ranges of the keys
     per_chunk = pieces.groupBy(*group).agg(*[F.sum(c).alias(f"__t_{n}") for n, c in sums.items()])
     cw = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(*before)
     offsets = per_chunk.select(
         *group, *[F.coalesce(F.sum(f"__t_{n}").over(cw), F.lit(0)).alias(f"__o_{n}") for n in sums]
     )
-    done = inside.join(F.broadcast(offsets), group)
+    done = inside.join(listed(offsets, chunk_count(hot.rows, split_rows) + hot.count), group)
     done = done.select(*df.columns, *[(F.col(n) + F.col(f"__o_{n}")).alias(n) for n in sums])
     plain = _plain(calm, keys, order, before, {n: running(c) for n, c in sums.items()})
     return plain.unionByName(done)
@@ -202,7 +223,7 @@ def quantile_exact(
     """
     if not keys:
         whole = df.withColumn(_ALL, F.lit(0))
-        return quantile_exact(whole, [_ALL], value, q, name, split_rows).drop(_ALL)
+        return quantile_exact(whole, [_ALL], value, q, name, _always(split_rows)).drop(_ALL)
     live = df.where(F.col(value).isNotNull())
     weights = durable(live.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c")), "weights")
     ranked = totals_before(weights, keys, [value], {"__before": F.col("__c")}, split_rows)
@@ -238,8 +259,8 @@ def median_before(
     """Add the exact median of the non-null values of all earlier rows of the key
     (null when there are none).
 
-    Ordinary keys use Spark's percentile over the growing frame. For hot keys the
-    wanted order statistics descend the value ranks digit by digit: at each digit a
+    Keys of up to ``MEDIAN_ROWS`` rows use Spark's percentile over the growing
+    frame, which is quadratic. For all others the wanted order statistics descend the value ranks digit by digit: at each digit a
     row asks how many earlier values fall under each of ``RADIX`` branches, which is
     a :func:`totals_before` per branch node, and follows the branch that holds its
     statistic. The number of rounds is the number of digits of the largest rank.
@@ -247,8 +268,9 @@ def median_before(
     x = F.col(value).cast("double")
     frame = (Window.unboundedPreceding, -1)
     builders = {name: lambda w: F.percentile(x, F.lit(0.5)).over(w)}
-    hot, _ = hot_keys(df, keys, split_rows)
-    if hot is None:
+    most, chunk = _limits(split_rows)
+    hot = hot_keys(df, keys, (min(most, MEDIAN_ROWS), chunk))
+    if hot.keys is None:
         return _plain(df, keys, order, frame, builders)
     calm, heavy = _by_heat(df, keys, hot)
     heavy = durable(heavy, "heavy")

@@ -18,9 +18,12 @@ TINY = 1e-9
 # Fixed values of the rule set.
 FIRST_POWER, SECOND_POWER, THIRD_WEIGHT = 0.85, 0.65, 0.08
 LANE_BONUS = {3: 1.02, 4: 1.05}
-REVERSE_GATES = {"normal": (0.90, 0.75)}
-for _grade in ("semi", "final", "graded"):
-    REVERSE_GATES[_grade] = (0.82, 0.78)
+REVERSE_GATES = {
+    "normal": (0.90, 0.75),
+    "semi": (0.82, 0.78),
+    "final": (0.82, 0.78),
+    "graded": (0.82, 0.78),
+}
 PATTERNS = {
     "inside": (1.00, "成功/差し"),
     "neighbour": (0.95, "成功/右隣同道"),

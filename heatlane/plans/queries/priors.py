@@ -11,7 +11,7 @@ from heatlane.operators import joins, priors, quality, ranges, regime, tickets,
 from heatlane.plans import lenses
 from heatlane.plans.lenses import table
 from heatlane.plans.queries.groups import ranked
-from heatlane.plans.registry import lens, query, r, rounded
+from heatlane.plans.registry import CONDITION_SQL, RANKING_SQL, lens, query, r, rounded
 from heatlane.session import durable
 
 K6 = range(1, 7)
@@ -128,8 +128,8 @@ def residual_z(spark, sf):
 
 
 SECTION_POINTS = "case when rank_class = 'finish' then {}[(cast(lane as int) - 1) * 6 + cast(finish as int)] else 0 end"
-RP = "[" + ",".join(str(points.ranking_points(e, q)) for e in range(1, 7) for q in range(1, 7)) + "]"
-CP = "[" + ",".join(str(points.condition_points(e, q)) for e in range(1, 7) for q in range(1, 7)) + "]"
+RP = RANKING_SQL
+CP = CONDITION_SQL
 SECTION_SQL = f"""p as (select motor_number, section, date,
  case when rank_class = 'finish' then [10, 8, 6, 4, 2, 1][cast(finish as int)] else 0 end as sc,
  {SECTION_POINTS.format(RP)} as rp, {SECTION_POINTS.format(CP)} as cp

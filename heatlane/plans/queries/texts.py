@@ -10,7 +10,7 @@ from heatlane.functions import tokens as tk
 from heatlane.operators.joins import pairs_within_group
 from heatlane.plans import lenses
 from heatlane.plans.lenses import table
-from heatlane.plans.registry import lens, query, r, rnd, rounded
+from heatlane.plans.registry import CONDITION_SQL, RANKING_SQL, lens, query, r, rnd, rounded
 
 
 @query(
@@ -224,8 +224,8 @@ def history_strings_of(spark, sf):
     )
 
 
-RP = "[" + ",".join(str(points.ranking_points(e, q)) for e in range(1, 7) for q in range(1, 7)) + "]"
-CP = "[" + ",".join(str(points.condition_points(e, q)) for e in range(1, 7) for q in range(1, 7)) + "]"
+RP = RANKING_SQL
+CP = CONDITION_SQL
 STRINGS = """cells as (select cast(floor(event_id / 14) as bigint) as meeting, event_id, cast(floor(value) as bigint) as v from events),
 parts as (select *, case when v % 9 = 8 then '-' else cast(v % 6 + 1 as varchar) end as e,
   case when v % 7 = 6 then 'F' else cast(cast(floor(v / 6) as bigint) % 6 + 1 as varchar) end as r from cells)"""

@@ -43,6 +43,20 @@ def r(expr: str, digits: int = DIGITS) -> str:
     return f"(round(cast({expr} as double), {digits}) + cast(0.0 as double))"
 
 
+# Fixed values, spelled out for the DuckDB side: points by entry lane and place.
+RANKING_SQL = """[0, -1, -2, -3, -4, -5,
+ 1, 0, -1, -2, -3, -4,
+ 2, 1, 0, -1, -2, -3,
+ 3, 2, 1, 0, -1, -2,
+ 4, 3, 2, 1, 0, -1,
+ 5, 4, 3, 2, 1, 0]"""
+CONDITION_SQL = """[2, -1, -2, -3, -4, -5,
+ 1, 1, -1, -2, -3, -4,
+ 2, 1, 1, -1, -2, -3,
+ 3, 2, 1, 0, -1, -2,
+ 4, 3, 2, 1, 0, -1,
+ 5, 4, 3, 2, 1, -1]"""
+
 # SQL of the lenses, for the DuckDB side.
 LENS = {
     "lanes": """lanes as (
