@@ -59,7 +59,7 @@ def daily_intake(spark: SparkSession, folder: str, schema, fmt: str, target: str
     """Append files that have arrived since the last run; the checkpoint knows
     which ones were taken. Stops when all present files are in."""
     rows = spark.readStream.format(fmt).schema(schema).options(**options).load(folder)
-    rows = rows.withColumn("source_file", F.col("_metadata.file_name"))
+    rows = rows.withColumn("source_file", F.col("_metadata.file_path"))
     return (
         rows.writeStream.format("parquet")
         .option("path", target)

@@ -1,10 +1,12 @@
 """Running posterior on a stream, keyed by (venue, day).
 
-Races of a venue day are held in state until the watermark has passed the end of
-the day, then worked off in race order, each before it counts. That gives the
-batch numbers whatever the arrival order. State per key is one day of races
-(twelve), and is cleared when the day closes; rows later than the watermark are
-dropped by Spark and show up in its ``numRowsDroppedByWatermark`` metric.
+State per key is the races that wait and the counts so far. A race waits until
+the watermark has reached its time, so that all races before it are there; then it
+is emitted with the counts before it and counted. That gives the batch numbers
+whatever the arrival order within the delay. When the watermark passes the end
+of the day, the state is cleared. ``run_bounded`` ends a finite input: it moves the
+watermark past all days, so that no race keeps waiting, and returns the races that
+came later than the delay apart.
 """
 
 from __future__ import annotations
@@ -18,13 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from heatlane.operators.joins import lookup_join
 from heatlane.operators.regime import KINDS, LANES, valid_result
 from heatlane.session import STATE_STORE
 
 KEYS = ["venue", "day"]
-RACE_FIELDS = "race_id long, race_no long, ts timestamp, r1 long, r2 long, r3 long, ok boolean"
+RACE_FIELDS = "race_id long, race_no long, ts_ms long, r1 long, r2 long, r3 long, ok boolean"
 BASES = [f"base_{kind}_{k}" for kind in KINDS for k in LANES]
 STATE = RACE_FIELDS + ", " + ", ".join(f"{b} double" for b in BASES)
+COUNTS = "seen long, " + ", ".join(f"{kind}_{k} long" for kind in KINDS for k in LANES)
 OUTPUT = (
     "race_id long, venue long, day long, race_no long, observed_races long, "
     + ", ".join(f"m_{kind}_{k} double" for kind in KINDS for k in LANES)
@@ -32,25 +36,33 @@ OUTPUT = (
     + ", ".join(f"strength_{kind} double" for kind in KINDS)
 )
 STATE_NAMES = [part.split()[0] for part in STATE.split(", ")]
-
-
-def day_posterior(day: pd.DataFrame, strength: float) -> pd.DataFrame:
-    """One closed day, in race order: multipliers before each race."""
-    day = day.sort_values(["race_no", "race_id"], kind="stable").reset_index(drop=True)
-    ok = day["ok"].to_numpy(dtype=bool)
-    seen = np.cumsum(ok) - ok
-    places = day[["r1", "r2", "r3"]].fillna(0).to_numpy()
-    out = day[["race_id", "race_no"]].copy()
+#: A venue day has twelve races; a key with far more isn't a venue day.
+MAX_WAITING = 1000
+DAY_MS = 86_400_000
+#: Later than any race, and within the range of nanosecond times.
+FAR = "2200-01-01 00:00:00"
+
+
+def next_races(races: pd.DataFrame, counts: list[int], strength: float) -> tuple[pd.DataFrame, list[int]]:
+    """Multipliers of each race before it counts, in race order, and the counts after all."""
+    races = races.sort_values(["race_no", "race_id"], kind="stable").reset_index(drop=True)
+    ok = races["ok"].to_numpy(dtype=bool)
+    seen = counts[0] + np.cumsum(ok) - ok
+    places = races[["r1", "r2", "r3"]].fillna(0).to_numpy()
+    out = races[["race_id", "race_no"]].copy()
     out["observed_races"] = seen.astype("int64")
-    for kind, depth in KINDS.items():
-        base = day[[f"base_{kind}_{k}" for k in LANES]].to_numpy(dtype=float)
+    after = [counts[0] + int(ok.sum())]
+    for n, (kind, depth) in enumerate(KINDS.items()):
+        base = races[[f"base_{kind}_{k}" for k in LANES]].to_numpy(dtype=float)
         hits = (places[:, :depth, None] == np.array(list(LANES))).sum(axis=1) * ok[:, None]
-        before = np.cumsum(hits, axis=0) - hits
+        start = np.array(counts[1 + 6 * n : 7 + 6 * n])
+        before = start + np.cumsum(hits, axis=0) - hits
+        after += (start + hits.sum(axis=0)).astype(int).tolist()
         post = (depth * strength * base + before) / (depth * strength + depth * seen)[:, None]
         for i, k in enumerate(LANES):
             out[f"m_{kind}_{k}"] = post[:, i] / base[:, i]
         out[f"strength_{kind}"] = np.abs(post - base).sum(axis=1)
-    return out
+    return out, after
 
 
 class DayPosterior(StatefulProcessor):
@@ -59,22 +71,47 @@ class DayPosterior(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.races = handle.getListState("races", STATE)
+        self.waiting = handle.getListState("waiting", STATE)
+        self.counts = handle.getValueState("counts", COUNTS)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = None
+        first = last = None
         for pdf in rows:
-            last = int(pdf["day_end_ms"].iloc[0])
-            part = pdf[STATE_NAMES].astype(object).where(pdf[STATE_NAMES].notna(), None)
-            self.races.appendList([tuple(r) for r in part.itertuples(index=False)])
+            pdf = pdf[pdf["race_id"].notna()]  # the rest are markers that only move the watermark
+            if len(pdf):
+                last = int(pdf["day_end_ms"].iloc[0])
+                first = min(int(pdf["ts_ms"].min()), last if first is None else first)
+                part = pdf[STATE_NAMES].astype(object).where(pdf[STATE_NAMES].notna(), None)
+                self.waiting.appendList([tuple(r) for r in part.itertuples(index=False)])
         if last is not None:
+            self.handle.registerTimer(first)
             self.handle.registerTimer(last)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = pd.DataFrame([tuple(r) for r in self.races.get()], columns=STATE_NAMES)
-        self.races.clear()
-        out = day_posterior(held, self.strength)
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        if len(held) > MAX_WAITING:
+            raise ValueError(f"{len(held)} races wait for venue and day {key}")
+        at = STATE_NAMES.index("ts_ms")
+        due, rest = [r for r in held if r[at] <= now], [r for r in held if r[at] > now]
+        over = expiredTimerInfo.getExpiryTimeInMs() % DAY_MS == 0 and not rest
+        if not due:
+            if over:
+                self.counts.clear()
+            yield pd.DataFrame()
+            return
+        counts = list(self.counts.get()) if self.counts.exists() else [0] * len(COUNTS.split(","))
+        out, counts = next_races(pd.DataFrame(due, columns=STATE_NAMES), counts, self.strength)
+        if rest:
+            self.waiting.put(rest)
+            self.handle.registerTimer(min(r[at] for r in rest))
+        else:
+            self.waiting.clear()
+        if over:
+            self.counts.clear()
+        else:
+            self.counts.update(tuple(counts))
         out.insert(1, "venue", key[0])
         out.insert(2, "day", key[1])
         yield out
@@ -84,21 +121,22 @@ class DayPosterior(StatefulProcessor):
 
 
 def posterior_stream(
-    races: DataFrame, prior: DataFrame, ranks: Sequence[str] = ("r1", "r2", "r3"), strength: float = 20.0,
-    delay: str = "0 seconds",
-) -> DataFrame:
+    races: DataFrame, prior: DataFrame, delay: str, ranks: Sequence[str] = ("r1", "r2", "r3"), strength: float = 20.0
+) -> DataFrame:
     """Streaming form of ``running_posterior``.
 
-    ``races``: streaming (race_id, venue, day, race_no, ts, r1..r3, valid);
-    ``ts`` lies on the race's day. ``prior``: static, one row per venue.
+    ``races``: streaming (race_id, venue, day, race_no, ts, r1..r3, valid); ``ts`` lies
+    on the race's day and rises with its number. ``prior``: static, one row per
+    venue. ``delay``: how much later than others a race may arrive, such as
+    "1 day"; later ones are left out by Spark (see ``run_bounded``).
     """
-    day_end = (F.unix_date(F.to_date("ts")) + 1).cast("long") * 86_400_000
+    day_end = (F.unix_date(F.to_date("ts")) + 1).cast("long") * DAY_MS
     ready = (
-        races.withWatermark("ts", delay)
-        .join(F.broadcast(prior.select("venue", *BASES)), "venue")  # 24 venues
+        lookup_join(races.withWatermark("ts", delay), prior.select("venue", *BASES).withColumn("__known", F.lit(True)), ["venue"])
+        .where("__known").drop("__known")
         .withColumn("ok", valid_result(ranks, "valid"))
-        .withColumn("day_end_ms", day_end)
-    )
+        .withColumns({"day_end_ms": day_end, "ts_ms": F.unix_millis("ts")})
+    )
     return ready.groupBy(*KEYS).transformWithStateInPandas(
         statefulProcessor=DayPosterior(strength), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime"
     )
@@ -123,3 +161,26 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
         .outputMode("append").trigger(availableNow=True).start()
     )
     query.awaitTermination()
+
+
+def run_bounded(races: DataFrame, prior: DataFrame, delay: str, root: str, **kw) -> tuple[DataFrame, DataFrame]:
+    """Run a finite stream of races to its end: (posterior rows, races that came too late).
+
+    The second run takes in one marker row far ahead, which closes all days. A
+    race is late if the first run left it out although its venue has a prior; it
+    is found by comparing the races taken in, which are written on the way, with
+    those that came out.
+    """
+    spark = races.sparkSession
+    empty = prior.limit(1).select(F.lit(None).cast("long").alias("race_id"), "venue", F.to_timestamp(F.lit(FAR)).alias("ts"))
+    empty.limit(0).write.mode("overwrite").parquet(f"{root}/marker")
+    marker = spark.readStream.schema(empty.schema).parquet(f"{root}/marker")
+    run_to_table(races, f"{root}/taken", f"{root}/taken-state")
+    with rocksdb_state(spark):
+        out = posterior_stream(races.unionByName(marker, allowMissingColumns=True), prior, delay, **kw)
+        run_to_table(out, f"{root}/rows", f"{root}/state")
+        empty.write.mode("append").parquet(f"{root}/marker")
+        run_to_table(out, f"{root}/rows", f"{root}/state")
+    rows = spark.read.schema(out.schema).parquet(f"{root}/rows")
+    taken = spark.read.schema(races.schema).parquet(f"{root}/taken").join(prior.select("venue"), "venue", "left_semi")
+    return rows, taken.join(rows.select("race_id"), "race_id", "left_anti")

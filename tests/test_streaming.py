@@ -38,7 +38,7 @@ def test_posterior_stream_equals_batch(spark, tmp_path):
     keyed = stream.withColumn("venue", F.lit(1).cast("long"))
     numeric = prior.withColumn("venue", F.lit(1).cast("long"))
     with posterior.rocksdb_state(spark):
-        out = posterior.posterior_stream(keyed, numeric, delay="2 days")
+        out = posterior.posterior_stream(keyed, numeric, "2 days")
         posterior.run_to_table(out, str(tmp_path / "out"), str(tmp_path / "state"))
         spark.createDataFrame(end, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
         posterior.run_to_table(out, str(tmp_path / "out"), str(tmp_path / "state"))
@@ -50,6 +50,48 @@ def test_posterior_stream_equals_batch(spark, tmp_path):
     assert rows(got.select(*cols)) == rows(batch.select(*cols))
 
 
+def test_bounded_run_closes_the_last_day_and_finds_late_races(spark, tmp_path):
+    data = races()
+    folder = str(tmp_path / "in")
+    late = data[5]
+    for part in ([*data[:5], *data[6:24]], data[24:], [late]):  # a race of day 0 arrives when day 3 is there
+        spark.createDataFrame(part, SCHEMA).withColumn("venue", F.lit(1).cast("long")).coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(1.1)
+    schema = SCHEMA.replace("venue string", "venue long")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    prior = prior_row(spark).withColumn("venue", F.lit(1).cast("long"))
+    out, missed = posterior.run_bounded(stream, prior, "12 hours", str(tmp_path / "run"))
+    assert rows(missed, "race_id") == [(late[0],)]
+    assert sorted(r["race_id"] for r in out.collect()) == [r[0] for r in data if r[0] != late[0]]
+    batch = regime.running_posterior(
+        spark.createDataFrame([r for r in data if r is not late], SCHEMA).withColumn("venue", F.lit(1).cast("long")), prior,
+        "venue", "day", ["race_no"], ["r1", "r2", "r3"], "valid", keep=["race_id"],
+    )
+    cols = ["race_id", "observed_races", *[F.round(c, 9).alias(c) for c in batch.columns if c[:2] in ("m_", "st")]]
+    assert rows(out.select(*cols)) == rows(batch.select(*cols))
+
+
+def test_races_come_out_during_the_day(spark, tmp_path):
+    """The watermark at race 7 releases the races before it, not the whole day at its end."""
+    folder = str(tmp_path / "in")
+    spark.createDataFrame(races()[:7], SCHEMA).withColumn("venue", F.lit(1).cast("long")).coalesce(1).write.parquet(folder)
+    stream = spark.readStream.schema(SCHEMA.replace("venue string", "venue long")).parquet(folder)
+    prior = prior_row(spark).withColumn("venue", F.lit(1).cast("long"))
+    with posterior.rocksdb_state(spark):
+        posterior.run_to_table(posterior.posterior_stream(stream, prior, "0 seconds"), str(tmp_path / "out"), str(tmp_path / "state"))
+    out = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {r["race_id"] for r in out} >= {1, 2, 3, 4, 5, 6}
+
+
+def test_streams_read_folders_of_part_files(spark, small, tmp_path):
+    import __spark_entry__ as entry_points
+
+    spark.read.parquet(f"{small}/orders.parquet").repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    for name in ("posterior_stream", "daily_intake", "score_stream"):
+        query = entry_points.queries()[name]
+        assert rows(query(spark, str(tmp_path))) == rows(query(spark, small))
+
+
 def test_due_stream_is_a_stream_join(spark):
     now = dt.datetime.now()
     jobs = spark.createDataFrame([(i, now + dt.timedelta(minutes=5, seconds=i)) for i in range(-2, 30)], "seq int, deadline_dt timestamp")
