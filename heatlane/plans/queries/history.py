@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from heatlane.operators import filters, windows
+from heatlane.operators import filters, ordered, windows
 from heatlane.plans import lenses
+from heatlane.plans.lenses import table
 from heatlane.plans.registry import lens, query, r, rnd, rounded
 
 FLAGS = {"finish1": "f1", "finish2": "f2", "finish3": "f3"}
@@ -258,3 +259,17 @@ def gate_order(spark, sf):
 )
 def ordered_rows(spark, sf):
     return windows.ordered_rows(lenses.boats(spark, sf).select("race_id", "lane", "date"), "date", "race_id", "lane")
+
+
+@query(
+    "running_median_one_key",
+    f"""select l_orderkey, l_linenumber, l_partkey, price, {r("quantile_cont(price, 0.5) over w", 6)} as median_before
+from (select l_orderkey, l_linenumber, l_partkey, min(l_extendedprice) as price from lineitem group by all)
+window w as (order by l_orderkey, l_linenumber, l_partkey rows between unbounded preceding and 1 preceding)""",
+)
+def running_median_one_key(spark, sf):
+    """The exact running median of a whole table as one key."""
+    ids = ["l_orderkey", "l_linenumber", "l_partkey"]
+    items = table(spark, sf, "lineitem").groupBy(*ids).agg(F.min("l_extendedprice").alias("price")).withColumn("all", F.lit(1))
+    out = ordered.median_before(items, ["all"], ids, "price", "median_before", (1000, 20000))
+    return rounded(out.drop("all"), 6)

@@ -135,7 +135,7 @@ def train_gbt(spark, sf):
 
 
 def _logistic(params):
-    return LogisticRegression(labelCol="y", featuresCol="features", regParam=float(params["reg_lambda"]), maxIter=5)
+    return LogisticRegression(labelCol="y", featuresCol="features", regParam=float(params["reg_lambda"]), maxIter=100)
 
 
 @query("random_search")
@@ -203,7 +203,7 @@ def permutation_importance(spark, sf):
     prepared, rows = _ready(spark, sf)
     model = _logistic({"reg_lambda": 0.0}).fit(rows)
     keys = ["race_id", "line", "item", "supp", "ts", "l_extendedprice"]
-    return training.permutation_importance(model, prepared, rows.drop("features"), "y", INPUTS, keys, repeats=2)
+    return training.permutation_importance(model, prepared, rows.drop("features"), "y", INPUTS, keys, repeats=5)
 
 
 @query("rank_importances", f"""{lens('lanes')}, g as (select player_id % 50 as feature, max(price) as importance from lanes group by 1)

@@ -418,10 +418,18 @@ def lane_share_prior(spark, sf):
     return rounded(priors.lane_share_prior(lenses.payouts(spark, sf).where("valid"), "venue", R3))
 
 
-@query("share_violations", "select cast(null as bigint) as venue, cast(null as double) as total where false")
+@query("share_violations", f"""{lens('payouts')}, s as (select venue, count(*) filter (where r1 = 1) / (3.0 * count(*)) as gone
+ from payouts where valid group by 1 having count(*) > 0)
+select venue, {r("1 - gone", 6)} as total
+ from s where venue % 4 = 0 and gone > 0""")
 def share_violations(spark, sf):
-    shares = priors.lane_share_prior(lenses.payouts(spark, sf).where("valid"), "venue", R3)
-    return priors.share_violations(shares, "venue")
+    """Shares of every fourth venue are broken: its first boats' wins in lane 1 are taken out."""
+    races = lenses.payouts(spark, sf).where("valid")
+    wins = races.groupBy("venue").agg((F.sum((F.col("r1") == 1).cast("int")) / (3 * F.count(F.lit(1)))).alias("gone"))
+    shares = priors.lane_share_prior(races, "venue", R3).join(wins, "venue")
+    broken = (F.col("venue") % 4 == 0) & (F.col("lane") == 1)
+    shares = shares.withColumn("share", F.col("share") - F.when(broken, F.col("gone")).otherwise(0.0))
+    return rounded(priors.share_violations(shares, "venue"), 6)
 
 
 def _venue_prior_sql():
@@ -462,9 +470,12 @@ def venue_signal_prior_hot(spark, sf):
     return rounded(signal_prior(spark, sf, split_rows=(100, 500)), 6)
 
 
-@query("signal_violations", f"{lens('payouts')}, {_venue_prior_sql()} select venue from vp where false")
+@query("signal_violations", f"{lens('payouts')}, {_venue_prior_sql()} select venue from vp where venue % 4 = 0")
 def signal_violations(spark, sf):
-    return priors.signal_violations(signal_prior(spark, sf)).select("venue")
+    """One base of every fourth venue is raised; the check must name these venues and no other."""
+    broken = F.when(F.col("venue") % 4 == 0, 0.25).otherwise(0.0)
+    prior = signal_prior(spark, sf).withColumn("base_top2_1", F.col("base_top2_1") + broken)
+    return priors.signal_violations(prior).select("venue")
 
 
 _before = "over (partition by p.venue, day order by race_no, race_id rows between unbounded preceding and 1 preceding)"

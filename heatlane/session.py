@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -28,7 +30,19 @@ def build_session(master: str | None = None, app: str = "heatlane", **conf) -> S
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, wherever the driver was started."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="heatlane-package-")  # Spark copies the file to the executors
+    name = os.path.basename(here)
+    skip = shutil.ignore_patterns("__pycache__")
+    shutil.copytree(here, os.path.join(folder, "root", name), ignore=skip)
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, name), "zip", os.path.join(folder, "root")))
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -40,7 +54,7 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="heatlane-"))
         root = context.getCheckpointDir()

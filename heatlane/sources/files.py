@@ -2,36 +2,74 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SOURCE = "__source_file"
+JAPANESE = "cp932"
 
 
 def _strings(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def header_groups(spark: SparkSession, folder: str, encoding: str = "UTF-8") -> list[tuple[tuple[str, ...], list[str]]]:
-    """(header, files) groups of the CSV files of a folder.
+def file_heads(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, head, is_utf8) of the CSV files: the bytes of the first line, and
+    whether all lines are valid UTF-8. Files are read line by line."""
+    lines = spark.read.text(folder, pathGlobFilter="*.csv").select(
+        F.col("_metadata.file_path").alias("path"), "value",
+        F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n")).alias("place"),
+    )
+    return lines.groupBy("path").agg(
+        F.min_by(F.col("value").cast("binary"), "place").alias("head"), F.bool_and(F.is_valid_utf8("value")).alias("is_utf8")
+    )
+
+
+def header_groups(spark: SparkSession, folder: str) -> list[tuple[tuple[str, ...], bool, list[str]]]:
+    """(header, is UTF-8, files) groups of the CSV files of a folder.
 
-    Only first lines travel to the driver, one per distinct header and its file
-    names: the CSV source maps columns by position, so files with another
-    header order must be read apart.
+    The CSV source maps columns by position, so files with another header order
+    are read apart. One short row per file travels to the driver, whose file
+    index holds the paths anyway; the header goes through a CSV reader.
     """
-    first = (
-        spark.read.option("encoding", encoding).text(folder, wholetext=True, pathGlobFilter="*.csv")
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.replace(F.regexp_extract("value", r"^﻿?([^\r\n]*)", 1), F.lit('"'), F.lit("")).alias("header"),
-        )
-    )
-    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    return [(tuple(g["header"].split(",")), g["paths"]) for g in sorted(groups, key=lambda g: g["paths"][0])]
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for row in file_heads(spark, folder).collect():
+        text = bytes(row["head"]).decode("utf-8" if row["is_utf8"] else JAPANESE).lstrip("\ufeff").rstrip("\r")
+        groups.setdefault((tuple(next(csv.reader([text]))), row["is_utf8"]), []).append(row["path"])
+    return sorted(((h, ok, sorted(paths)) for (h, ok), paths in groups.items()), key=lambda g: g[2][0])
+
+
+def _japanese(raw: Column) -> Column:
+    """Bytes of Windows Japanese text, which Spark's own decoders don't know."""
+
+    def decode(values: pd.Series) -> pd.Series:
+        return values.map(lambda b: None if b is None else bytes(b).decode(JAPANESE))
+
+    return F.pandas_udf(decode, "string")(raw)
+
+
+def _scan(spark: SparkSession, header: Sequence[str], utf8: bool, paths: list[str]) -> DataFrame:
+    """Files of one header and charset. Japanese bytes are carried through the CSV
+    reader as Latin-1, one character a byte, in which no comma, quote or line end
+    can be part of a character."""
+    reader = spark.read.schema(_strings(header)).option("header", True).option("enforceSchema", True).option("escape", '"')
+    rows = reader.option("encoding", "UTF-8" if utf8 else "ISO-8859-1").csv(paths)
+    rows = rows.select("*", F.col("_metadata.file_name").alias(SOURCE))
+    if utf8:
+        return rows
+    return rows.withColumns({c: _japanese(F.encode(F.col(f"`{c}`"), "ISO-8859-1")) for c in header})
+
+
+def _union(frames: list[DataFrame], folder: str) -> DataFrame:
+    if not frames:
+        raise FileNotFoundError(f"no CSV files in {folder}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def scan_daily_csv(spark: SparkSession, folder: str, wanted: Sequence[str] | None = None) -> DataFrame:
@@ -40,16 +78,10 @@ def scan_daily_csv(spark: SparkSession, folder: str, wanted: Sequence[str] | Non
     Columns are matched by name across files; a column a file lacks is null.
     """
     frames = []
-    for header, paths in header_groups(spark, folder):
-        rows = (
-            spark.read.schema(_strings(header)).option("header", True).option("enforceSchema", True).csv(paths)
-        )
-        rows = rows.select("*", F.col("_metadata.file_name").alias(SOURCE))
+    for header, utf8, paths in header_groups(spark, folder):
         texts = {c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in header}
-        frames.append(rows.withColumns(texts))
-    if not frames:
-        raise FileNotFoundError(f"no CSV files in {folder}")
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        frames.append(_scan(spark, header, utf8, paths).withColumns(texts))
+    out = _union(frames, folder)
     if wanted is not None:
         out = scan_projected(out, [*wanted, SOURCE])
     return out
@@ -60,29 +92,10 @@ def scan_projected(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select(*[f"`{c}`" for c in wanted if c in df.columns])
 
 
-def utf8_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, is_utf8) of the CSV files, decided by decoding their bytes."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    return raw.select("path", F.is_valid_utf8(F.col("content").cast("string")).alias("is_utf8"))
-
-
 def scan_csv_lenient(spark: SparkSession, folder: str) -> DataFrame:
-    """UTF-8 files as they are, the others as Windows Japanese text.
-
-    Bad bytes decide per file. The CSV source knows the Japanese charset only
-    with ``spark.sql.legacy.javaCharsets``, which is set when it is needed.
-    """
-    flags = {r["path"]: r["is_utf8"] for r in utf8_files(spark, folder).collect()}  # one short row per file
-    frames = []
-    for good, encoding in ((True, "UTF-8"), (False, "windows-31j")):
-        paths = sorted(p for p, ok in flags.items() if ok == good)
-        if not paths:
-            continue
-        if not good:
-            spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-        rows = spark.read.option("header", True).option("encoding", encoding).option("inferSchema", False).csv(paths)
-        frames.append(rows.select("*", F.col("_metadata.file_name").alias(SOURCE)))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """UTF-8 files as they are, the others as Windows Japanese text; bad bytes
+    decide per file, and each file's columns go by its own header."""
+    return _union([_scan(spark, *group) for group in header_groups(spark, folder)], folder)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -93,8 +106,11 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, bom: bool = True) -> None:
+    """CSV with a header; ``bom`` puts a byte order mark before it in each file."""
+    first = df.columns[0]
+    out = df.withColumnRenamed(first, "\ufeff" + first) if bom else df
+    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_versioned(df: DataFrame, root: str, name: str, start: str, end: str, params: dict, version: str = "v1") -> str:

@@ -453,31 +453,42 @@ def meeting_rows(pages: DataFrame) -> DataFrame:
     return keep_first(out, ["page_id", "place"], ["row_no"]).drop("row_no")
 
 
+def page_day() -> Column:
+    """The day YYYYMMDD in a page id."""
+    return F.regexp_extract("page_id", "([0-9]{8})", 1)
+
+
 def player_sex(pages: DataFrame) -> DataFrame:
-    """(player, sex) from the marks beside the profile links."""
+    """(date, player, sex) from the marks beside the profile links of a day's index
+    pages. Two players of one name and different marks leave the sex open."""
     cells = page_cells(pages).where(F.exists("pieces", lambda x: x["ref"].contains("racersearch/profile")))
     link = F.get(F.filter("pieces", lambda x: x["ref"].contains("racersearch/profile")), 0)["text"]
     lady = F.exists("pieces", lambda x: F.array_contains(x["classes"], "is-lady"))
     empty = F.exists("pieces", lambda x: F.array_contains(x["classes"], "is-empty"))
     sex = F.when(lady, "女性").when(empty, "男性").otherwise("不明")
-    return cells.select(tx.person_name(link).alias("player"), sex.alias("sex")).groupBy("player").agg(F.min("sex").alias("sex"))
+    named = cells.select(page_day().alias("date"), tx.person_name(link).alias("player"), sex.alias("sex"))
+    one = F.when(F.min("sex") == F.max("sex"), F.min("sex")).otherwise("不明")
+    return named.groupBy("date", "player").agg(one.alias("sex"))
 
 
 def extract_race_day(
     card: DataFrame, forecast: DataFrame, before: DataFrame, result: DataFrame,
     venues: DataFrame, meetings: DataFrame, index: DataFrame,
 ) -> tuple[DataFrame, DataFrame]:
-    """(raw rows, refund rows): the seven page kinds of a day joined to one row
-    per boat. Races whose result page gives no rows are skipped."""
+    """(raw rows, refund rows): the seven page kinds of any number of days joined
+    to one row per boat. Races whose result page gives no rows are skipped. Venues,
+    meetings and players belong to the day in their page's id."""
     key = ["race_id", "wakuban"]
-    place = venue_rows(venues).drop("page_id").join(meeting_rows(meetings).drop("page_id"), "place", "left")
+    dated = [x.withColumn("date", page_day()).drop("page_id") for x in (venue_rows(venues), meeting_rows(meetings))]
+    venue, meeting = (keep_first(x, ["date", "place"], [c for c in x.columns if c not in ("date", "place")]) for x in dated)
+    place = venue.join(meeting, ["date", "place"], "left")
     rows = (
         card_rows(card).join(result_rows(result), key)
         .join(card_deadline(card), "race_id", "left")
         .join(forecast_rows(forecast), key, "left")
         .join(before_rows(before), key, "left")
-        .join(player_sex(index), "player", "left")
-        .join(F.broadcast(place), "code", "left")  # at most 24 venues
+        .join(player_sex(index), ["date", "player"], "left")
+        .join(place, ["date", "code"], "left")
     )
     rows = group_all_flag(rows, "race_id", F.col("entry_tenji") == F.col("wakuban"), "is_wakunari")
     rows = rows.withColumn("section_id", tk.section_id(F.col("date"), F.col("code"), F.col("schedule")))

@@ -88,6 +88,20 @@ def test_race_day(spark):
     assert [r["cells"] for r in refund.collect()] == [["3連単", "1-3-2"]]
 
 
+def test_race_days_side_by_side(spark):
+    """Two days of pages give each race its own six boats and its own day's meeting."""
+    days = ("20260114", "20260115")
+    races = [d + html.RACE[8:] for d in days]
+    of_race = lambda page: pages(spark, *[(f"x{r}", page(r) if page is html.card else page()) for r in races])
+    of_day = lambda name, page, more="": pages(spark, *[(f"{name}{d}{more}", page()) for d in days])
+    raw, _ = racing.extract_race_day(
+        of_race(html.card), of_race(html.forecast), of_race(html.before), of_race(html.result),
+        of_day("pay", html.venues), of_day("index", html.meetings), of_day("raceindex", html.index, "01"),
+    )
+    assert rows(raw.groupBy("race_id").count()) == [(r, 6) for r in races]
+    assert raw.where("place is null or title is null or sex is null").count() == 0
+
+
 def test_conditions_before_first_report(spark):
     out = racing.before_rows(pages(spark, (html.RACE, html.before(early=True)))).first()
     assert (out["temperature"], out["wind_direction"], out["weather"]) == (None, None, "晴")

@@ -31,6 +31,22 @@ def test_scan_csv_lenient(spark, tmp_path):
     assert rows(files.scan_csv_lenient(spark, str(tmp_path)), "place", "v") == [("戸田", "2"), ("桐生", "1")]
 
 
+def test_headers_in_other_orders_quotes_and_charsets(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes('place,"v,w"\nAAA,1\n'.encode("utf-8-sig"))
+    (tmp_path / "b.csv").write_bytes('"v,w",place\n2,BBB\n"x,y","q""r"\n'.encode())
+    (tmp_path / "c.csv").write_bytes('"v,w",place,場\n3,戸田ソ表,"予,約"\n'.encode("cp932"))
+    got = files.scan_csv_lenient(spark, str(tmp_path)).select("place", "`v,w`", "場")
+    assert rows(got) == sorted([("AAA", "1", None), ("BBB", "2", None), ('q"r', "x,y", None), ("戸田ソ表", "3", "予,約")], key=repr)
+    assert rows(files.scan_daily_csv(spark, str(tmp_path)), "place") == [("AAA",), ("BBB",), ('q"r',), ("戸田ソ表",)]
+
+
+def test_csv_sink_starts_with_a_mark(spark, tmp_path):
+    files.write_csv(spark.createDataFrame([(1, "x")], "k int, t string").coalesce(1), str(tmp_path / "c"))
+    (part,) = (tmp_path / "c").glob("*.csv")
+    assert part.read_bytes() == b"\xef\xbb\xbfk,t\n1,x\n"
+    assert rows(files.scan_daily_csv(spark, str(tmp_path / "c")), "k", "t") == [("1", "x")]
+
+
 def test_versioned(spark, tmp_path):
     df = spark.createDataFrame([(1, 0.5)], "k int, p double")
     path = files.write_versioned(df, str(tmp_path), "tenji", "20240101", "20241231", {"m_strength": 200})
@@ -41,7 +57,7 @@ def test_versioned(spark, tmp_path):
 
 def test_csv_and_parquet_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "優勝戦")], "k int, t string")
-    files.write_csv(df, str(tmp_path / "c"))
+    files.write_csv(df, str(tmp_path / "c"), bom=False)
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).first()["t"] == "優勝戦"
     files.write_parquet(df, str(tmp_path / "p"))
     assert files.read_parquet(spark, str(tmp_path / "p")).first()["t"] == "優勝戦"
