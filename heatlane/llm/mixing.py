@@ -57,13 +57,10 @@ def rates(
             *[F.when(F.col("source").eqNullSafe(F.lit(k)), F.lit(float(w))) for k, w in weights.items()], F.lit(0.0)
         )
     weighed = sizes.withColumn("weight", F.when(F.col("size") > 0, weight).otherwise(0.0))
-    sums = weighed.agg(F.sum("weight").alias("weights"), F.sum("size").alias("sizes"))
-    goal = F.col("sizes").cast("double") if total is None else F.lit(float(total))
-    return weighed.join(F.broadcast(sums)).select(
-        "source", "size",
-        F.when((F.col("size") > 0) & (F.col("weights") > 0), F.col("weight") / F.col("weights") * goal / F.col("size"))
-        .otherwise(0.0).alias("rate"),
-    )
+    sums = weighed.agg(F.sum("weight").alias("weights"), F.sum("size").alias("sizes")).first()  # two numbers
+    goal = float((sums["sizes"] or 0) if total is None else total)
+    share = F.col("weight") / F.lit(float(sums["weights"] or 1.0))
+    return weighed.select("source", "size", F.when(F.col("size") > 0, share * goal / F.col("size")).otherwise(0.0).alias("rate"))
 
 
 def mix(
