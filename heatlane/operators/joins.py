@@ -56,8 +56,16 @@ def hit_rate(df: DataFrame, col: str, name: str = "hit_rate") -> DataFrame:
 
 
 def attach_history(df: DataFrame, hist: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """History features by key; a null axis finds nothing and stays null."""
-    return df.join(hist, list(keys), "left")
+    """History features by key; a null axis finds nothing and stays null. Several
+    history rows of one key are an error, raised where the row is made: the check
+    rides on the aggregate and reads the history once."""
+    names = [c for c in hist.columns if c not in keys]
+    known = hist.dropna(subset=list(keys))
+    one = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.any_value(c).alias(c) for c in names])
+    shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    clash = F.raise_error(F.concat(F.lit("several history rows for "), shown))
+    checked = [F.when(F.col("__n") > 1, clash).otherwise(F.col(c)).alias(c) for c in names]
+    return df.join(one.select(*keys, *checked), list(keys), "left")
 
 
 def attach_new_columns(df: DataFrame, right: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -117,7 +117,7 @@ def history_table(raw: DataFrame, start, end, warmup: int = 180) -> DataFrame:
 
 
 def with_history(df: DataFrame, hist: DataFrame, n: int = 10) -> DataFrame:
-    """Player history by entry course and by gate, joined on (race, player)."""
+    """Player history by entry course and by gate, joined on (race, player, axis)."""
     flags = {f"finish{i}": f"f{i}" for i in (1, 2, 3)}
     out = df
     for axis, suffix in (("entry", "_entry"), ("wakuban", "_waku")):
@@ -126,8 +126,8 @@ def with_history(df: DataFrame, hist: DataFrame, n: int = 10) -> DataFrame:
             rows, "player_id", axis, ["date", "race_id"], "started", flags, "ST", n=n, suffix=suffix
         )
         keep = [c for c in feats.columns if c.endswith(suffix)]
-        one = feats.groupBy("race_id", "player_id").agg(*[F.first(c).alias(c) for c in keep])
-        out = joins.attach_history(out, one, ["race_id", "player_id"])
+        keys = ["race_id", "player_id", axis]
+        out = joins.attach_history(out, feats.select(*keys, *keep), keys)
     return out
 
 

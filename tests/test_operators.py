@@ -196,3 +196,12 @@ def test_due_jobs(spark):
     t = t.withColumn("deadline_dt", F.col("d").cast("timestamp"))
     out = filters.due_jobs(t, F.lit("2024-01-01 09:30:00").cast("timestamp"), 5)
     assert [str(r["run_at"]) for r in out.collect()] == ["2024-01-01 09:55:00"]
+
+
+def test_history_join_is_many_to_one(spark):
+    df = spark.createDataFrame([("r", "p", 1), ("r", "q", None), ("s", "p", 2)], "race string, player string, axis int")
+    hist = spark.createDataFrame([("r", "p", 1, 0.5), ("r", "p", 3, 0.7), ("r", "q", None, 0.1), ("r", "q", None, 0.2)], "race string, player string, axis int, rate double")
+    keys = ["race", "player", "axis"]
+    assert rows(joins.attach_history(df, hist, keys), "race", "player", "rate") == [("r", "p", 0.5), ("r", "q", None), ("s", "p", None)]
+    with pytest.raises(Exception, match="several history rows for r, p, 1"):
+        joins.attach_history(df, hist.unionByName(hist), keys).collect()
