@@ -471,7 +471,7 @@ def required_keys(spark, sf):
 
 @query(
     "sample_rows",
-    None,
+    "select o_orderkey, o_custkey from orders order by md5(concat_ws('|', o_orderkey, 42)), o_orderkey limit 100",
 )
 def sample_rows(spark, sf):
     """Fixed-seed sample of 100 rows: the sampling operator."""

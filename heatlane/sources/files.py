@@ -131,4 +131,4 @@ def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """The same ``n`` rows on every run: the smallest seeded hashes."""
-    return df.orderBy(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), *keys).limit(n)
+    return df.orderBy(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))), *keys).limit(n)
