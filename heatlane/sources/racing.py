@@ -17,6 +17,7 @@ from heatlane.functions import text as tx
 from heatlane.functions import tokens as tk
 from heatlane.operators.quality import group_all_flag
 from heatlane.operators.windows import keep_first, rank_in_group
+from heatlane.session import durable
 from heatlane.sources.markup import page_cells, page_elements
 
 BOAT_ROWS = 4
@@ -121,7 +122,7 @@ def pick_column(exact: Sequence[str], contains: Sequence[str] = (), without: Seq
 def extract_motor_snapshot(pages: DataFrame) -> DataFrame:
     """Ranking page to one row per motor; page_id holds ``YYYYMMDD`` and the
     two-digit venue."""
-    cells = page_cells(pages)
+    cells = durable(page_cells(pages), "cells")  # two branches read them
     columns = header_names(cells).groupBy("page_id", "table_no").agg(
         pick_column(["順位_順位", "順位"]).alias("c_rank"),
         pick_column(["モーター_番号"], ["モーター", "番号"], ["ボート"]).alias("c_number"),
@@ -167,7 +168,7 @@ def extract_payouts(pages: DataFrame, start: str | None = None, end: str | None
         dated = dated.where(F.col("__day") >= start)
     if end:
         dated = dated.where(F.col("__day") <= end)
-    cells = page_cells(dated).where(has("table_classes", "is-strited1") & has("table_classes", "is-wAuto"))
+    cells = durable(page_cells(dated).where(has("table_classes", "is-strited1") & has("table_classes", "is-wAuto")), "cells")
     # an area block marks a venue; its order among such header cells is its column block
     area = F.size(F.filter("pieces", lambda x: F.array_contains(x["classes"], "table1_area"))) > 0
     heads = cells.where((F.col("section") == "thead") & has("classes", "is-thColor6") & area)
@@ -241,7 +242,7 @@ def extract_timeline(pages: DataFrame, day: str) -> DataFrame:
     page_id holds the venue code. Cancelled days are left out; a page needs
     twelve times in the row labelled 締切予定時刻.
     """
-    titles = page_elements(pages, ["h3", "h2"])
+    titles = durable(page_elements(pages, ["h3", "h2"]), "titles")
     cancelled = titles.where(
         has("classes", "title12_title") & F.col("text").rlike("レース中止|順延")
     ).select("page_id").distinct()
@@ -318,7 +319,7 @@ def card_deadline(pages: DataFrame) -> DataFrame:
 
 def forecast_rows(pages: DataFrame) -> DataFrame:
     """Prediction marks per boat and the race title."""
-    e = page_elements(pages, ["img", "h3", "span", "div", "p"])
+    e = durable(page_elements(pages, ["img", "h3", "span", "div", "p"]), "elements")
     race = F.regexp_extract("page_id", "([0-9]{12})", 1)
     title = e.where(has("classes", "title16__add2020")).groupBy("page_id").agg(F.min_by("text", "seq").alias("t"))
     parts = title.select(race.alias("race_id"), tk.race_title(F.col("t")).alias("x")).select("race_id", "x.*")
@@ -346,7 +347,7 @@ def before_rows(pages: DataFrame) -> DataFrame:
     The start exhibition lists gates by course; each gate gets its course and
     the start time seen there.
     """
-    cells = page_cells(pages)
+    cells = durable(page_cells(pages), "cells")
     race = F.regexp_extract("page_id", "([0-9]{12})", 1)
     boats = boat_bodies(cells).groupBy("page_id", (F.col("body_no") + 1).cast("long").alias("wakuban")).agg(
         F.regexp_extract(at(0, 3), r"([0-9.]+)", 1).try_cast("double").alias("weight_now"),
@@ -359,7 +360,7 @@ def before_rows(pages: DataFrame) -> DataFrame:
         F.substring("text", 1, 1).try_cast("long").alias("wakuban"),
         tx.strip(F.right(F.col("text"), F.lit(4))).alias("ST_tenji"),
     )
-    e = page_elements(pages, ["div", "p", "span"])
+    e = durable(page_elements(pages, ["div", "p", "span"]), "elements")
     units = e.where(has("classes", "weather1_bodyUnit")).groupBy("page_id").agg(
         F.min(F.when(has("classes", "is-weather"), F.col("text"))).alias("weather"),
         *[
@@ -383,7 +384,7 @@ def before_rows(pages: DataFrame) -> DataFrame:
 def result_rows(pages: DataFrame) -> DataFrame:
     """Finishing order, entry course and start time per boat, plus remarks.
     A start time with a letter is left null here."""
-    cells = page_cells(pages).where(F.col("section") == "tbody")
+    cells = durable(page_cells(pages).where(F.col("section") == "tbody"), "cells")
     race = F.regexp_extract("page_id", "([0-9]{12})", 1)
     order = cells.where(F.col("table_no") == 1).groupBy("page_id", "row_no").agg(
         F.max(F.when(F.col("cell_no") == 0, F.col("text"))).alias("rank"),
