@@ -34,9 +34,11 @@ PATTERNS = {
 }
 
 
-def lane_arrays(df: DataFrame, race: str, lane: str, prob: str, ability: str | None = None) -> DataFrame:
-    """One row per race with lane values as a six-element array. Missing lanes
-    are 0. Six conditional buffers per race, whatever the race holds."""
+def lane_arrays(
+    df: DataFrame, race: str, lane: str, prob: str, ability: str | None = None, level: Column | None = None
+) -> DataFrame:
+    """One row per race with lane values as a six-element array, and the race's
+    level. Missing lanes are 0. Six conditional buffers per race, whatever the race holds."""
 
     def packed(col: str) -> Column:
         return F.array(
@@ -46,6 +48,7 @@ def lane_arrays(df: DataFrame, race: str, lane: str, prob: str, ability: str | N
     cols = [packed(prob).alias("p")]
     if ability:
         cols.append(packed(ability).alias("raw"))
+    cols.append(F.max(F.lit("normal") if level is None else level).alias("level"))
     out = df.groupBy(race).agg(*cols)
     if not ability:
         return out.withColumn("a", F.lit(None).cast("array<double>"))
@@ -79,13 +82,19 @@ def attackers(races: DataFrame, race: str, most: int = 2, threshold: float = 0.2
     return (
         races.withColumn("__best", best)
         .withColumn("n_attackers", F.size("__best"))
-        .select(race, "p", "a", "n_attackers", F.explode("__best").alias("__b"))
+        .select(race, "p", "a", "level", "n_attackers", F.explode("__best").alias("__b"))
         .withColumn("att", -F.col("__b.neg"))
         .drop("__b")
     )
 
 
-def _patterns(level: str, exacta: bool) -> Column:
+def _gate(position: int) -> Column:
+    """Gate values of the row's level; an unknown level counts as normal."""
+    known = F.create_map(*[F.lit(x) for name, gates in REVERSE_GATES.items() for x in (name, gates[position])])
+    return F.coalesce(F.try_element_at(known, F.col("level")), F.lit(REVERSE_GATES["normal"][position]))
+
+
+def _patterns(exacta: bool) -> Column:
     """Array of (first, second, prior, tag) for the attacker of the row; patterns
     that do not apply are dropped."""
     att, p = F.col("att"), F.col("p")
@@ -94,8 +103,8 @@ def _patterns(level: str, exacta: bool) -> Column:
     alt = F.greatest(att - 1, F.lit(2))
     preferred = F.when(F.element_at(p, 1) >= 0.95 * F.element_at(p, nb), one).otherwise(nb)
     signal = F.when(F.col("a").isNull(), _ratio(p, att, nb)).otherwise(_ratio(F.col("a"), att, nb))
-    gate, weak = REVERSE_GATES.get(level, REVERSE_GATES["normal"])
-    need = F.when(att == 3, F.lit(gate - 0.02)).otherwise(F.lit(gate))
+    gate, weak = _gate(0), _gate(1)
+    need = F.when(att == 3, gate - 0.02).otherwise(gate)
     reverse_prior = 0.80 + 0.10 * clip((signal - 0.70) / 0.30, 0, 1)
     has_nb = nb != att
     lanes = {
@@ -126,24 +135,27 @@ def _floor(lane: Column) -> Column:
 
 def rank_tickets(
     df: DataFrame, race: str, lane: str, prob: str, ability: str | None = None,
-    per_attacker: int = 10, most: int = 2, threshold: float = 0.20, level: str = "normal",
+    per_attacker: int = 10, most: int = 2, threshold: float = 0.20, level: str | Column = "normal",
 ) -> DataFrame:
     """(race, ticket ``i-j-k``, score, tag): best score per ticket, at most
-    ``per_attacker`` tickets for each attacker of the race."""
+    ``per_attacker`` tickets for each attacker of the race. ``level`` is one name
+    for all races or a column of the rows, so that races of several levels are
+    ranked together."""
     return _rank(df, race, lane, prob, ability, per_attacker, most, threshold, level, exacta=False)
 
 
 def rank_exactas(
     df: DataFrame, race: str, lane: str, prob: str, ability: str | None = None,
-    most: int = 2, threshold: float = 0.20, level: str = "normal",
+    most: int = 2, threshold: float = 0.20, level: str | Column = "normal",
 ) -> DataFrame:
     """First-two form: tickets ``i-j-0``, at most six per attacker."""
     return _rank(df, race, lane, prob, ability, 6, most, threshold, level, exacta=True)
 
 
 def _rank(df, race, lane, prob, ability, per_attacker, most, threshold, level, exacta) -> DataFrame:
-    live = attackers(lane_arrays(df, race, lane, prob, ability), race, most, threshold)
-    rows = live.select("*", F.explode(_patterns(level, exacta)).alias("t"))
+    grade = F.lit(level) if isinstance(level, str) else level
+    live = attackers(lane_arrays(df, race, lane, prob, ability, grade), race, most, threshold)
+    rows = live.select("*", F.explode(_patterns(exacta)).alias("t"))
     core = F.pow(_floor(F.col("t.i")), FIRST_POWER) * F.pow(_floor(F.col("t.j")), SECOND_POWER)
     if exacta:
         rows = rows.withColumn("k", F.lit(0)).withColumn("score", F.col("t.prior") * core)

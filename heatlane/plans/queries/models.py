@@ -6,10 +6,11 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from heatlane.functions import scoring
-from heatlane.ml import metrics, preprocess, training
+from heatlane.ml import metrics, preprocess, store, training
 from heatlane.operators import joins, windows
 from heatlane.plans import lenses
 from heatlane.plans.lenses import table
+from heatlane.session import scratch_path
 from heatlane.plans.registry import lens, query, r, rounded
 
 NUMBERS = ["c_acctbal", "c_nationkey", "adv_p1"]
@@ -233,13 +234,58 @@ def adopt_trial(spark, sf):
     return training.adopt(t, 200000.0).select("trial")
 
 
-@query("pair_dataset", None)
-def pair_dataset(spark, sf):
-    """Pair model: features of lane pairs, scored by logistic regression."""
+def _pairs(spark, sf):
+    """Features of lane pairs, each scored by a model fitted on the other folds."""
     b = lenses.boats(spark, sf).withColumn("is_top2", (F.col("finish") <= 2).cast("int"))
     cols = ["price", "time_tenji", "discount", "is_top2"]
     pairs = scoring.pair_features(joins.pairs_within_group(b, "race_id", "lane", cols), ["time_tenji"], ["discount"], "is_top2")
     names = ["time_tenji_mean", "time_tenji_diff", "time_tenji_adiff", "shared_discount"]
     prepared = preprocess.fit(pairs, names)
-    rows = prepared.vector(pairs)
-    return training.score(_logistic({"reg_lambda": 0.01}).fit(rows), rows, "p_top2set").select("race_id", "lane_i", "lane_j", "y", "p_top2set")
+    rows = training.stratified_folds(prepared.vector(pairs), "y", ["race_id", "lane_i", "lane_j"])
+    return training.out_of_fold(rows, _logistic({"reg_lambda": 0.01}), name="p_top2set")
+
+
+@query("pair_dataset", None)
+def pair_dataset(spark, sf):
+    """Out-of-fold scores of lane pairs, five stratified folds."""
+    return _pairs(spark, sf).select("race_id", "lane_i", "lane_j", "y", "fold", "p_top2set")
+
+
+@query("pair_scores_check", f"""{lens('boats')}, t as (select race_id, lane, finish <= 2 as top from boats)
+select a.race_id, a.lane as lane_i, b.lane as lane_j, cast(a.top and b.top as int) as y, true as in_range, cast(1 as bigint) as n
+ from t a join t b on a.race_id = b.race_id and a.lane < b.lane""")
+def pair_scores_check(spark, sf):
+    """Every pair once, with its label and a probability."""
+    p = _pairs(spark, sf)
+    return p.groupBy("race_id", "lane_i", "lane_j", F.col("y").cast("int").alias("y")).agg(
+        F.bool_and(F.col("p_top2set").between(0, 1)).alias("in_range"), F.count(F.lit(1)).alias("n")
+    )
+
+
+@query("saved_model_scores", f"""{lens('scored')} select race_id, line, part as item, supp, ts, l_extendedprice, true as equal, true as in_range from scored""")
+def saved_model_scores(spark, sf):
+    """Transform, base, second and stacked model written, read again and applied to
+    raw rows give the scores they gave before."""
+    keys = ["race_id", "line", "item", "supp", "ts", "l_extendedprice"]
+    raw = lenses.scored(spark, sf).withColumnRenamed("part", "item").dropDuplicates(keys)
+    prepared = preprocess.fit(raw, INPUTS)
+    second_prepared = preprocess.fit(raw, INPUTS[:2])
+    base = _logistic({"reg_lambda": 0.01}).fit(prepared.vector(raw))
+    second = training.boosted_trees({"n_estimators": 5, "num_leaves": 7}).fit(second_prepared.vector(raw))
+
+    def both(rows, first, other, models):
+        out = training.score(models[0], first.vector(rows), "p_base").drop("features")
+        return training.score(models[1], other.vector(out), "p_sectional").drop("features").withColumn("stage", F.lit("all"))
+
+    contexts = {"stage": ["all"]}
+    before = both(raw, prepared, second_prepared, (base, second))
+    stack, names = training.stack(before, "y", contexts)
+    root = scratch_path(spark, "models")
+    for name, p in (("base", prepared), ("second", second_prepared)):
+        store.save_prepared(spark, p, f"{root}/{name}-prepared")
+    for name, m in (("base", base), ("second", second), ("stack", stack)):
+        store.save_model(m, f"{root}/{name}")
+    loaded = [store.load_model(spark, f"{root}/{n}") for n in ("base", "second", "stack")]
+    after = both(raw, *[store.load_prepared(spark, f"{root}/{n}-prepared") for n in ("base", "second")], loaded[:2])
+    scores = [training.apply_stack(m, rows, names, contexts) for m, rows in ((stack, before), (loaded[2], after))]
+    return store.same_scores(*scores, keys, "p_meta")

@@ -120,3 +120,30 @@ def test_out_of_fold_and_stack(spark, table):
     assert names[-2:] == ["stage_finals", "stage_semi"]
     out = training.apply_stack(model, both.drop("stage"), names, contexts)
     assert out.where("p_meta between 0 and 1").count() == table.count()
+
+
+def test_store_round_trip(spark, table, tmp_path):
+    from heatlane.ml import store
+
+    prepared = preprocess.fit(table, ["x", "z"], ["c"])
+    store.save_prepared(spark, prepared, str(tmp_path / "p"))
+    again = store.load_prepared(spark, str(tmp_path / "p"))
+    assert again == prepared and again.names == prepared.names
+    ready = prepared.vector(table)
+    for name, est in (("lr", make({"reg_lambda": 0.1})), ("gbt", training.boosted_trees({"n_estimators": 2, "num_leaves": 7}))):
+        model = est.fit(ready)
+        store.save_model(model, str(tmp_path / name))
+        loaded = store.load_model(spark, str(tmp_path / name))
+        checks = store.same_scores(training.score(model, ready), training.score(loaded, again.vector(table)), ["race", "lane"])
+        assert checks.where("equal and in_range").count() == table.count()
+
+
+def test_search_space_and_seeds(spark, table):
+    with pytest.raises(ValueError, match="reg_lambda"):
+        training.boosted_trees({"reg_lambda": 1.0})
+    assert training.boosted_trees({"num_leaves": 4095}).getMaxDepth() == 12
+    ready = preprocess.fit(table, ["x", "z"]).vector(table)
+    params = {"n_estimators": 2, "num_leaves": 7, "subsample": 0.7}
+    runs = training.seed_runs(ready, training.boosted_trees, params, "race", "y", ["lane"])
+    assert [r["seed"] for r in runs] == [42, 43, 44] and all(r["auc"] > 0.5 for r in runs)
+    assert metrics.seed_stability(spark.createDataFrame(runs), cols=["logloss"]).first()["logloss_std"] >= 0

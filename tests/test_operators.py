@@ -205,3 +205,13 @@ def test_history_join_is_many_to_one(spark):
     assert rows(joins.attach_history(df, hist, keys), "race", "player", "rate") == [("r", "p", 0.5), ("r", "q", None), ("s", "p", None)]
     with pytest.raises(Exception, match="several history rows for r, p, 1"):
         joins.attach_history(df, hist.unionByName(hist), keys).collect()
+
+
+def test_ticket_levels_by_race(spark):
+    """Races of two levels ranked together give what each gives alone."""
+    data = [(r, k, p) for r in ("n", "f") for k, p in zip(range(1, 7), (0.72, 0.5, 0.45, 0.4, 0.3, 0.2))]
+    df = spark.createDataFrame(data, "race string, lane int, p double").withColumn("grade", F.when(F.col("race") == "f", "final").otherwise("normal"))
+    both = tickets.rank_tickets(df, "race", "lane", "p", level=F.col("grade"))
+    for race, level in (("n", "normal"), ("f", "final")):
+        alone = tickets.rank_tickets(df.where(F.col("race") == race), "race", "lane", "p", level=level)
+        assert rows(both.where(F.col("race") == race)) == rows(alone)
