@@ -35,7 +35,8 @@ def dedup_lines(
     the line. A null id counts as one document below all others. An empty table
     gives an empty result.
 
-    Only hashes and positions are exploded and shuffled by key; texts move once,
+    Only hashes and positions are exploded and shuffled by key, in a join that can
+    split a line of very many documents; texts move once,
     by document, and are put together from slices between dropped positions.
     """
     lines = durable(_keyed_lines(docs, id_col, text_col, min_chars), "lines")
