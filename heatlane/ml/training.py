@@ -103,9 +103,15 @@ def seed_runs(df: DataFrame, make, params: dict, race: str, y: str, tie: Sequenc
     return out
 
 
-def rank_trials(trials: DataFrame, top: int = 10) -> DataFrame:
-    """The ``top`` trials by score (log loss, lower first)."""
-    return trials.orderBy("logloss", "trial").limit(top)
+def rank_trials(trials: DataFrame, top: int = 10, score: str = "logloss") -> DataFrame:
+    """The ``top`` trials by a score: log loss from the lowest, any other from the highest."""
+    best = F.col(score).asc() if score == "logloss" else F.col(score).desc()
+    return trials.orderBy(best, "trial").limit(top)
+
+
+def trial_report(trials: DataFrame, score: str = "logloss", top: int = 10, shown: int = 5) -> DataFrame:
+    """Of the ``top`` trials by a score, the ``shown`` of lowest log loss."""
+    return rank_trials(trials, top, score).orderBy("logloss", "trial").limit(shown)
 
 
 def adopt(trials: DataFrame, current_pr_auc: float = 0.0, top: int = 10) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heatlane.operators.windows import keep_first, keep_last
+from heatlane.session import durable
 
 # Most rows of a side that is broadcast; every such side is counted first.
 BROADCAST_ROWS = 200_000
@@ -179,8 +180,9 @@ def effective_join_strict(
     df, ranges, keys, day, value, max_miss_pct: float | None = None, start="effective_from", end="effective_to",
 ):
     """As above, but several different candidates for a row are an error, and so
-    is a share of unmatched rows above ``max_miss_pct``. One aggregate checks both."""
-    found = with_candidates(df, ranges, keys, day, value, start, end)
+    is a share of unmatched rows above ``max_miss_pct``. One aggregate checks both,
+    over the written rows, so that what stands above runs once."""
+    found = durable(with_candidates(df, ranges, keys, day, value, start, end), "effective")
     several = F.coalesce(F.size(F.array_distinct("__found")), F.lit(0)) > 1
     none = F.coalesce(F.size("__found"), F.lit(0)) <= 0
     seen = found.agg(F.max(several.cast("int")).alias("clash"), (F.avg(none.cast("int")) * 100).alias("miss")).first()

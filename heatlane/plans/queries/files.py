@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from heatlane.plans.lenses import table
 from heatlane.plans.registry import query, r, rounded
+from heatlane.session import durable, scratch_path
 from heatlane.sources import markup, vault
 
 PATH = "source || '/' || lang || '_' || cast(20240101 + doc_id % 28 as varchar) || '_' || cast(doc_id as varchar) || '.bin'"
@@ -25,9 +26,10 @@ def files_of(spark, sf):
     )
 
 
-@query("vault_objects", f"with {FILES} select sha256, min(size) as size, cast(0 as int) as is_gzip from files group by 1")
+@query("vault_objects", f"with {FILES} select sha256, min(size) as size, cast(0 as int) as is_gzip, md5(min(text)) as digest from files group by 1")
 def vault_objects(spark, sf):
-    return vault.vault_objects(files_of(spark, sf)).drop("bytes")
+    """With a digest of the bytes, so that they are read."""
+    return vault.vault_objects(files_of(spark, sf)).withColumn("digest", F.md5("bytes")).drop("bytes")
 
 
 @query("vault_objects_gzip", f"with {FILES} select sha256, min(size) as size, cast(1 as int) as is_gzip from files group by 1")
@@ -41,15 +43,29 @@ def vault_index(spark, sf):
 
 
 @query(
-    "vault_export",
+    "vault_select",
     f"with {FILES} select rel_path, sha256, size, text from files where rel_path like 'src1/%'",
 )
-def vault_export(spark, sf):
+def vault_select(spark, sf):
     files = files_of(spark, sf)
     out = vault.vault_select(vault.vault_index(files), vault.vault_objects(files), "src1/%")
     return out.select("rel_path", "sha256", "size", F.decode("bytes", "UTF-8").alias("text"))
 
 
+@query(
+    "vault_export",
+    f"with {FILES} select rel_path, cast(size as bigint) as written, sha256 from files where rel_path like 'src1/%'",
+)
+def vault_export(spark, sf):
+    """Files written out and read back from the folder."""
+    files, folder = files_of(spark, sf), scratch_path(spark, "export")
+    out = vault.vault_select(vault.vault_index(files), vault.vault_objects(files, compress=True), "src1/%")
+    written = durable(vault.vault_export(out, folder), "written")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    found = found.select(F.substring_index("path", "/", -2).alias("rel_path"), F.sha2("content", 256).alias("sha256"))
+    return written.join(found, "rel_path")
+
+
 @query(
     "ingest_counts",
     f"""with {FILES}, o as (select distinct sha256 from files where source = 'src0')

@@ -224,6 +224,17 @@ def rank_trials(spark, sf):
     return training.rank_trials(t).select("trial")
 
 
+@query("trial_report", """with t as (select o_custkey as trial, avg(o_totalprice) as logloss, max(o_totalprice) as pr_auc from orders group by 1),
+k as (select *, row_number() over (order by pr_auc desc, trial) as rn from t)
+select trial from k where rn <= 10 order by logloss, trial limit 5""")
+def trial_report(spark, sf):
+    """Ten best by average precision, five of them by log loss."""
+    t = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("trial")).agg(
+        F.avg("o_totalprice").alias("logloss"), F.max("o_totalprice").alias("pr_auc")
+    )
+    return training.trial_report(t, "pr_auc").select("trial")
+
+
 @query("adopt_trial", """with t as (select o_custkey as trial, avg(o_totalprice) as logloss, max(o_totalprice) as pr_auc from orders group by 1),
 k as (select *, row_number() over (order by logloss, trial) as rn from t)
 select trial from k where rn <= 10 order by (pr_auc >= 200000) desc, logloss, trial limit 1""")

@@ -67,6 +67,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/heatlane/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables of this application; call it when its results are written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/heatlane/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -7,9 +7,11 @@ import os
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow.fs as fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heatlane.operators.joins import sized_broadcast
 from heatlane.operators.sets import upsert
 
 DAY_IN_NAME = r"([0-9]{8})"
@@ -59,16 +61,19 @@ def _gzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def vault_objects(files: DataFrame, compress: bool = False) -> DataFrame:
-    """(sha256, size, is_gzip, bytes): each content once.
+    """(sha256, size, is_gzip, bytes): each content once, out of its first path.
 
-    Copies are dropped map-side first, so a group of copies costs one row per
-    task however large it is.
+    Winners are chosen on hashes and paths alone, map-side first; file bytes are
+    read again for the winners and don't move while their list is counted to be
+    short. Paths are unique.
     """
+    sha = F.sha2("content", 256)
+    winners = files.select("rel_path", sha.alias("sha256")).groupBy("sha256").agg(F.min("rel_path").alias("rel_path"))
     hashed = files.select(
-        F.sha2("content", 256).alias("sha256"), F.col("size").cast("long").alias("size"),
+        "rel_path", sha.alias("sha256"), F.col("size").cast("long").alias("size"),
         F.lit(int(compress)).alias("is_gzip"), F.col("content").alias("bytes"),
     )
-    once = hashed.dropDuplicates(["sha256"])
+    once = hashed.join(sized_broadcast(winners), ["rel_path", "sha256"], "left_semi").drop("rel_path")
     return once.mapInPandas(_gzip, once.schema) if compress else once
 
 
@@ -117,18 +122,24 @@ def vault_select(index: DataFrame, objects: DataFrame, pattern: str, limit: int
     return picked.join(objects.select("sha256", "is_gzip", "bytes"), "sha256")
 
 
+def open_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a URI; a bare path is one of a shared disk."""
+    return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + os.path.abspath(uri.removeprefix("file:")))
+
+
 def vault_export(selected: DataFrame, folder: str) -> DataFrame:
-    """Write the selected files below ``folder`` (shared by all executors); one
+    """Write the selected files below ``folder``, a URI all executors can reach; one
     row per file. A rerun writes the same bytes, so retries are harmless."""
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = open_store(folder)
         for pdf in batches:
             sizes = []
             for path, packed, data in zip(pdf["rel_path"], pdf["is_gzip"], pdf["bytes"]):
                 raw = gzip.decompress(data) if packed else data
-                target = os.path.join(folder, path)
-                os.makedirs(os.path.dirname(target), exist_ok=True)
-                with open(target, "wb") as f:
+                target = f"{root}/{path}"
+                store.create_dir(os.path.dirname(target))
+                with store.open_output_stream(target) as f:
                     f.write(raw)
                 sizes.append(len(raw))
             yield pd.DataFrame({"rel_path": pdf["rel_path"], "written": sizes})

@@ -128,3 +128,14 @@ def test_live_rows(world, spark):
     same = ["wakuban", "finish1_cnt_last10_entry", "finish1_rate_last10_waku", "tenji_rank"]
     assert rows(out, *same) == rows(trained, *same)
     assert out.select("score").first()[0] == 0.0
+
+
+def test_scratch_is_dropped_for_this_application_only(spark, tmp_path, monkeypatch):
+    from heatlane import session
+
+    monkeypatch.setattr(session, "scratch_root", lambda _: f"file://{tmp_path}")
+    (tmp_path / "heatlane" / "other").mkdir(parents=True)
+    assert session.durable(spark.range(3), "x").count() == 3
+    assert len(list((tmp_path / "heatlane").iterdir())) == 2
+    session.drop_scratch(spark)
+    assert [p.name for p in (tmp_path / "heatlane").iterdir()] == ["other"]
