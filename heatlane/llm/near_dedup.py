@@ -1,39 +1,55 @@
-"""SimHash near-dedup by meet-in-the-middle ball hashing."""
+"""Near-dedup: SimHash by meet-in-the-middle ball hashing, and real similarity by verified min-hash buckets."""
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heatlane.llm.common import column, text_of
+from heatlane.llm.common import column, restored, text_of, whole_row
 from heatlane.session import durable
 
 SHINGLE, SEED, RADIUS, BITS = 3, 42, 2, 64
+#: The pipeline stage: words a shingle, and the least Jaccard similarity as a fraction.
+WORDS, LEAST = 5, (8, 10)
+#: Min-hashes meet in BANDS buckets of ROWS each: a pair of similarity s is missed with probability (1 - s**ROWS) ** BANDS.
+BANDS, ROWS = 24, 4
 #: Shingle hashes whose bits are counted at once.
 _SLICE = 1 << 15
 
 
-def simhash(text: str, shingle: int = SHINGLE) -> int:
-    """64 bits, each set if set in over half the shingle hashes, repeats included.
+def _words(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII letters and ASCII white space only
 
-    A-Z in lower case, words between ASCII white space; a shorter text is one
-    shingle, and a text without words has fingerprint 0.
-    """
-    words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII letters and ASCII white space only
-    if not words:
-        return 0
+
+def _shingles(words: list[bytes], shingle: int, seed: int) -> np.ndarray:
+    """64-bit hashes of all shingles, repeats included; fewer words are one shingle."""
     size = min(shingle, len(words))
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     starts = np.cumsum(lengths + 1) - lengths - 1
     stops = (starts + lengths)[size - 1 :]
     joined = b" ".join(words)
     n = len(words) - size + 1
-    hashes = np.fromiter(
-        (xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), stops.tolist())), dtype=np.uint64, count=n
+    return np.fromiter(
+        (xxhash.xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), stops.tolist())), dtype=np.uint64, count=n
     )
+
+
+def simhash(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """64 bits, each set if set in over half the shingle hashes, repeats included.
+
+    A-Z in lower case, words between ASCII white space; a shorter text is one
+    shingle, and a text without words has fingerprint 0.
+    """
+    words = _words(text)
+    if not words:
+        return 0
+    hashes = _shingles(words, shingle, seed)
+    n = len(hashes)
     ones = np.zeros(BITS, dtype=np.int64)
     for at in range(0, n, _SLICE):
         raw = hashes[at : at + _SLICE].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -41,39 +57,48 @@ def simhash(text: str, shingle: int = SHINGLE) -> int:
     return int(sum(1 << int(b) for b in np.flatnonzero(2 * ones > n)))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """``doc_id`` and ``fp``, the 64 bits as a signed long."""
     kind = docs.select(column(id_col).alias("doc_id")).schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            fps = np.array([simhash(t.as_py()) for t in batch.column(1)], dtype=np.uint64).view(np.int64)
+            fps = np.array([simhash(t.as_py(), shingle, seed) for t in batch.column(1)], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
     given = docs.select(column(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     return given.mapInArrow(run, f"doc_id {kind}, fp long")
 
 
-def links(fps: DataFrame) -> DataFrame:
+def _masks(bits: int) -> list[int]:
+    """All 64-bit values of at most ``bits`` bits, as signed longs."""
+    found = [sum(1 << k for k in ks) for n in range(bits + 1) for ks in combinations(range(BITS), n)]
+    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in found]
+
+
+def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Edges (a, b), a > b, between different fingerprints, that connect all that
-    differ in at most two bits.
+    differ in at most ``radius`` bits, an even number.
 
-    Every fingerprint emits itself and the 64 variants at one bit, half the
-    radius. Two fingerprints within two bits of each other share a variant, and
-    two that share one are within two bits. So those that meet at a variant
-    are at most 65, all linked with each other: it is enough to link each with the
+    Every fingerprint emits itself and its variants within half the radius, 64 at
+    one bit. Two fingerprints within the radius of each other share a variant, and
+    two that share one are within the radius. So those that meet at a variant
+    are all linked with each other: it is enough to link each with the
     least of them. Distances are verified all the same.
     """
-    variants = [F.col("fp")] + [F.col("fp").bitwiseXOR(F.lit(1 << k if k < 63 else -(1 << 63))) for k in range(BITS)]
+    if radius < 0 or radius % 2:
+        raise ValueError("the radius must be even")
+    masks = _masks(radius // 2)
+    variants = [F.col("fp").bitwiseXOR(F.lit(m)) for m in masks]
     balls = fps.select("fp", F.explode(F.array(*variants)).alias("v"))
     met = balls.groupBy("v").agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.count(F.lit(1)).alias("n"))
     met = durable(met.filter(F.col("n") > 1), "met")
     pairs = met.select(F.col("high").alias("a"), F.col("low").alias("b"))
     # Where more than two meet, the fingerprints between the least and the greatest are looked up around the variant.
-    center = [F.col("v")] + [F.col("v").bitwiseXOR(F.lit(1 << k if k < 63 else -(1 << 63))) for k in range(BITS)]
+    center = [F.col("v").bitwiseXOR(F.lit(m)) for m in masks]
     around = met.filter(F.col("n") > 2).select("low", F.explode(F.array(*center)).alias("fp"))
     between = around.join(fps, "fp").select(F.col("fp").alias("a"), F.col("low").alias("b")).filter(F.col("a") != F.col("b"))
-    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
+    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
     return pairs.unionByName(between).filter(close).distinct()
 
 
@@ -109,9 +134,11 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED
+) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``, the least id
-    reachable over links of at most two differing bits; one row per input row.
+    reachable over links of at most ``radius`` differing bits; one row per input row.
 
     Null and empty texts have fingerprint 0 and link like others. Rows of one id
     each link by their own text; null ids are members but never a component's
@@ -119,9 +146,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one fingerprint are reduced to it before any link is sought, so exact copies
     cost nothing.
     """
-    marked = durable(fingerprints(docs, id_col, text_col), "fingerprints")
+    marked = durable(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
     by_print = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
-    roots = components(links(by_print.select("fp")))
+    roots = components(links(by_print.select("fp"), radius))
     rooted = by_print.join(roots, by_print["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
@@ -133,10 +160,118 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def min_hashes(hashes: np.ndarray, seed: int, bands: int = BANDS, rows: int = ROWS) -> list[int]:
+    """One signed 64-bit bucket per band, each over ``rows`` min-hashes of the shingles."""
+    keys = np.random.default_rng(seed).integers(0, 1 << 64, (2, bands * rows), dtype=np.uint64)
+    least = np.full(bands * rows, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(hashes), 1 << 10):
+        mixed = (hashes[at : at + (1 << 10), None] ^ keys[0]) * (keys[1] | np.uint64(1))
+        np.minimum(least, mixed.min(axis=0), out=least)
+    found = [xxhash.xxh64_intdigest(part.tobytes(), band) for band, part in enumerate(least.astype("<u8").reshape(bands, rows))]
+    return np.array(found, dtype=np.uint64).view(np.int64).tolist()
+
+
+def _signed(rows: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """``key`` (128 bits of the words), ``n`` (different shingles) and ``buckets`` beside all columns but
+    ``text``. Texts shorter than a shingle equal nothing but their own words and have no bucket."""
+    kept = [c for c in rows.columns if c != "text"]
+
+    def run(batches):
+        for batch in batches:
+            keys, sizes, buckets = [], [], []
+            for t in batch.column("text"):
+                words = _words(t.as_py())
+                hashes = np.unique(_shingles(words, shingle, seed)) if len(words) >= shingle else ()
+                keys.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                sizes.append(len(hashes))
+                buckets.append(min_hashes(hashes, seed) if len(hashes) else [])
+            made = [batch.column(c) for c in kept]
+            made += [pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(buckets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(made, [*kept, "key", "n", "buckets"])
+
+    kinds = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept]
+    return rows.mapInArrow(run, ", ".join([*kinds, "key binary", "n int", "buckets array<long>"]))
+
+
+def _shingle_sets(texts: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """``node`` and its different shingle hashes, ascending, as bytes."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [np.unique(_shingles(_words(t.as_py()), shingle, seed)).astype("<u8").tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) whose shingle sets reach the Jaccard similarity ``least``."""
+    num, den = least
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                u, v = (np.frombuffer(z.as_buffer(), dtype="<u8") for z in (x, y))
+                common = len(np.intersect1d(u, v, assume_unique=True))
+                keep.append(common * den >= (len(u) + len(v) - common) * num)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def similar_rows(
+    rows: DataFrame, shingle: int = WORDS, least: tuple[int, int] = LEAST, seed: int = SEED
+) -> DataFrame:
+    """``row``, ``doc_id`` and ``root`` for a written table of ``row`` (different longs), ``doc_id`` and
+    ``text``; rows share a root if chains of pairs with a Jaccard similarity of ``least`` or more join them.
+
+    Rows of the same words are one node. Nodes that share a bucket of min-hashes are candidates, and no
+    link is made before their sets of shingles were compared. First each member of a bucket is compared
+    with one of them, another one in each bucket; then, in buckets whose members are not in one
+    component yet, all pairs of different components. Texts without words are alike.
+    """
+    num, den = least
+    marked = durable(_signed(rows, shingle, seed), "signed")
+    nodes = durable(marked.groupBy("key").agg(F.min("row").alias("node"), F.first("n").alias("n"), F.first("buckets").alias("buckets")), "nodes")
+    dealt = nodes.select("node", "n", F.explode("buckets").alias("v"))
+    order = F.struct(F.xxhash64("v", "node"), F.col("node"), F.col("n"))
+    met = dealt.groupBy("v").agg(F.count(F.lit(1)).alias("met"), F.min(order).alias("first"))
+    met = met.filter(F.col("met") > 1).select("v", F.col("first.node").alias("pivot"), F.col("first.n").alias("pivot_n"))
+    members = durable(dealt.join(durable(met, "met"), "v"), "members")
+
+    def pairs(x: str, y: str, n_x: str, n_y: str):
+        fits = (F.col(n_x) * den >= F.col(n_y) * num) & (F.col(n_y) * den >= F.col(n_x) * num)
+        return (F.col(x) != F.col(y)) & fits, F.greatest(x, y).alias("a"), F.least(x, y).alias("b")
+
+    texts = rows.join(members.select(F.col("node").alias("row")).distinct(), "row").select(F.col("row").alias("node"), "text")
+    sets = durable(_shingle_sets(texts, shingle, seed), "shingles")
+    fits, a, b = pairs("node", "pivot", "n", "pivot_n")
+    tried = durable(members.filter(fits).select(a, b).distinct(), "tried")
+    edges = durable(_verified(tried, sets, least), "similar")
+    roots = components(edges)
+    of_node = members.select("v", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    of_node = durable(of_node, "members")
+    split = of_node.groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(F.col("low") < F.col("high"))
+    still = durable(of_node.join(split.select("v"), "v"), "split")
+    other = still.select("v", F.col("node").alias("o_node"), F.col("n").alias("o_n"), F.col("root").alias("o_root"))
+    fits, a, b = pairs("node", "o_node", "n", "o_n")
+    left = still.join(other, "v").filter((F.col("root") < F.col("o_root")) & fits).select(a, b).distinct().join(tried, ["a", "b"], "left_anti")
+    more = durable(_verified(left, sets, least), "similar")
+    roots = components(edges.unionByName(more))
+    of_key = nodes.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
+    return marked.select("row", "doc_id", "key").join(durable(of_key, "roots"), "key").select("row", "doc_id", "root")
+
+
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the least id. Rows of
-    one id keep together; if all ids of a component are null, its rows stay."""
-    found = near_duplicates(docs).select("doc_id", "component_id")
-    gone = found.filter(F.col("doc_id") > F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    """Pipeline stage: of each group of similar texts (five-word shingles, Jaccard 0.8) the rows of the least
+    id. A row goes for its own text only; rows without an id stay."""
+    whole = durable(docs.select(whole_row(docs), F.monotonically_increasing_id().alias("number")), "rows")
+    given = whole.select(F.col("number").alias("row"), F.col("row.doc_id").alias("doc_id"), F.coalesce(F.col("row.text"), F.lit("")).alias("text"))
+    found = durable(similar_rows(given), "groups")
+    named = found.groupBy("root").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
+    gone = found.join(named, "root").filter(F.col("doc_id") > F.col("least")).select(F.col("row").alias("_gone"))
     gone = durable(gone, "gone")
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return restored(whole.join(gone, whole["number"] == gone["_gone"], "left_anti"), docs)

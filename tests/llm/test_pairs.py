@@ -152,6 +152,78 @@ def test_near_dedup_stage(spark):
     assert out.columns == docs.columns and 12 not in ids and ids[10] == 1 and ids[7] == 1 and 8 not in ids and ids[23] == 2
 
 
+def plain_similar(rows, least=(8, 10)):
+    """The least id of each row's group by five-word Jaccard, over all pairs; rows: (id, text)."""
+
+    def shingles(t):
+        ws = (t or "").encode().lower().split()
+        size = min(5, len(ws))
+        return {tuple(ws[i : i + size]) for i in range(len(ws) - size + 1)} if ws else set()
+
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    holders = {}
+    for a, s in enumerate(sets):
+        near = Counter(b for g in s for b in holders.get(g, ()))
+        for b, common in near.items():
+            if common * least[1] >= (len(s) + len(sets[b]) - common) * least[0]:
+                root[find(a)] = find(b)
+        for g in s or {None}:
+            holders.setdefault(g, []).append(a)
+        if not s:
+            root[find(a)] = find(holders[None][0])
+    named = {}
+    for k, (i, _) in enumerate(rows):
+        named.setdefault(find(k), []).append(i)
+    return [min((i for i in named[find(k)] if i is not None), default=None) for k in range(len(rows))]
+
+
+def near_copies():
+    """Texts with some words replaced, so that similarities lie on both sides of 0.8, chains of them, and a large group."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for base in range(60):
+        words = [f"b{base}w{rng.integers(200)}" for _ in range(int(rng.integers(5, 400)))]
+        for _ in range(60 if base == 0 else 4):
+            rows.append((len(rows), " ".join(words)))
+            words = list(words)
+            for _ in range(int(rng.integers(0, 2 + len(words) // 30))):
+                words[int(rng.integers(len(words)))] = f"e{len(rows)}"
+    return rows
+
+
+def test_near_dedup_stage_takes_real_similarity(spark):
+    rows = [(5000 + k if i is None else i + 1000, t) for k, (i, t) in enumerate(texts())] + near_copies()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = Counter((i, t) for (i, t), least in zip(rows, plain_similar(rows), strict=True) if i == least)
+    assert Counter(tuple(r) for r in near_dedup.stage(spark, df, "").collect()) == want
+    assert 20 < len(want) < len(rows) - 100
+
+
+def test_near_dedup_stage_on_documents(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in df.collect()]
+    want = {i for (i, _), least in zip(rows, plain_similar(rows), strict=True) if i == least}
+    assert {r.doc_id for r in near_dedup.stage(spark, df, "").collect()} == want
+
+
+def test_near_duplicates_take_parameters(spark):
+    a, b = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(57)) + " x y z"
+    df = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    far = (near_dedup.simhash(a, 5, 7) ^ near_dedup.simhash(b, 5, 7)).bit_count()
+    assert far > 2
+    for radius, n in ((2, 2), (4, 1 if far <= 4 else 2)):
+        got = near_dedup.near_duplicates(df, shingle=5, radius=radius, seed=7).collect()
+        assert {r.fingerprint for r in got} == {format(near_dedup.simhash(t, 5, 7), "016x") for t in (a, b)}
+        assert len({r.component_id for r in got}) == n
+
+
 # --- top-k
 
 
