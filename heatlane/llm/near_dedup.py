@@ -267,11 +267,13 @@ def similar_rows(
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of similar texts (five-word shingles, Jaccard 0.8) the rows of the least
-    id. A row goes for its own text only; rows without an id stay."""
+    id. A row goes for its own text only, also where its id is repeated; repeated rows of the least id stay.
+    Rows without an id go if one of their group has an id; else one of them stays."""
     whole = durable(docs.select(whole_row(docs), F.monotonically_increasing_id().alias("number")), "rows")
     given = whole.select(F.col("number").alias("row"), F.col("row.doc_id").alias("doc_id"), F.coalesce(F.col("row.text"), F.lit("")).alias("text"))
     found = durable(similar_rows(given), "groups")
-    named = found.groupBy("root").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
-    gone = found.join(named, "root").filter(F.col("doc_id") > F.col("least")).select(F.col("row").alias("_gone"))
+    named = found.groupBy("root").agg(F.min("doc_id").alias("least"), F.min("row").alias("first"), F.count(F.lit(1)).alias("size"))
+    later = F.coalesce(F.col("doc_id") > F.col("least"), F.col("least").isNotNull() | (F.col("row") > F.col("first")))
+    gone = found.join(named.filter(F.col("size") > 1), "root").filter(later).select(F.col("row").alias("_gone"))
     gone = durable(gone, "gone")
     return restored(whole.join(gone, whole["number"] == gone["_gone"], "left_anti"), docs)

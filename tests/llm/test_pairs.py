@@ -213,6 +213,12 @@ def test_near_dedup_stage_on_documents(spark):
     assert {r.doc_id for r in near_dedup.stage(spark, df, "").collect()} == want
 
 
+def test_near_dedup_stage_decides_by_row(spark):
+    rows = [(3, "x " * 9), (7, "x " * 9), (7, "another text"), (None, "x " * 9), (None, "no id"), (None, "no id"), (None, "alone")]
+    got = near_dedup.stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert Counter(map(tuple, got)) == Counter([rows[0], rows[2], rows[4], rows[6]])
+
+
 def test_near_duplicates_take_parameters(spark):
     a, b = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(57)) + " x y z"
     df = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
