@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pkgutil
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,7 @@ from heatlane.llm.common import ascii_lower, text_of, whole_row
 LEAST_DICE = (8, 10)
 
 #: Notices by which works are put under well-known licences.
-TEMPLATES = (
+NOTICES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "This project is licensed under the MIT License."),
     (
@@ -53,6 +54,93 @@ TEMPLATES = (
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
 )
 
+_FREE = "you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation"
+_WARRANTY = (
+    " This {1} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of"
+    " MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details. You should have received a copy of"
+    " the GNU {0} along with this {1}; if not, see <https://www.gnu.org/licenses/>."
+)
+_AS_IS = (
+    ' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE'
+    " WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR"
+    " COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR"
+    " OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
+    " conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and"
+    " the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of"
+    " conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_NAME = (
+    " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"
+    " derived from this software without specific prior written permission."
+)
+_BSD_AS_IS = (
+    ' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,'
+    " INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE"
+    " DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,"
+    " SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;"
+    " LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN"
+    " CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS"
+    " SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_GNU = (
+    ("GPL-2.0", "program", "General Public License", ";", "; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "program", "General Public License", ";", "; version 2 of the License."),
+    ("GPL-3.0", "program", "General Public License", ":", ", either version 3 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "program", "General Public License", ":", ", version 3 of the License."),
+    ("LGPL-2.1", "library", "Lesser General Public License", ";", "; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "library", "Lesser General Public License", ";", "; version 2.1 of the License."),
+    ("LGPL-3.0", "library", "Lesser General Public License", ":", ", either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "program", "Lesser General Public License", ":", ", either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "library", "Lesser General Public License", ":", ", version 3 of the License."),
+    ("AGPL-3.0", "program", "Affero General Public License", ":", ", either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "program", "Affero General Public License", ":", ", version 3 of the License."),
+)
+
+
+def _gnu() -> list[tuple[str, str]]:
+    """The notice that the GNU licences ask for, its first paragraph alone and whole."""
+    out = []
+    for name, what, title, mark, version in _GNU:
+        first = f"This {what} is free software{mark} " + _FREE.format(title) + version
+        out += [(name, first), (name, first + _WARRANTY.format(title, what))]
+    return [x for x in out if x not in NOTICES]
+
+
+def _cc() -> list[tuple[str, str]]:
+    kinds = (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"))
+    return [
+        (
+            f"CC-{kind}-4.0",
+            f"This work is licensed under the Creative Commons {title} 4.0 International License. To view a copy of this license, visit"
+            f" http://creativecommons.org/licenses/{kind.lower()}/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain View,"
+            " CA 94042, USA.",
+        )
+        for kind, title in kinds
+    ]
+
+
+#: Licences whose full text lies beside this module.
+FULL_TEXTS = ("Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0")
+_MIT = NOTICES[2][1] + (
+    " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+)
+_APACHE = NOTICES[4][1] + (
+    ' http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under'
+    ' the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the'
+    " License for the specific language governing permissions and limitations under the License."
+)
+TEMPLATES = (
+    *NOTICES, *_gnu(), *_cc(),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("MIT", _MIT), ("MIT", _MIT + _AS_IS), ("Apache-2.0", _APACHE),
+    ("MPL-2.0", NOTICES[10][1] + " If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("BSD", _BSD + _BSD_AS_IS), ("BSD", _BSD + _BSD_NAME + _BSD_AS_IS),
+    *((name, pkgutil.get_data(__package__, f"licenses/{name}.txt").decode()) for name in FULL_TEXTS),
+)
+
 #: ASCII characters other than a-z and 0-9, once A-Z are in lower case.
 _OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -86,7 +174,7 @@ def find_licenses(docs: DataFrame, text_col: str = "text", templates=TEMPLATES,
     made = [(name, g) for name, g in made if g]
     low, high = min(len(g) for _, g in made), max(len(g) for _, g in made)
     table = F.array(
-        *[F.struct(F.lit(name).alias("license"), F.lit(len(g)).alias("m"), F.array(*map(F.lit, g)).alias("grams")) for name, g in made]
+        *[F.struct(F.lit(name).alias("license"), F.lit(len(g)).alias("m"), F.split(F.lit(",".join(g)), ",").alias("grams")) for name, g in made]
     )
     text = text_of(text_col)
 

@@ -164,6 +164,25 @@ def test_licenses(spark):
     assert found[17] == {"MIT"} and found[18] == {"Apache-2.0"} and found[90] == {"MIT"} and found[91] == {"GPL-3.0"}
 
 
+def test_licenses_get_their_own_name(spark):
+    """Each notice and full text, alone and between other paragraphs' blank lines, is not its neighbour's."""
+    rows = [(i, t.replace("\n\n", "\n")) for i, (_, t) in enumerate(license_scan.TEMPLATES)]
+    named = [name for name, _ in license_scan.TEMPLATES]
+    more = [
+        ("GPL-2.0", "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License"
+         " as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version."),
+        ("LGPL-2.1", "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public"
+         "\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version."),
+    ]
+    rows += [(len(rows) + i, t) for i, (_, t) in enumerate(more)]
+    named += [name for name, _ in more]
+    got = license_scan.find_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for r in got:
+        best = max((m.dice, m.license) for m in r.matches)
+        assert best[1] == named[r.row.doc_id], (rows[r.row.doc_id][1][:80], best)
+    assert set(license_scan.FULL_TEXTS) < set(named) and {"AGPL-3.0", "BSD", "MIT", "LGPL-2.1"} < set(named)
+
+
 def test_empty_tables(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
