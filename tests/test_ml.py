@@ -147,3 +147,28 @@ def test_search_space_and_seeds(spark, table):
     runs = training.seed_runs(ready, training.boosted_trees, params, "race", "y", ["lane"])
     assert [r["seed"] for r in runs] == [42, 43, 44] and all(r["auc"] > 0.5 for r in runs)
     assert metrics.seed_stability(spark.createDataFrame(runs), cols=["logloss"]).first()["logloss_std"] >= 0
+
+
+def test_registered_models_do_the_whole_job(spark, small, monkeypatch):
+    """The reference's tree count, and 80 trials of trees over the whole space."""
+    from heatlane.plans.queries import models
+
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def trees(params, *a, **k):
+        seen.append(params["n_estimators"])
+        raise Stop
+
+    def search(df, make, *a, n_iter=80, space=None, **k):
+        seen.append((make is trees, n_iter, space or training.SPACE))
+        raise Stop
+
+    monkeypatch.setattr(training, "boosted_trees", trees)
+    monkeypatch.setattr(training, "random_search", search)
+    for fn in (models.train_gbt, models.importances, models.saved_model_scores, models.random_search):
+        with pytest.raises(Stop):
+            fn(spark, small)
+    assert seen == [400, 400, 400, (True, 80, training.SPACE)]
