@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,3 +65,30 @@ def with_text(df: DataFrame, like: DataFrame, text_col: str, text: Column) -> Da
     if "n_chars" in like.columns:
         replaced["n_chars"] = F.length(text).cast(like.schema["n_chars"].dataType)
     return restored(df, like, **replaced)
+
+
+def past_shards(
+    shards: DataFrame, passing: DataFrame, run: Callable[[dict, Iterator[dict]], Iterator[pa.RecordBatch]], schema: str, first: Callable[[dict], object] = dict
+) -> DataFrame:
+    """``run(first(shard), row)`` for each shard and each row of ``passing``, as a DataFrame of ``schema``.
+
+    ``shards`` has one row per shard, its number, from 0 on, in ``shard``; numbers may be missing. One copy of a shard moves; the rows of
+    ``passing`` are copied to each shard and stream past it, so a task holds one shard and one row of ``passing``.
+    Without shards or rows to pass the result is empty.
+    """
+    last = int(shards.agg(F.max("shard")).first()[0] or 0)
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))
+    held = shards.select("shard", F.struct(*shards.columns).alias("held"))
+    copies = passing.select(F.explode(numbers).alias("shard"), F.struct(*passing.columns).alias("row"))
+    both = held.unionByName(copies, allowMissingColumns=True).repartition("shard")
+
+    def stream(batches):
+        number, here = None, None
+        for batch in batches:
+            for shard, given, row in zip(batch.column("shard"), batch.column("held"), batch.column("row"), strict=True):
+                if given.is_valid:
+                    number, here = shard.as_py(), first(given.as_py())
+                elif number == shard.as_py():
+                    yield from run(here, row.as_py())
+
+    return both.sortWithinPartitions("shard", F.col("row").isNotNull()).mapInArrow(stream, schema)

@@ -201,3 +201,63 @@ scores as (
   from vectors q join vectors c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0)
 select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::integer as rank, vec_id, score
 from scores qualify rank <= 20"""
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+LEXICAL = f"""with terms as (
+  select row_number() over () as row, doc_id, unnest(regexp_extract_all({LOWER.format("text")}, '{TERM}')) as term from documents where text is not null),
+lengths as (select row, any_value(doc_id) as doc_id, count(*) as n from terms group by row),
+whole as (select count(*) as n_docs, sum(n)::bigint as n_terms from lengths),
+counts as (select row, term, count(*) as tf from terms group by row, term),
+asked as (
+  select distinct item_id, term from (
+    select item_id, unnest(regexp_extract_all({LOWER.format("text")}, '{TERM}')) as term from benchmark where text is not null)),
+weights as (
+  select term, floor(1000 * ln((2 * any_value(n_docs) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from counts, whole where term in (select term from asked) group by term),
+found as (
+  select item_id, doc_id, row, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::bigint as score
+  from asked join weights using (term) join counts using (term) join lengths using (row), whole group by item_id, row, doc_id)
+select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::integer as rank, doc_id, score
+from found where score > 0 qualify rank <= 50"""
+
+_CONTROL = r"(<)(\\*)(/?s>|\|[A-Za-z0-9_]*\|>|</?SYS>>)|(\[)(\\*)(/?INST\])"
+_ESCAPED = f"regexp_replace({{0}}, '{_CONTROL}', '\\1\\4\\\\\\2\\5\\3\\6', 'g')"
+
+CHAT = f"""with given as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+ordered as (
+  select *, row_number() over turns as place, role = 'assistant' as target,
+         12 + length(replace({_ESCAPED.format("role")}, chr(10), '<|nl|>')) + 1 + length({_ESCAPED.format("text")}) + 11 as size
+  from given window turns as (partition by conv_id order by turn nulls last, role, text)),
+summed as (
+  select *, sum(size) over upto as so_far, lead(place) over upto is null as final
+  from ordered window upto as (partition by conv_id order by place))
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by place)) as turns_sha256,
+  coalesce(sum(length(text)) filter (where target), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by place) filter (where target), '')) as loss_sha256,
+  sum(so_far) filter (where target or final)::bigint as formatted_chars
+from summed group by conv_id"""
+
+HARD_NEGATIVES = """with fine as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+vectors as (
+  select vec_id, pair.label as label, pair.v as v from (
+    select vec_id, min({'label': label, 'v': v}) as pair from fine group by vec_id)),
+scores as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+         list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from vectors a join vectors c on a.vec_id <> c.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id,
+  (row_number() over (partition by anchor_id, positive_id order by score desc, vec_id))::integer as rank,
+  vec_id as negative_id, positive_score, score as negative_score
+from positives join scores using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10"""

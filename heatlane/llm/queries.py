@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heatlane.llm import license_scan, line_dedup, mixing, near_dedup, oracles, packing, quality, secret_scan, substring_dedup, token_counts, topk_search
+from heatlane.llm import (
+    chat_format, hard_negatives, lexical_search, license_scan, line_dedup, mixing, near_dedup, oracles, packing, quality, secret_scan,
+    substring_dedup, token_counts, topk_search,
+)
 from heatlane.session import durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +99,24 @@ def op4(spark, sf):
 @query("op9_token_counts")
 def op9(spark, sf):
     return token_counts.count_tokens(_documents(spark, sf))
+
+
+@query("op11_lexical_search", oracles.LEXICAL)
+def op11(spark, sf):
+    return lexical_search.rank_documents(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+@query("op12_chat_format", oracles.CHAT)
+def op12(spark, sf):
+    given = spark.read.parquet(f"{sf}/conversations.parquet")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(chat_format.expand(given.select(*more.columns).unionByName(more)))
+
+
+@query("op13_hard_negatives", oracles.HARD_NEGATIVES)
+def op13(spark, sf):
+    given = spark.read.parquet(f"{sf}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = durable(hard_negatives.labelled(given.withColumn("label", moved)), "labelled")
+    return hard_negatives.mine(rows, rows.filter(F.col("vec_id") % hard_negatives.EVERY == 0))
