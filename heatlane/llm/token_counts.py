@@ -23,6 +23,8 @@ from heatlane.session import durable, scratch_path
 END_ID, WIDTH = tokens.SPECIAL_ID, 2
 #: Bytes that are searched at once.
 BLOCK_BYTES = 1 << 22
+#: Blocks of a file that are stitched in one task.
+GROUP_BLOCKS = 1024
 
 
 def _open(uri: str):
@@ -72,7 +74,8 @@ def scan_token_files(
 
     Each block is searched in one vectorised comparison. What a block can't know,
     how many documents ended before it and where the last one did, is a
-    running sum and a running maximum over the blocks of its file. Ids after the
+    running sum and a running maximum over the blocks of its file, two numbers per block: over groups of
+    ``GROUP_BLOCKS`` blocks first, then inside each group, so one file is stitched in many tasks. Ids after the
     last separator are a document that isn't complete. Files without a byte, and
     bytes at an end that make no whole id, give nothing.
     """
@@ -97,32 +100,49 @@ def scan_token_files(
                 out["start"].append(row["at"] // width)
                 out["n"].append(len(ids))
                 out["ends"].append((np.flatnonzero(ids == end_id) + row["at"] // width).tolist())
+                out["n_ends"].append(len(out["ends"][-1]))
+                out["last"].append(out["ends"][-1][-1] if out["ends"][-1] else None)
             types = {"file": pa.string(), "block": pa.int32(), "start": pa.int64(), "n": pa.int64(), "ends": pa.list_(pa.int64())}
+            types |= {"n_ends": pa.int64(), "last": pa.int64()}
             yield pa.RecordBatch.from_pydict({c: pa.array(out[c], t) for c, t in types.items()})
 
-    found = blocks.repartition("file", "block").mapInArrow(run, "file string, block int, start long, n long, ends array<long>")
-    found = durable(found, "ends")
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    stitched = found.select(
-        "file", "ends",
-        F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("done"),
-        F.coalesce(F.max(F.try_element_at("ends", F.lit(-1))).over(before) + 1, F.lit(0)).alias("open"),
-    )
+    schema = "file string, block int, start long, n long, ends array<long>, n_ends long, last long"
+    found = durable(blocks.repartition("file", "block").mapInArrow(run, schema), "ends")
+    carried = durable(_carried(found.select("file", "block", "n_ends", "last")), "carried")
+    stitched = found.select("file", "block", "ends").join(carried, ["file", "block"])
     ended = stitched.select("file", "done", "open", "ends", F.posexplode("ends").alias("i", "end")).select(
         "file", (F.col("done") + F.col("i")).alias("ordinal"),
         (F.col("end") - F.when(F.col("i") == 0, F.col("open")).otherwise(F.get("ends", F.col("i") - 1) + 1)).alias("n_tokens"),
         F.lit(True).alias("complete"),
     )
     tails = found.groupBy("file").agg(
-        F.sum(F.size("ends")).alias("ordinal"),
-        (F.max(F.col("start") + F.col("n")) - F.coalesce(F.max(F.try_element_at("ends", F.lit(-1))) + 1, F.lit(0))).alias("n_tokens"),
+        F.sum("n_ends").alias("ordinal"),
+        (F.max(F.col("start") + F.col("n")) - F.coalesce(F.max("last") + 1, F.lit(0))).alias("n_tokens"),
     )
     return ended.unionByName(tails.filter(F.col("n_tokens") > 0).withColumn("complete", F.lit(False)))
 
 
+def _carried(blocks: DataFrame) -> DataFrame:
+    """``done``, the documents that ended in earlier blocks of the file, and ``open``, the place after the last such end."""
+    grouped = blocks.withColumn("group", F.floor(F.col("block") / GROUP_BLOCKS))
+    upto = (Window.unboundedPreceding, -1)
+    over = Window.partitionBy("file").orderBy("group").rowsBetween(*upto)
+    totals = grouped.groupBy("file", "group").agg(F.sum("n_ends").alias("g_ends"), F.max("last").alias("g_last"))
+    totals = totals.select("file", "group", F.sum("g_ends").over(over).alias("g_done"), F.max("g_last").over(over).alias("g_open"))
+    inside = Window.partitionBy("file", "group").orderBy("block").rowsBetween(*upto)
+    done = grouped.select("file", "group", "block", F.sum("n_ends").over(inside).alias("done"), F.max("last").over(inside).alias("open"))
+    zero = F.lit(0).cast("long")
+    return done.join(durable(totals, "groups"), ["file", "group"]).select(
+        "file", "block", (F.coalesce("g_done", zero) + F.coalesce("done", zero)).alias("done"),
+        F.coalesce(F.col("open") + 1, F.col("g_open") + 1, zero).alias("open"),
+    )
+
+
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``n_tokens`` (without the separator), one row per input row:
-    writes the documents as token files to the shared folder and scans these."""
+    writes the documents as token files to the shared folder and scans these.
+    Null and empty texts have no token; texts of any length are whole. Rows of one id, null ids and repeated rows each have
+    a count of their own. An empty table gives an empty result. Other columns are not read."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "tokens")
     written = write_token_files(docs, folder, id_col, text_col)
