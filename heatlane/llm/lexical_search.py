@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from heatlane.llm.common import column, text_of
+from heatlane.operators.ordered import numbered
 from heatlane.session import durable
 
 K = 50
@@ -23,6 +24,8 @@ K = 50
 SHARD_TERMS, SHARD_DOCS = 1 << 21, 1 << 14
 #: Items of a block; one task holds the terms of one block and the lists of one shard.
 BLOCK_ITEMS = 1024
+#: Shards that one task reads in a row; they share the scores reached so far.
+BIN_SHARDS = 4
 #: A term's weight, and the saturation of its count, in whole numbers.
 WEIGHT, TF_SCALE, TF_STEP, NORM_STEP, NORM_BASE, NORM_SLOPE = 1000.0, 1_000_000_000, 1000, 20, 50, 50
 
@@ -95,8 +98,11 @@ def build_postings(
             yield from _posting_rows(ids, found, vocab, (part << 32) + number)
 
     given = docs.select(column(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    made = given.mapInArrow(run, "shard long, term binary, df long, total long, docs binary, counts binary")
-    return durable(made, "postings")
+    made = durable(given.mapInArrow(run, "shard long, term binary, df long, total long, docs binary, counts binary"), "postings")
+    # numbers without gaps, so that bins of shards are even
+    places = numbered(made.filter("term is null").select(F.col("shard").alias("given")), [], ["given"], "place")
+    places = durable(places.select("given", (F.col("place") - 1).alias("number")), "shards")
+    return made.join(places, made["shard"] == places["given"]).select(F.col("number").alias("shard"), *made.columns[1:])
 
 
 def _item_terms(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -135,7 +141,7 @@ def weighted_items(postings: DataFrame, items: DataFrame, id_col: str = "item_id
 
 def _beside_items(lists: DataFrame, items: DataFrame, bins: int) -> DataFrame:
     """Rows of ``lists`` (with ``block`` and ``shard``) in order of block, bin and shard, in each bin after a copy of the block's items."""
-    dealt = lists.withColumn("bin", F.pmod(F.xxhash64("shard"), F.lit(bins)).cast("int"))
+    dealt = lists.withColumn("bin", F.pmod("shard", F.lit(bins)).cast("int"))
     copies = items.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     both = dealt.unionByName(copies, allowMissingColumns=True).repartition("block", "bin")
     return both.sortWithinPartitions("block", "bin", F.asc_nulls_first("shard"), F.asc_nulls_first("term"), F.asc_nulls_first("other"))
@@ -171,9 +177,8 @@ def saturation(counts: np.ndarray, lengths: np.ndarray, n_docs: int, n_terms: in
 
 
 def _bins(postings: DataFrame) -> int:
-    """Bins of shards: as many as there are shards, not more than Spark deals to."""
-    shards = postings.filter("term is null").count()
-    return max(1, min(shards, int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """Bins of ``BIN_SHARDS`` shards each, so that a bin does not grow with the input."""
+    return max(1, -(-postings.filter("term is null").count() // BIN_SHARDS))
 
 
 def impact_lists(postings: DataFrame, items: DataFrame) -> DataFrame:

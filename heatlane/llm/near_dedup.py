@@ -7,7 +7,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heatlane.llm.common import column, restored, text_of, whole_row
@@ -18,6 +18,9 @@ SHINGLE, SEED, RADIUS, BITS = 3, 42, 2, 64
 WORDS, LEAST = 5, (8, 10)
 #: Min-hashes meet in BANDS buckets of ROWS each: a pair of similarity s is missed with probability (1 - s**ROWS) ** BANDS.
 BANDS, ROWS = 24, 4
+#: Members of buckets that still hold several groups are dealt anew, level by level, to more buckets of more min-hashes: (bands,
+#: rows), so that a pair of similarity 0.8 shares 6 buckets on average. In a bucket of at most FEW members each is compared with all.
+LEVELS, FEW = ((24, 6), (46, 9)), 8
 #: Shingle hashes whose bits are counted at once.
 _SLICE = 1 << 15
 
@@ -229,42 +232,90 @@ def similar_rows(
     ``text``; rows share a root if chains of pairs with a Jaccard similarity of ``least`` or more join them.
 
     Rows of the same words are one node. Nodes that share a bucket of min-hashes are candidates, and no
-    link is made before their sets of shingles were compared. First each member of a bucket is compared
-    with one of them, another one in each bucket; then, in buckets whose members are not in one
-    component yet, all pairs of different components. Texts without words are alike.
+    link is made before their sets of shingles were compared. Each member of a bucket is compared with one of them, another
+    one in each bucket; buckets of at most ``FEW`` members that then hold different groups compare the rest too. Members of larger
+    ones are dealt anew by further, more selective min-hashes, and again, at most once per entry of ``LEVELS``. So
+    comparisons grow with the members, not with their square. Texts without words are alike.
     """
-    num, den = least
     marked = durable(_signed(rows, shingle, seed), "signed")
     nodes = durable(marked.groupBy("key").agg(F.min("row").alias("node"), F.first("n").alias("n"), F.first("buckets").alias("buckets")), "nodes")
-    dealt = nodes.select("node", "n", F.explode("buckets").alias("v"))
-    order = F.struct(F.xxhash64("v", "node"), F.col("node"), F.col("n"))
-    met = dealt.groupBy("v").agg(F.count(F.lit(1)).alias("met"), F.min(order).alias("first"))
-    met = met.filter(F.col("met") > 1).select("v", F.col("first.node").alias("pivot"), F.col("first.n").alias("pivot_n"))
-    members = durable(dealt.join(durable(met, "met"), "v"), "members")
-
-    def pairs(x: str, y: str, n_x: str, n_y: str):
-        fits = (F.col(n_x) * den >= F.col(n_y) * num) & (F.col(n_y) * den >= F.col(n_x) * num)
-        return (F.col(x) != F.col(y)) & fits, F.greatest(x, y).alias("a"), F.least(x, y).alias("b")
-
+    members = durable(_first_of(nodes.select("node", "n", F.col("node").alias("root"), F.explode("buckets").alias("v"))), "members")
     texts = rows.join(members.select(F.col("node").alias("row")).distinct(), "row").select(F.col("row").alias("node"), "text")
     sets = durable(_shingle_sets(texts, shingle, seed), "shingles")
-    fits, a, b = pairs("node", "pivot", "n", "pivot_n")
-    tried = durable(members.filter(fits).select(a, b).distinct(), "tried")
+    tried = durable(_with_first(members, least), "tried")
     edges = durable(_verified(tried, sets, least), "similar")
     roots = components(edges)
-    of_node = members.select("v", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    of_node = durable(of_node, "members")
-    split = of_node.groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(F.col("low") < F.col("high"))
-    still = durable(of_node.join(split.select("v"), "v"), "split")
-    other = still.select("v", F.col("node").alias("o_node"), F.col("n").alias("o_n"), F.col("root").alias("o_root"))
-    fits, a, b = pairs("node", "o_node", "n", "o_n")
-    left = still.join(other, "v").filter((F.col("root") < F.col("o_root")) & fits).select(a, b).distinct().join(tried, ["a", "b"], "left_anti")
-    more = durable(_verified(left, sets, least), "similar")
-    roots = components(edges.unionByName(more))
+    for level, (bands, per_band) in enumerate((*LEVELS, (0, 0)), 1):
+        few, many = _split(members, roots)
+        pairs = _with_all(few, least)
+        if more_to_deal := bands > 0 and not many.isEmpty():
+            members = durable(_first_of(_dealt(many, sets, seed + level, bands, per_band)), "members")
+            pairs = pairs.unionByName(_with_first(members, least)).distinct()
+        pairs = durable(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        more = durable(_verified(pairs, sets, least), "similar")
+        if not more.isEmpty():
+            edges = edges.unionByName(more)
+            roots = components(edges)
+        if not more_to_deal:
+            break
+        tried = tried.unionByName(pairs)
     of_key = nodes.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
     return marked.select("row", "doc_id", "key").join(durable(of_key, "roots"), "key").select("row", "doc_id", "root")
 
 
+def _first_of(dealt: DataFrame) -> DataFrame:
+    """Members (v, node, n, root) of buckets with two roots or more, beside the first of their bucket in an order that differs by bucket."""
+    order = F.struct(F.xxhash64("v", "node"), F.col("node"), F.col("n"), F.col("root"))
+    met = dealt.groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(order).alias("first"))
+    met = met.filter(F.col("low") < F.col("high")).select("v", F.col("first.node").alias("f_node"), F.col("first.n").alias("f_n"), F.col("first.root").alias("f_root"))
+    return dealt.join(durable(met, "met"), "v")
+
+
+def _pair(n: Column, other_n: Column, node: Column, other: Column, least: tuple[int, int]) -> tuple[Column, list[Column]]:
+    """Whether sizes allow the similarity, and the pair as (a, b), a > b."""
+    num, den = least
+    return (n * den >= other_n * num) & (other_n * den >= n * num), [F.greatest(node, other).alias("a"), F.least(node, other).alias("b")]
+
+
+def _with_first(members: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Each member with the first of its bucket, where they are in different groups."""
+    fits, pair = _pair(F.col("n"), F.col("f_n"), F.col("node"), F.col("f_node"), least)
+    return members.filter((F.col("root") != F.col("f_root")) & fits).select(*pair).distinct()
+
+
+def _with_all(few: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Each member of a bucket of at most FEW with the others of a different group."""
+    listed = few.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("node", "n", "root"))).alias("all"))
+    one = listed.select("all", F.posexplode("all").alias("place", "x"))
+    two = one.select("x", F.explode(F.slice("all", F.col("place") + 2, FEW)).alias("y"))
+    fits, pair = _pair(F.col("x.n"), F.col("y.n"), F.col("x.node"), F.col("y.node"), least)
+    return two.filter((F.col("x.root") != F.col("y.root")) & fits).select(*pair).distinct()
+
+
+def _split(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets that still hold different groups, without the first ones, which all others were
+    compared with; those of buckets with few members, and those of larger ones."""
+    rest = members.filter(F.col("node") != F.col("f_node")).select("v", "node", "n")
+    rest = durable(rest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
+    sizes = rest.groupBy("v").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = durable(sizes.filter(F.col("low") < F.col("high")).select("v", "size"), "split")
+    still = rest.join(sizes, "v")
+    return still.filter(F.col("size") <= FEW).drop("size"), still.filter(F.col("size") > FEW).drop("size")
+
+
+def _dealt(members: DataFrame, sets: DataFrame, seed: int, bands: int, rows: int) -> DataFrame:
+    """The nodes of ``members`` in new buckets of ``rows`` further min-hashes, ``bands`` for each node."""
+
+    def run(batches):
+        for batch in batches:
+            keys = [min_hashes(np.frombuffer(x.as_buffer(), dtype="<u8"), seed, bands, rows) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], ["node", "keys"])
+
+    nodes = durable(members.select("node", "n", "root").distinct(), "nodes")
+    keys = sets.join(nodes.select("node"), "node").select("node", "shingles").mapInArrow(run, "node long, keys array<long>")
+    return nodes.join(durable(keys, "keys"), "node").select("node", "n", "root", F.explode("keys").alias("v"))
+
+
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of similar texts (five-word shingles, Jaccard 0.8) the rows of the least
     id. A row goes for its own text only, also where its id is repeated; repeated rows of the least id stay.
@@ -274,6 +325,6 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = durable(similar_rows(given), "groups")
     named = found.groupBy("root").agg(F.min("doc_id").alias("least"), F.min("row").alias("first"), F.count(F.lit(1)).alias("size"))
     later = F.coalesce(F.col("doc_id") > F.col("least"), F.col("least").isNotNull() | (F.col("row") > F.col("first")))
-    gone = found.join(named.filter(F.col("size") > 1), "root").filter(later).select(F.col("row").alias("_gone"))
+    gone = found.join(durable(named.filter(F.col("size") > 1), "named"), "root").filter(later).select(F.col("row").alias("_gone"))
     gone = durable(gone, "gone")
     return restored(whole.join(gone, whole["number"] == gone["_gone"], "left_anti"), docs)

@@ -213,6 +213,41 @@ def test_near_dedup_stage_on_documents(spark):
     assert {r.doc_id for r in near_dedup.stage(spark, df, "").collect()} == want
 
 
+def families(n_families, size, seed=5):
+    """Pages of one template: families share most words, but only members of a family reach 0.8; every fourth family has a bridge to the next."""
+    rng = np.random.default_rng(seed)
+    page = [f"t{i}" for i in range(120)]
+    rows = []
+    for f in range(n_families):
+        own = list(page)
+        own[100:] = [f"f{f}x{i}" for i in range(20)]
+        for k in range(size):
+            words = list(own)
+            if k:
+                words[int(rng.integers(100))] = f"c{k % 7}"
+            rows.append((len(rows), " ".join(words)))
+        if f % 4 == 0:
+            rows.append((len(rows), " ".join([*own[:110], *[f"f{f + 1}x{i}" for i in range(10, 20)]])))
+    return rows
+
+
+def test_pairs_grow_with_the_members_of_a_bucket(spark, monkeypatch):
+    """One template on many pages in several groups: comparisons in proportion to rows, groups as by all pairs."""
+    plain = near_dedup._verified
+    counts = {}
+    for size in (60, 240):
+        rows = families(8, size)
+        tried = []
+        monkeypatch.setattr(near_dedup, "_verified", lambda pairs, *a, t=tried: (t.append(pairs.count()), plain(pairs, *a))[1])
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        kept = {r.doc_id for r in near_dedup.stage(spark, df, "").collect()}
+        counts[size] = sum(tried) / len(rows)
+        if size == 60:
+            assert kept == {i for (i, _), least in zip(rows, plain_similar(rows), strict=True) if i == least}
+        assert 2 <= len(kept) <= 8
+    assert counts[240] < 1.5 * counts[60]
+
+
 def test_near_dedup_stage_decides_by_row(spark):
     rows = [(3, "x " * 9), (7, "x " * 9), (7, "another text"), (None, "x " * 9), (None, "no id"), (None, "no id"), (None, "alone")]
     got = near_dedup.stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
