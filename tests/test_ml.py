@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from heatlane.ml import metrics, preprocess, training
+from heatlane.ml import boosting, metrics, preprocess, training
 from heatlane.operators import windows
 from tests.conftest import rows
 
@@ -162,13 +162,14 @@ def test_registered_models_do_the_whole_job(spark, small, monkeypatch):
         seen.append(params["n_estimators"])
         raise Stop
 
-    def search(df, make, *a, n_iter=80, space=None, **k):
-        seen.append((make is trees, n_iter, space or training.SPACE))
+    def fit(df, features, y, trials, *a, **k):
+        seen.append(trials)
         raise Stop
 
     monkeypatch.setattr(training, "boosted_trees", trees)
-    monkeypatch.setattr(training, "random_search", search)
+    monkeypatch.setattr(boosting, "fit", fit)
     for fn in (models.train_gbt, models.importances, models.saved_model_scores, models.random_search):
         with pytest.raises(Stop):
             fn(spark, small)
-    assert seen == [400, 400, 400, (True, 80, training.SPACE)]
+    assert seen[:3] == [400, 400, 400] and len(seen) == 4 and len(seen[3]) == 80
+    assert {k: sorted({t[k] for t in seen[3]}) for k in seen[3][0]} == boosting.SPACE
