@@ -20,7 +20,7 @@ WORDS, LEAST = 5, (8, 10)
 BANDS, ROWS = 24, 4
 #: Members of buckets that still hold several groups are dealt anew, level by level, to more buckets of more min-hashes: (bands,
 #: rows), so that a pair of similarity 0.8 shares 6 buckets on average. In a bucket of at most FEW members each is compared with all.
-LEVELS, FEW = ((24, 6), (46, 9)), 8
+LEVELS, FEW = ((24, 6), (46, 9), (90, 12)), 8
 #: Shingle hashes whose bits are counted at once.
 _SLICE = 1 << 15
 
