@@ -297,6 +297,22 @@ def test_top_k_over_several_shards(spark):
     assert sorted(map(tuple, out.collect())) == sorted(plain_top_k(rows))
 
 
+def test_wide_components_of_top_k(spark):
+    """Finite components of any size are scored exactly; only a result that fits no long stops the job."""
+    rows = [(i, v) for i, v in awkward_vectors() if i is not None and i < 60]
+    rows += [(1001, [1e17, 50.0]), (1002, [1e16, -1e16 + 2048]), (1003, [0.0, 1e14]), (1020, [0.0, 1.0]), (1040, [0.0, 0.0, 1e12])]
+
+    def found(rows):
+        v = topk_search.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+        return topk_search.top_k(v, v.filter("vec_id in (1020, 1040)"), shard_rows=20)
+
+    want = [r for r in plain_top_k(rows) if r[0] in (1020, 1040)]
+    assert sorted(map(tuple, found(rows).collect())) == sorted(want)
+    assert (1020, 2, 1001, 204_800) in want
+    with pytest.raises(Exception, match="does not fit a long"):
+        found([*rows, (1004, [0.0, 1e17])]).collect()
+
+
 def test_top_k_stops_early():
     """With one strong dimension the bound falls below the kth score long before the lists end."""
     n = 4000
