@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,12 +49,23 @@ def group_reasons(df: DataFrame, key: str, rules: Mapping[str, Column]) -> DataF
     )
 
 
-def drop_groups(df: DataFrame, key: str, bad: Column) -> DataFrame:
-    """Drop every group in which some row satisfies ``bad``.
+def over_group(df: DataFrame, key: str) -> WindowSpec:
+    """All rows of a group, for groups that are small by their meaning, such as the boats of a race.
+    Rows without a key form no group and are spread by their values."""
+    values = [f"`{c}`" for c, kind in df.dtypes if "map<" not in kind and kind != "variant"]
+    return Window.partitionBy(key, F.when(F.col(key).isNull(), F.xxhash64(*values)))
 
-    The flag is aggregated map-side first, so one hot group costs one row in the
-    shuffle; the anti join is left to adaptive execution.
+
+def drop_groups(df: DataFrame, key: str, bad: Column, small: bool = True) -> DataFrame:
+    """Drop every group in which some row satisfies ``bad``; rows without a key stay.
+
+    Small groups (``small``), such as races, are flagged by a window: ``df`` is planned once, and a partitioning
+    by the key is used again. For groups that may be large the bad keys are listed, one row per
+    group and task in the shuffle, and the anti join is left to adaptive execution.
     """
+    if small:
+        flag = F.bool_or(F.coalesce(bad, F.lit(False))).over(over_group(df, key))
+        return df.withColumn("__bad", flag).where(F.col(key).isNull() | ~F.col("__bad")).drop("__bad")
     listed = df.where(bad).select(key).distinct()
     return df.join(listed, key, "left_anti")
 
@@ -113,9 +124,9 @@ def filter_positive(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def complete_groups(df: DataFrame, key: str, member: str, size: int = 6) -> DataFrame:
-    """Keep groups with exactly ``size`` non-null members."""
-    good = df.groupBy(key).agg(F.count(member).alias("__m")).where(F.col("__m") == size).select(key)
-    return df.join(good, key, "left_semi")
+    """Keep groups with exactly ``size`` non-null members, in one scan; groups are small, as in ``drop_groups``."""
+    found = F.count(member).over(over_group(df, key))
+    return df.withColumn("__m", found).where(F.col(key).isNotNull() & (F.col("__m") == size)).drop("__m")
 
 
 def keep_in(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heatlane.functions import tokens as tk
+from heatlane.operators.filters import over_group
 
 
 def long_cells(df: DataFrame, cells: Mapping[str, tuple[Column, Column]]) -> DataFrame:
@@ -101,11 +102,9 @@ def void_summary(df: DataFrame, key: str, cls: str = "rank_class") -> DataFrame:
 
 
 def group_all_flag(df: DataFrame, key: str, predicate: Column, name: str) -> DataFrame:
-    """1 when every row of the race satisfies the predicate; null counts as no."""
-    flags = df.groupBy(key).agg(
-        F.bool_and(F.coalesce(predicate, F.lit(False))).cast("int").alias(name)
-    )
-    return df.join(flags, key, "left")
+    """1 when every row of the race satisfies the predicate; null counts as no. Rows without a key get null."""
+    flag = F.bool_and(F.coalesce(predicate, F.lit(False))).over(over_group(df, key)).cast("int")
+    return df.withColumn(name, F.when(F.col(key).isNotNull(), flag))
 
 
 def group_checks(df: DataFrame, key: str, lane: str, not_null: Sequence[str] = (), size: int = 6) -> DataFrame:

@@ -73,7 +73,10 @@ def boats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def seq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered rows per (user, event type) with flags and a value."""
-    e = table(spark, sf_dir, "events")
+    return seq_of(table(spark, sf_dir, "events"))
+
+
+def seq_of(e: DataFrame) -> DataFrame:
     v = F.col("value")
     return e.select(
         "event_id", "ts", "user_id", "event_type", "value",

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from heatlane.plans import lenses
+from heatlane.plans.queries.history import FLAGS, HISTORY_SQL, HIST_COLS
 from heatlane.plans.queries.priors import POSTERIOR_SQL, signal_prior
 from heatlane.plans.registry import query, rounded
 from heatlane.session import durable, scratch_path
-from heatlane.streaming import live, posterior
+from heatlane.streaming import history, live, posterior
 
 
 #: The table as one file or as a folder of part files: a file stream takes a single file by a pattern only.
@@ -34,6 +35,20 @@ def posterior_stream(spark, sf):
     return rounded(out, 6)
 
 
+EVENTS = "{}/events.parque[t]"
+
+
+@query("history_stream", HISTORY_SQL)
+def history_stream(spark, sf):
+    """The history features of every arriving start, from state alone."""
+    stream = spark.readStream.schema(lenses.table(spark, sf, "events").schema).parquet(EVENTS.format(sf))
+    out = history.run_history(
+        lenses.seq_of(stream), "user_id", "event_type", "ts", "event_id", "started", FLAGS, "1 day",
+        suffix="_entry", root=scratch_path(spark, "history"),
+    )
+    return rounded(out.select("event_id", "user_id", "event_type", *HIST_COLS))
+
+
 @query(
     "daily_intake",
     "select o_orderkey, o_custkey, 'orders.parquet' as source_file from orders",

@@ -7,14 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heatlane.operators.filters import drop_groups, keep_in
+from heatlane.operators.filters import over_group
 
 
 def guard_races(df: DataFrame, race: str, col: str) -> tuple[DataFrame, DataFrame]:
-    """(races to go on with, races stopped): one missing value stops the race."""
-    missing = F.col(col).isNull()
-    stopped = keep_in(df, df.where(missing).select(race), race)
-    return drop_groups(df, race, missing), stopped
+    """(races to go on with, races stopped): one missing value stops the race. Rows without a race go on."""
+    stop = F.col(race).isNotNull() & F.bool_or(F.col(col).isNull()).over(over_group(df, race))
+    flagged = df.withColumn("__stop", stop)
+    return flagged.where(~F.col("__stop")).drop("__stop"), flagged.where("__stop").drop("__stop")
 
 
 def due_stream(spark: SparkSession, timeline: DataFrame, minutes: int, deadline: str = "deadline_dt",

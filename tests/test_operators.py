@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from heatlane.functions import scoring
 from heatlane.operators import filters, joins, priors, quality, ranges, regime, sets, tickets
+from heatlane.streaming import live
 
 D = dt.date
 
@@ -68,6 +69,22 @@ def test_bad_and_void_groups(spark):
     assert (summary["rows_before"], summary["races_dropped"], summary["rows_after"]) == (4, 1, 2)
 
 
+def test_group_filters_plan_their_input_once(spark):
+    """Both ways of dropping groups agree, also on rows without a key, and the small one reads its input once."""
+    data = [("a", 1, 1), ("a", 2, None), ("b", 1, 1), ("b", 2, 2), (None, 1, 1), (None, None, None)]
+    df = spark.createDataFrame(data, "race string, l int, v int")
+    bad = F.col("v").isNull()
+    kept = [(None, 1, 1), (None, None, None), ("b", 1, 1), ("b", 2, 2)]
+    for small in (True, False):
+        assert rows(filters.drop_groups(df, "race", bad, small=small)) == sorted(kept, key=repr)
+    assert rows(filters.complete_groups(df, "race", "v", 2)) == [("b", 1, 1), ("b", 2, 2)]
+    assert rows(quality.group_all_flag(df, "race", F.col("v") > 0, "all").select("race", "all").distinct()) == [("a", 0), ("b", 1), (None, None)]
+    go, stop = live.guard_races(df, "race", "v")
+    assert (go.count(), stop.count()) == (4, 2) and go.columns == df.columns
+    for out in (filters.drop_groups(df, "race", bad), filters.complete_groups(df, "race", "v"), go):
+        assert out._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+
+
 def test_exclusion_report_merges(spark):
     a = spark.createDataFrame([("r", "b"), ("r", "a"), ("s", "b")], "race_id string, reason string")
     assert rows(quality.exclusion_report(a, a)) == [("r", "a / b"), ("s", "b")]
