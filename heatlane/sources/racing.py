@@ -236,10 +236,11 @@ def extract_payouts(pages: DataFrame, start: str | None = None, end: str | None
     return results, rejects
 
 
-def extract_timeline(pages: DataFrame, day: str) -> DataFrame:
+def extract_timeline(pages: DataFrame, day: str | None = None) -> DataFrame:
     """Result pages of a day to one row per race with its deadline.
 
-    page_id holds the venue code. Cancelled days are left out; a page needs
+    page_id ends with the venue code; without ``day`` it also holds the day ``YYYYMMDD``, so that pages of
+    many days go through at once. Cancelled days are left out; a page needs
     twelve times in the row labelled 締切予定時刻.
     """
     titles = durable(page_elements(pages, ["h3", "h2"]), "titles")
@@ -257,9 +258,10 @@ def extract_timeline(pages: DataFrame, day: str) -> DataFrame:
     races = first.select("page_id", F.posexplode(F.slice("times", 1, 12)).alias("i", "deadline")).join(names, "page_id", "left")
     code = F.regexp_extract("page_id", "([0-9]{1,2})$", 1).try_cast("int")
     rno = (F.col("i") + 1).cast("string")
-    stamp = F.try_to_timestamp(F.concat(F.lit(f"{day} "), F.col("deadline")), F.lit("yyyyMMdd H:mm"))
+    ymd = F.lit(day) if day else F.regexp_extract("page_id", "([0-9]{8})", 1)
+    stamp = F.try_to_timestamp(F.concat_ws(" ", ymd, "deadline"), F.lit("yyyyMMdd H:mm"))
     out = races.select(
-        F.concat(F.lit(day), tx.pad_left(code.cast("string"), 2), tx.pad_left(rno, 2)).alias("race_id"),
+        F.concat(ymd, tx.pad_left(code.cast("string"), 2), tx.pad_left(rno, 2)).alias("race_id"),
         code.cast("string").alias("jcd"), rno.alias("rno"), F.coalesce("title", F.lit("")).alias("title"), "deadline",
         stamp.alias("deadline_dt"),
     )

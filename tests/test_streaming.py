@@ -3,10 +3,12 @@
 import datetime as dt
 import time
 
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from heatlane.operators import regime
-from heatlane.streaming import live, posterior
+from heatlane.ml import preprocess, store, training
+from heatlane.operators import regime, windows
+from heatlane.streaming import history, live, posterior
 from tests.conftest import rows
 from tests.test_operators import prior_row
 
@@ -114,3 +116,60 @@ def test_intake_takes_each_file_once(spark, tmp_path):
     spark.createDataFrame([(2,)], schema).coalesce(1).write.mode("append").parquet(src)
     live.daily_intake(spark, src, schema, "parquet", out, state).awaitTermination()
     assert rows(spark.read.parquet(out), "a") == [(1,), (2,)]
+
+
+STARTS = "id long, who string, axis long, ts timestamp, started boolean, won long, st double"
+
+
+def starts(n=240):
+    """Starts of three players on two axes; some equal times, some not started, some values missing."""
+    at = dt.datetime(2026, 1, 1)
+    return [
+        (i, None if i % 41 == 0 else f"p{i % 3}", None if i % 37 == 0 else i % 2, at + dt.timedelta(hours=i // 4), i % 7 != 0, i % 5 == 0 and 1 or 0,
+         None if i % 11 == 0 else 0.01 * (i % 23))
+        for i in range(n)
+    ]
+
+
+def history_of(spark, tmp_path, **kw):
+    """The stream over files whose rows come out of order, within a day."""
+    data, folder = starts(), str(tmp_path / "in")
+    for i in range(0, len(data), 60):
+        part = data[i : i + 60]
+        spark.createDataFrame([*part[30:], *part[:30]], STARTS).coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(0.05)
+    stream = spark.readStream.schema(STARTS).option("maxFilesPerTrigger", 1).parquet(folder)
+    return history.run_history(
+        stream, "who", "axis", "ts", "id", "started", {"won": "won"}, "1 day", value="st", n=5, root=str(tmp_path / "run"), **kw
+    )
+
+
+def test_history_stream_equals_batch(spark, tmp_path):
+    got = history_of(spark, tmp_path)
+    batch = windows.history_rates(
+        spark.createDataFrame(starts(), STARTS), "who", "axis", ["ts", "id"], "started", {"won": "won"}, value="st", n=5
+    ).where("who is not null and axis is not null")
+    names = history.feature_names(["won"], True, 5, "")
+    near = lambda df: rows(df.select("id", "who", "axis", *[F.round(c, 9).alias(c) for c in names]))
+    assert near(got) == near(batch) and got.count() > 200
+
+
+def test_live_starts_get_the_stored_models_score(spark, tmp_path):
+    """Features from state, scored by a model read from its folder, equal the batch scores."""
+    names = history.feature_names(["won"], True, 5, "")
+    batch = windows.history_rates(
+        spark.createDataFrame(starts(), STARTS), "who", "axis", ["ts", "id"], "started", {"won": "won"}, value="st", n=5
+    ).where("who is not null and axis is not null")
+    prepared = preprocess.fit(batch, names)
+    model = LogisticRegression(labelCol="won", regParam=0.01).fit(prepared.vector(batch))
+    store.save_prepared(spark, prepared, str(tmp_path / "prepared"))
+    store.save_model(model, str(tmp_path / "model"))
+    ready, loaded = store.load_prepared(spark, str(tmp_path / "prepared")), store.load_model(spark, str(tmp_path / "model"))
+    history_of(spark, tmp_path)
+    arriving = spark.readStream.schema(spark.read.parquet(str(tmp_path / "run/rows")).schema).parquet(str(tmp_path / "run/rows"))
+    live.score_stream(
+        arriving, [ready.vector], lambda df: training.score(loaded, df, "p").select("id", F.round("p", 9).alias("p")),
+        lambda df, number: df.write.mode("overwrite").parquet(str(tmp_path / f"scores/batch={number}")), str(tmp_path / "score-state"),
+    ).awaitTermination()
+    want = training.score(model, prepared.vector(batch), "p").select("id", F.round("p", 9).alias("p"))
+    assert rows(spark.read.parquet(str(tmp_path / "scores")), "id", "p") == rows(want)
