@@ -33,7 +33,7 @@ def feature_names(flags: Sequence[str], valued: bool, n: int, suffix: str) -> li
 def features_of(rows: pd.DataFrame, before: pd.DataFrame, flags: Sequence[str], valued: bool, n: int, suffix: str) -> pd.DataFrame:
     """Features of ``rows``, in their order, from the ``n`` rows before each; ``before`` holds the last ones of the state."""
     both = pd.concat([before, rows], ignore_index=True)
-    live = both["live"].fillna(False).to_numpy(dtype=bool)
+    live = both["live"].eq(True).to_numpy(dtype=bool)
 
     def frames(column: str) -> np.ndarray:
         """One line per row of ``rows``: the values of the n rows before it, NaN where there is none."""
