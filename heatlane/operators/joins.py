@@ -139,59 +139,93 @@ def pairs_within_group(df: DataFrame, group: str, member: str, cols: Sequence[st
 
 
 OPEN_START, OPEN_END = "1900-01-01", "2100-12-31"
+# Days of a bucket of the interval join.
+BUCKET_DAYS = 64
 
 
-def pack_ranges(ranges: DataFrame, keys: Sequence[str], value: str, start: str, end: str) -> DataFrame:
-    """One row per key with its ranges as a sorted array. A key has one range per
-    generation, so the arrays are short."""
-    row = F.struct(
-        F.coalesce(F.col(start), F.lit(OPEN_START).cast("date")).alias("a"),
-        F.col(value).alias("v"),
-        F.coalesce(F.col(end), F.lit(OPEN_END).cast("date")).alias("z"),
-    )
-    return ranges.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("__ranges"))
+def days_asked(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """(keys, ``__d``, ``__n`` rows), written: which ranges apply depends on key and day alone, so
+    each pair is looked up once, however many rows have it."""
+    return durable(df.groupBy(*keys, F.col(day).alias("__d")).agg(F.count(F.lit(1)).alias("__n")), "days")
 
 
-def with_candidates(df, ranges, keys, day, value, start="effective_from", end="effective_to") -> DataFrame:
-    """Every row with the values whose range holds its day, earliest start first.
+def day_matches(
+    asked: DataFrame, ranges: DataFrame, keys: Sequence[str], value: str, start="effective_from", end="effective_to",
+    bucket_days: int = BUCKET_DAYS,
+) -> DataFrame:
+    """(keys, ``__d``, ``__n``, ``__a`` start, ``__v`` value): every range that holds a day asked for.
 
-    The facts are not shuffled when the packed ranges are small enough to
-    broadcast, and never grouped by row.
+    Ranges are cut at fixed date buckets within the days asked for, days and pieces meet by
+    (keys, bucket), and the day is checked there. A key of many ranges makes many pieces, never one row.
     """
-    packed = sized_broadcast(pack_ranges(ranges, keys, value, start, end))
-    joined = df.join(packed, list(keys), "left")
-    inside = F.filter("__ranges", lambda r: (r["a"] <= F.col(day)) & (r["z"] >= F.col(day)))
-    return joined.withColumn("__found", F.transform(inside, lambda r: r["v"])).drop("__ranges")
+
+    def bucket(c: Column) -> Column:
+        return F.floor(F.unix_date(c.cast("date")) / F.lit(bucket_days))
+
+    extent = asked.agg(F.min(F.col("__d").cast("date")).alias("low"), F.max(F.col("__d").cast("date")).alias("high")).first()
+    low, high = (F.lit(extent[c]).cast("date") for c in ("low", "high"))
+    whole = ranges.select(
+        *keys, F.coalesce(F.col(start), F.lit(OPEN_START).cast("date")).alias("__a"),
+        F.coalesce(F.col(end), F.lit(OPEN_END).cast("date")).alias("__z"), F.col(value).alias("__v"),
+    ).where((F.col("__a") <= F.col("__z")) & (F.col("__a") <= high) & (F.col("__z") >= low))
+    inside = F.sequence(bucket(F.greatest("__a", low)), bucket(F.least("__z", high)))
+    pieces = whole.withColumn("__b", F.explode(inside))
+    met = asked.withColumn("__b", bucket(F.col("__d"))).join(pieces, [*keys, "__b"])
+    return met.where((F.col("__a") <= F.col("__d")) & (F.col("__z") >= F.col("__d"))).drop("__b", "__z")
 
 
 def range_matches(df, ranges, row_id, keys, day, value, start="effective_from", end="effective_to"):
     """Every (row, value) match of the range join."""
-    found = with_candidates(df, ranges, keys, day, value, start, end)
-    return found.select(row_id, F.explode("__found").alias(value))
+    found = day_matches(days_asked(df, keys, day), ranges, keys, value, start, end)
+    back = found.select(*keys, F.col("__d").alias(day), "__v")
+    return df.select(*dict.fromkeys([row_id, *keys, day])).join(back, [*keys, day]).select(row_id, F.col("__v").alias(value))
+
+
+def resolved_days(matches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key and day, written: ``__first`` (earliest start, then least value), ``__least``, ``__most``,
+    whether ``__several`` different values apply, and the rows ``__n`` that ask."""
+    v = F.col("__v")
+    mixed = (F.count(v) > 0) & ((F.min(v) != F.max(v)) | (F.count(v) < F.count(F.lit(1))))
+    out = matches.groupBy(*keys, "__d").agg(
+        F.min(F.struct("__a", "__v")).alias("__first"), F.min(v).alias("__least"), F.max(v).alias("__most"),
+        mixed.alias("__several"), F.max("__n").alias("__n"),
+    )
+    return durable(out, "resolved")
+
+
+def _with_first(df: DataFrame, resolved: DataFrame, keys: Sequence[str], day: str, value: str) -> DataFrame:
+    """The facts move only if the days looked up are too many to broadcast."""
+    first = resolved.select(*keys, F.col("__d").alias(day), F.col("__first.__v").alias("__value"))
+    joined = df.join(sized_broadcast(first), [*keys, day], "left")
+    return joined.select(*[f"`{c}`" for c in df.columns if c != value], F.col("__value").alias(value))
 
 
 def effective_join_first(df, ranges, keys, day, value, start="effective_from", end="effective_to"):
-    """Left join to the range that contains the day; earliest start wins."""
-    found = with_candidates(df, ranges, keys, day, value, start, end)
-    return found.withColumn(value, F.get("__found", F.lit(0))).drop("__found")
+    """Left join to the range that contains the day; earliest start wins, then the least value.
+
+    ``df`` is read twice, the first time for its keys and days alone.
+    """
+    matches = day_matches(days_asked(df, keys, day), ranges, keys, value, start, end)
+    return _with_first(df, resolved_days(matches, keys), keys, day, value)
 
 
 def effective_join_strict(
     df, ranges, keys, day, value, max_miss_pct: float | None = None, start="effective_from", end="effective_to",
 ):
     """As above, but several different candidates for a row are an error, and so
-    is a share of unmatched rows above ``max_miss_pct``. One aggregate checks both,
-    over the written rows, so that what stands above runs once."""
-    found = durable(with_candidates(df, ranges, keys, day, value, start, end), "effective")
-    several = F.coalesce(F.size(F.array_distinct("__found")), F.lit(0)) > 1
-    none = F.coalesce(F.size("__found"), F.lit(0)) <= 0
-    seen = found.agg(F.max(several.cast("int")).alias("clash"), (F.avg(none.cast("int")) * 100).alias("miss")).first()
+    is a share of unmatched rows above ``max_miss_pct``. Both are checked on the
+    days looked up, which carry the number of their rows."""
+    asked = days_asked(df, keys, day)
+    resolved = resolved_days(day_matches(asked, ranges, keys, value, start, end), keys)
+    seen = resolved.agg(F.max(F.col("__several").cast("int")).alias("clash"), F.sum("__n").alias("hits")).first()
     if seen["clash"]:
-        sample = found.where(several).select(*keys, day, "__found").limit(10).collect()
+        sample = resolved.where("__several").select(*keys, F.col("__d").alias(day), "__least", "__most").limit(10).collect()
         raise ValueError(f"several {value} apply to one row, e.g. {sample}")
-    if max_miss_pct is not None and seen["miss"] is not None and seen["miss"] > max_miss_pct:
-        raise ValueError(f"{seen['miss']:.3f}% of rows have no {value}, limit {max_miss_pct}%")
-    return found.withColumn(value, F.get("__found", F.lit(0))).drop("__found")
+    total = asked.agg(F.sum("__n").alias("n")).first()["n"]
+    miss = 100 * (1 - (seen["hits"] or 0) / total) if total else 0.0
+    if max_miss_pct is not None and miss > max_miss_pct:
+        raise ValueError(f"{miss:.3f}% of rows have no {value}, limit {max_miss_pct}%")
+    return _with_first(df, resolved, keys, day, value)
 
 
 def positional_join(a: DataFrame, b: DataFrame, group: str, pos: str) -> DataFrame:

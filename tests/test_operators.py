@@ -1,6 +1,7 @@
 """Filters, joins, ranges, priors, signals and tickets on hand-made races."""
 
 import datetime as dt
+import random
 
 import pytest
 from tests.conftest import rows
@@ -51,6 +52,38 @@ def test_effective_join(spark):
     assert rows(joins.effective_join_first(facts, clash, ["k"], "d", "id"), "r", "id")[0] == (1, 1)
 
 
+def test_effective_join_against_all_ranges(spark):
+    """Random overlapping, open, reversed and equal ranges, null keys and days, against a plain loop."""
+    rng = random.Random(3)
+    day = lambda: D(2024, 1, 1) + dt.timedelta(days=rng.randrange(700))
+    table = [(rng.choice("abc"), i % 40, rng.choice([None, day()]), rng.choice([None, day(), day()])) for i in range(120)]
+    table += [(None, 5, None, None), ("c", None, D(2024, 3, 1), D(2024, 3, 2))]
+    facts = [(i, rng.choice(["a", "b", "c", "x", None]), rng.choice([day(), day(), day(), None])) for i in range(400)]
+    wide = spark.createDataFrame(table, RANGE_SCHEMA)
+    asked = spark.createDataFrame(facts, "r int, k string, d date")
+
+    def held(k, d):
+        found = [(a or D(1900, 1, 1), v) for key, v, a, z in table if key == k and k and d and (a or D.min) <= d <= (z or D.max)]
+        return sorted(found, key=lambda f: (f[0], f[1] is not None, f[1] or 0))
+
+    want = [(r, (held(k, d) or [(None, None)])[0][1]) for r, k, d in facts]
+    assert rows(joins.effective_join_first(asked, wide, ["k"], "d", "id"), "r", "id") == sorted(want, key=repr)
+    every = [(r, v) for r, k, d in facts for _, v in held(k, d)]
+    assert rows(joins.range_matches(asked, wide, "r", ["k"], "d", "id")) == sorted(every, key=repr)
+    none = asked.limit(0)
+    assert joins.effective_join_strict(none, wide, ["k"], "d", "id", 0.0).count() == 0
+
+
+def test_effective_join_of_a_key_with_many_ranges(spark):
+    """A million ranges of one key, as many rows of one day: no array, no row of the key's size."""
+    many = spark.range(1_000_000).select(
+        F.lit("m").alias("k"), F.lit(7).alias("id"), F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 9000).cast("int")).alias("effective_from")
+    ).withColumn("effective_to", F.date_add("effective_from", 1))
+    facts = spark.range(1_000_000).select(F.lit("m").alias("k"), F.lit(D(2012, 5, 5)).alias("d"), "id").withColumnRenamed("id", "r")
+    out = joins.effective_join_strict(facts, many, ["k"], "d", "id", max_miss_pct=0.0)
+    assert out.where("id = 7").count() == 1_000_000
+
+
 def test_lookup_contract(spark):
     facts = spark.createDataFrame([(1, "a"), (2, "b")], "r int, k string")
     with pytest.raises(ValueError, match="not unique"):
