@@ -213,13 +213,13 @@ def timeline_seq_hot(spark, sf):
     return windows.sequence_by(e, ["ts", "event_id"], split_rows=500).select("event_id", "seq")
 
 
-@query(
-    "due_jobs",
-    """with j as (select event_id, user_id, event_type, ts - interval 5 minute as run_at,
+DUE_SQL = """with j as (select event_id, user_id, event_type, ts - interval 5 minute as run_at,
   row_number() over (partition by user_id, event_type order by ts, event_id) as rn
   from events where ts - interval 5 minute >= timestamp '2024-01-10 00:00:00')
-select event_id, user_id, event_type, run_at from j where rn = 1""",
-)
+select event_id, user_id, event_type, run_at from j where rn = 1"""
+
+
+@query("due_jobs", DUE_SQL)
 def due_jobs(spark, sf):
     e = lenses.table(spark, sf, "events")
     now = F.lit("2024-01-10 00:00:00").cast("timestamp")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from heatlane.plans import lenses
-from heatlane.plans.queries.history import FLAGS, HISTORY_SQL, HIST_COLS
+from heatlane.plans.queries.history import DUE_SQL, FLAGS, HISTORY_SQL, HIST_COLS
 from heatlane.plans.queries.priors import POSTERIOR_SQL, signal_prior
 from heatlane.plans.registry import query, rounded
 from heatlane.session import durable, scratch_path
@@ -49,6 +49,16 @@ def history_stream(spark, sf):
     return rounded(out.select("event_id", "user_id", "event_type", *HIST_COLS))
 
 
+@query("due_timers", DUE_SQL)
+def due_timers(spark, sf):
+    """The due jobs of a streamed timeline, fired by one timer each."""
+    stream = spark.readStream.schema(lenses.table(spark, sf, "events").schema).parquet(EVENTS.format(sf))
+    arrived = F.lit("2024-01-10 00:00:00").cast("timestamp")
+    jobs = stream.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("deadline_dt"), arrived.alias("known_at"))
+    out = live.replay_due(jobs, 5, "known_at", scratch_path(spark, "due"), keys=["user_id", "event_type"])
+    return out.select("event_id", "user_id", "event_type", F.col("run_at").cast("timestamp_ntz").alias("run_at"))
+
+
 @query(
     "daily_intake",
     "select o_orderkey, o_custkey, 'orders.parquet' as source_file from orders",

@@ -108,6 +108,58 @@ def test_due_stream_is_a_stream_join(spark):
     assert got and all(abs((r["run_at"] - r["timestamp"]).total_seconds()) < 2 for r in got)
 
 
+JOBS = "seq int, jcd int, rno int, deadline_dt timestamp, title string, known_at timestamp"
+
+
+def test_due_timers_replayed_over_a_restart(spark, tmp_path):
+    """Two files in two runs of one checkpoint: past jobs skipped, keys once, the earliest run time, state kept in between."""
+    at = lambda h, m=0, us=0: dt.datetime(2026, 5, 1, h, m, 0, us)
+    first = [
+        (1, 2, 1, at(9, 4), "past", at(9)), (2, 2, 2, at(9, 5), "now", at(9)), (3, 2, 3, at(10), "late", at(9)),
+        (3, 2, 3, at(9, 50, 123456), "earlier", at(9)), (4, 2, 4, None, "none", at(9)), (5, 2, 5, at(11), "moved", at(9)),
+    ]
+    second = [(5, 2, 5, at(10, 30), "moved up", at(9, 30)), (2, 2, 2, at(12), "again", at(9, 30)), (6, 2, 6, at(9, 34), "past", at(9, 30)), (6, 2, 6, at(13), "later", at(9, 30))]
+    folder, root = str(tmp_path / "jobs"), str(tmp_path / "due")
+    spark.createDataFrame(first, JOBS).coalesce(1).write.parquet(folder)
+    marker = spark.createDataFrame([(dt.datetime(2200, 1, 1),)], "known_at timestamp")
+    marker.limit(0).write.parquet(f"{root}/marker")
+
+    def run():
+        jobs = spark.readStream.schema(JOBS).parquet(folder)
+        ends = spark.readStream.schema(marker.schema).parquet(f"{root}/marker")
+        with posterior.rocksdb_state(spark):
+            out = live.due_timers(jobs.unionByName(ends, allowMissingColumns=True), 5, clock="known_at")
+            posterior.run_to_table(out, f"{root}/rows", f"{root}/state")
+        return rows(spark.read.schema(out.schema).parquet(f"{root}/rows"), "seq", "run_at", "deadline_dt", "title")
+
+    run()
+    spark.createDataFrame(second, JOBS).coalesce(1).write.mode("append").parquet(folder)
+    run()
+    marker.write.mode("append").parquet(f"{root}/marker")
+    assert run() == [
+        (2, at(9), at(9, 5), "now"), (3, at(9, 45, 123456), at(9, 50, 123456), "earlier"),
+        (5, at(10, 25), at(10, 30), "moved up"), (6, at(12, 55), at(13), "later"),
+    ]
+
+
+def test_due_timers_of_the_clock(spark, tmp_path):
+    """On the machine's time: a job fires once after its run time, one that has passed never."""
+    now = dt.datetime.now()
+    jobs = [(1, 2, 1, now + dt.timedelta(minutes=5, seconds=12), "soon"), (2, 2, 2, now + dt.timedelta(minutes=4), "past"), (3, 2, 3, now + dt.timedelta(hours=2), "far")]
+    schema = JOBS.removesuffix(", known_at timestamp")
+    spark.createDataFrame([*jobs, jobs[0]], schema).coalesce(1).write.parquet(str(tmp_path / "jobs"))
+    with posterior.rocksdb_state(spark):
+        out = live.due_timers(spark.readStream.schema(schema).parquet(str(tmp_path / "jobs")), 5)
+        q = out.withColumn("seen", F.current_timestamp()).writeStream.format("memory").queryName("timers").outputMode("append").trigger(processingTime="1 second").start()
+        until = time.time() + 60
+        while time.time() < until and spark.table("timers").count() == 0:
+            time.sleep(1)
+        time.sleep(3)
+        q.stop()
+    (got,) = spark.table("timers").collect()
+    assert got["seq"] == 1 and got["title"] == "soon" and got["seen"] >= got["run_at"]
+
+
 def test_intake_takes_each_file_once(spark, tmp_path):
     src, out, state = (str(tmp_path / x) for x in ("src", "out", "state"))
     schema = "a int"
