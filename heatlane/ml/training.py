@@ -203,24 +203,22 @@ def permutation_importance(
 ) -> DataFrame:
     """Rise of the log loss when one column is shuffled: mean and sd per column.
 
-    All columns of a repeat share one shuffled copy and one aggregate.
+    A repeat reads its shuffled copy once, whatever the number of columns: each row becomes
+    one variant per column, with that column swapped, and the losses are summed map-side.
+    ``boosting.permutation_importance`` does the same for a node table in one pass per repeat, without scoring unchanged trees anew.
     """
     spark = df.sparkSession
     df = durable(df, "permute")
     base = metrics.binary_metrics(score(model, prepared.vector(df)), y, "proba").first()["logloss"]
+    inputs = list(dict.fromkeys([*prepared.fill, *prepared.categories, y]))
     rows = []
     for n in range(repeats):
         both = durable(shuffled_copy(df, cols, keys, seed + n), "permute")
-        frames = []
-        for c in cols:
-            swapped = both.withColumn(c, F.col(f"alt_{c}"))
-            frames.append(score(model, prepared.vector(swapped)).select(F.lit(c).alias("feature"), y, "proba"))
-        every = frames[0]
-        for f in frames[1:]:
-            every = every.unionByName(f)
+        swaps = [F.struct(F.lit(c).alias("feature"), *[F.col(f"alt_{i}" if i == c else i).alias(i) for i in inputs]) for c in cols]
+        variants = both.select(F.explode(F.array(*swaps)).alias("v")).select("v.*")
         p = F.least(F.greatest("proba", F.lit(metrics.EPS)), F.lit(1 - metrics.EPS))
         loss = -F.avg(F.when(F.col(y) == 1, F.log(p)).otherwise(F.log(1 - p)))
-        for r in every.groupBy("feature").agg(loss.alias("loss")).collect():
+        for r in score(model, prepared.vector(variants)).groupBy("feature").agg(loss.alias("loss")).collect():
             rows.append((r["feature"], n, r["loss"] - base))
     out = spark.createDataFrame(rows, "feature string, repeat int, rise double")
     return out.groupBy("feature").agg(F.avg("rise").alias("importance"), F.stddev_pop("rise").alias("std"))

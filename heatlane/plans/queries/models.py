@@ -250,6 +250,15 @@ def permutation_importance(spark, sf):
     return training.permutation_importance(model, prepared, rows.drop("features"), "y", INPUTS, keys, repeats=5)
 
 
+@query("permutation_leafwise")
+def permutation_leafwise(spark, sf):
+    """The same for the leaf-wise trees, on the hold-out."""
+    rows = durable(_split(spark, sf), "split")
+    nodes = boosting.fit(rows.where("part = 'train'"), INPUTS, "y", [LEAFWISE])
+    keys = ["race_id", "line", "item", "supp", "ts", "l_extendedprice"]
+    return boosting.permutation_importance(boosting.Trees(nodes), rows.where("part = 'valid'"), "y", keys)
+
+
 @query("rank_importances", f"""{lens('lanes')}, g as (select player_id % 50 as feature, max(price) as importance from lanes group by 1)
 select feature, importance, rank() over (order by importance desc) as rank from g""")
 def rank_importances(spark, sf):
