@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from heatlane.plans.lenses import table
 from heatlane.plans.registry import query, r, rounded
 from heatlane.session import durable, scratch_path
-from heatlane.sources import markup, vault
+from heatlane.sources import manifest, markup, vault
 
 PATH = "source || '/' || lang || '_' || cast(20240101 + doc_id % 28 as varchar) || '_' || cast(doc_id as varchar) || '.bin'"
 FILES = f"files as (select {PATH} as rel_path, cast(doc_id as double) as mtime, strlen(text) as size, sha256(text) as sha256, text, source, cast(20240101 + doc_id % 28 as varchar) as date_ymd from documents)"
@@ -78,11 +78,11 @@ def ingest_counts(spark, sf):
     return vault.ingest_counts(index, stored)
 
 
-@query(
-    "upsert_index",
-    f"""with {FILES} select rel_path, case when source = 'src1' then mtime + 1 else mtime end as mtime, size,
- case when source = 'src1' then 'changed' else sha256 end as sha256 from files""",
-)
+UPSERT_SQL = f"""with {FILES} select rel_path, case when source = 'src1' then mtime + 1 else mtime end as mtime, size,
+ case when source = 'src1' then 'changed' else sha256 end as sha256 from files"""
+
+
+@query("upsert_index", UPSERT_SQL)
 def upsert_index(spark, sf):
     old = vault.vault_index(files_of(spark, sf))
     new = vault.vault_folders(old, ["src1"]).withColumn("mtime", F.col("mtime") + 1).withColumn("sha256", F.lit("changed"))
@@ -90,6 +90,18 @@ def upsert_index(spark, sf):
     return vault.upsert_index(old, new.unionByName(stale)).drop("date_ymd")
 
 
+@query("upsert_stored", UPSERT_SQL)
+def upsert_stored(spark, sf):
+    """The same on a stored index of hash buckets: a first load, then two upserts."""
+    root = scratch_path(spark, "index")
+    old = durable(vault.vault_index(files_of(spark, sf)), "hashed")
+    new = vault.vault_folders(old, ["src1"]).withColumn("mtime", F.col("mtime") + 1).withColumn("sha256", F.lit("changed"))
+    stale = vault.vault_folders(old, ["src2"]).withColumn("mtime", F.col("mtime") - 1)
+    for part in (old, new, stale):
+        vault.store_index(part, root, buckets=16)
+    return manifest.read_buckets(spark, root).drop("date_ymd")
+
+
 @query(
     "vault_summary",
     f"with {FILES} select source as folder, count(*) as n_files, {r('sum(size) / cast(1048576.0 as double)')} as mb from files group by 1",

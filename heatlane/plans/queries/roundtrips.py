@@ -77,6 +77,18 @@ def versioned_prior(spark, sf):
     return rounded(files.read_latest(spark, root, "price"), 6)
 
 
+@query("versioned_build", f"""select o_orderpriority as priority, {r('avg(o_totalprice)', 6)} as mean, '20240101' as built_from,
+ '20241231' as built_to, cast(100 as int) as m_strength, 'v1' as version from orders group by 1""")
+def versioned_build(spark, sf):
+    """A build by its period, after it was repeated and a later one became the latest."""
+    prior = table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("priority")).agg(F.avg("o_totalprice").alias("mean"))
+    root = scratch_path(spark, "versions")
+    files.write_versioned(prior.limit(1), root, "price", "20240101", "20241231", {"m_strength": 100})
+    files.write_versioned(prior, root, "price", "20240101", "20241231", {"m_strength": 100})
+    files.write_versioned(prior.limit(2), root, "price", "20250101", "20251231", {"m_strength": 200}, "v2")
+    return rounded(files.read_build(spark, root, "price", "20240101", "20241231"), 6)
+
+
 @query("duplicate_samples", """select l_partkey, count(*) as n from lineitem group by 1 having count(*) > 1 order by n desc, l_partkey limit 10""")
 def duplicate_samples(spark, sf):
     """The ten worst keys of an error message."""

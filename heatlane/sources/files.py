@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from heatlane.sources import manifest
+
 SOURCE = "__source_file"
 JAPANESE = "cp932"
 
@@ -114,19 +116,35 @@ def write_csv(df: DataFrame, path: str, bom: bool = True) -> None:
 
 
 def write_versioned(df: DataFrame, root: str, name: str, start: str, end: str, params: dict, version: str = "v1") -> str:
-    """Write a prior as ``<root>/<name>/build=<from>_<to>`` and as ``latest``,
-    with its build parameters as columns."""
+    """Write a prior as a build ``build=<from>_<to>`` with its build parameters as columns, and make it the latest.
+
+    Data goes to a folder of its own; ``builds/<from>_<to>.json`` and ``latest.json`` then name it. A
+    reader sees whole builds only, also while one is repeated or fails; older folders stay.
+    """
     meta = {"built_from": start, "built_to": end, **params, "version": version}
     out = df.withColumns({k: F.lit(v) for k, v in meta.items()})
-    path = f"{root}/{name}/build={start}_{end}"
-    out.write.mode("overwrite").parquet(path)
-    spark = df.sparkSession
-    spark.read.schema(out.schema).parquet(path).write.mode("overwrite").parquet(f"{root}/{name}/latest")
-    return path
+    base, build = f"{root}/{name}", f"build={start}_{end}"
+    folder = f"{manifest.fresh_folder(base)}/{build}"
+    out.write.parquet(folder)
+    content = {"folder": folder.removeprefix(f"{base}/"), **{k: str(v) for k, v in meta.items()}}
+    for place in (f"builds/{start}_{end}.json", "latest.json"):
+        manifest.commit(df.sparkSession, f"{base}/{place}", content)
+    return folder
 
 
 def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}/latest")
+    return _committed_build(spark, f"{root}/{name}", "latest.json")
+
+
+def read_build(spark: SparkSession, root: str, name: str, start: str, end: str) -> DataFrame:
+    return _committed_build(spark, f"{root}/{name}", f"builds/{start}_{end}.json")
+
+
+def _committed_build(spark: SparkSession, base: str, place: str) -> DataFrame:
+    found = manifest.committed(spark, f"{base}/{place}")
+    if found is None:
+        raise FileNotFoundError(f"no committed build {base}/{place}")
+    return spark.read.parquet(f"{base}/{found['folder']}")
 
 
 def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:

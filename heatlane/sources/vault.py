@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from heatlane.operators.joins import sized_broadcast
 from heatlane.operators.sets import upsert
+from heatlane.session import durable
+from heatlane.sources import manifest
 
 DAY_IN_NAME = r"([0-9]{8})"
 
@@ -60,20 +62,18 @@ def _gzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf
 
 
-def vault_objects(files: DataFrame, compress: bool = False) -> DataFrame:
+def vault_objects(files: DataFrame, compress: bool = False, index: DataFrame | None = None) -> DataFrame:
     """(sha256, size, is_gzip, bytes): each content once, out of its first path.
 
-    Winners are chosen on hashes and paths alone, map-side first; file bytes are
-    read again for the winners and don't move while their list is counted to be
-    short. Paths are unique.
+    Contents are hashed once, into a written table of paths (``index``, if there is one
+    already); first paths are chosen there, and their bytes are read by path alone. Bytes don't move while the
+    list of first paths is counted to be short. Paths are unique.
     """
-    sha = F.sha2("content", 256)
-    winners = files.select("rel_path", sha.alias("sha256")).groupBy("sha256").agg(F.min("rel_path").alias("rel_path"))
-    hashed = files.select(
-        "rel_path", sha.alias("sha256"), F.col("size").cast("long").alias("size"),
-        F.lit(int(compress)).alias("is_gzip"), F.col("content").alias("bytes"),
-    )
-    once = hashed.join(sized_broadcast(winners), ["rel_path", "sha256"], "left_semi").drop("rel_path")
+    index = durable(vault_index(files), "hashed") if index is None else index
+    first = F.min(F.struct("rel_path", "size"))
+    winners = index.groupBy("sha256").agg(first.alias("f")).select("f.rel_path", "sha256", "f.size", F.lit(int(compress)).alias("is_gzip"))
+    once = files.select("rel_path", F.col("content").alias("bytes")).join(sized_broadcast(winners), "rel_path")
+    once = once.select("sha256", "size", "is_gzip", "bytes")
     return once.mapInPandas(_gzip, once.schema) if compress else once
 
 
@@ -86,7 +86,9 @@ def vault_index(files: DataFrame, pattern: str = DAY_IN_NAME) -> DataFrame:
 
 
 def vault_ingest(files: DataFrame, compress: bool = False) -> tuple[DataFrame, DataFrame]:
-    return vault_objects(files, compress), vault_index(files)
+    """(objects, index), both from one hashing of the files."""
+    index = durable(vault_index(files), "hashed")
+    return vault_objects(files, compress, index), index
 
 
 def new_objects(objects: DataFrame, stored: DataFrame) -> DataFrame:
@@ -114,6 +116,11 @@ def upsert_index(old: DataFrame, new: DataFrame) -> DataFrame:
     return upsert(old, new, ["rel_path"], ["mtime", "sha256"])
 
 
+def store_index(new: DataFrame, root: str, buckets: int = 64) -> list[int]:
+    """``upsert_index`` on a stored index: only the hash buckets that the new paths fall into are read and written."""
+    return manifest.upsert_buckets(new, root, ["rel_path"], ["mtime", "sha256"], buckets)
+
+
 def vault_select(index: DataFrame, objects: DataFrame, pattern: str, limit: int | None = None) -> DataFrame:
     """Indexed files whose path is LIKE the pattern, with their bytes."""
     picked = index.where(F.col("rel_path").like(pattern)).select("rel_path", "sha256", "size")

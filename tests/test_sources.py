@@ -3,9 +3,11 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
+
 from tests.conftest import rows
 
-from heatlane.sources import files, vault
+from heatlane.sources import files, manifest, vault
 
 
 @pytest.fixture()
@@ -55,6 +57,44 @@ def test_versioned(spark, tmp_path):
     assert (got["p"], got["built_from"], got["m_strength"], got["version"]) == (0.5, "20240101", 200, "v1")
 
 
+def test_a_failed_build_changes_nothing(spark, tmp_path):
+    """A build that fails halfway, and one under way, are not seen; the committed one is read on."""
+    df, root = spark.createDataFrame([(1, 0.5), (2, 0.25)], "k int, p double"), str(tmp_path)
+    build = ("tenji", "20240101", "20241231", {"m_strength": 200})
+    with pytest.raises(FileNotFoundError):
+        files.read_latest(spark, root, "tenji")
+    files.write_versioned(df, root, *build)
+    before = files.read_latest(spark, root, "tenji")
+    broken = spark.range(0, 100, 1, 10).select(F.col("id").cast("int").alias("k"), F.when(F.col("id") < 95, 0.1).otherwise(F.raise_error(F.lit("no"))).alias("p"))
+    with pytest.raises(Exception, match="no"):
+        files.write_versioned(broken, root, *build)
+    assert rows(files.read_latest(spark, root, "tenji"), "k", "p") == [(1, 0.5), (2, 0.25)]
+    files.write_versioned(df.limit(1), root, *build, "v2")
+    assert files.read_latest(spark, root, "tenji").first()["version"] == "v2"
+    assert rows(before, "k", "version") == [(1, "v1"), (2, "v1")]  # a reader that had begun goes on
+    assert files.read_build(spark, root, *build[:3]).count() == 1
+    assert not [p for p in (tmp_path / "tenji").iterdir() if p.name.startswith("latest.json.")]
+
+
+def test_upsert_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    schema, root = "rel_path string, mtime double, size long, sha256 string, date_ymd string", str(tmp_path)
+    first = spark.createDataFrame([(f"p{i}", 1.0, i, "a", None) for i in range(500)] + [(None, 1.0, 0, "n", None)], schema)
+    assert vault.store_index(first, root, 8) == list(range(8))
+    files_of = lambda: {str(p): p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    before = files_of()
+    assert vault.store_index(first.limit(0), root, 8) == []
+    change = [("p7", 2.0, 1, "b", None), ("p7", 3.0, 1, "c", None), ("p7", 0.5, 1, "old", None)]
+    (touched,) = vault.store_index(spark.createDataFrame(change, schema), root)
+    after = files_of()
+    assert all(after[p] == t for p, t in before.items())  # nothing is rewritten in place
+    assert [p for p in after if p not in before] and all(f"__bucket={touched}/" in p for p in after if p not in before)
+    got = manifest.read_buckets(spark, root)
+    assert got.count() == 501 and rows(got.where("rel_path = 'p7'"), "mtime", "sha256") == [(3.0, "c")]
+    with pytest.raises(ValueError, match="columns"):
+        vault.store_index(first.drop("size"), root)
+    assert manifest.read_buckets(spark, f"{root}/nothing") is None
+
+
 def test_csv_and_parquet_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "優勝戦")], "k int, t string")
     files.write_csv(df, str(tmp_path / "c"), bom=False)
