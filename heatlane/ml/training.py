@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
@@ -159,6 +160,44 @@ def stack_columns(contexts: dict | None = None) -> list[str]:
     return fixed + [f"{c}_{v}" for c, values in (contexts or {}).items() for v in values]
 
 
+def nested_folds(
+    df: DataFrame, y: str, keys: Sequence[str], k: int = 5, inner: int = 4, seed: int = 42, split_rows=SPLIT_ROWS
+) -> DataFrame:
+    """``fold`` 0..k-1 and ``inner`` 0..inner-1, both stratified. Inner folds are dealt inside (class, fold) by
+    another hash, so that every outer fold holds the same share of each inner one."""
+    out = stratified_folds(df, y, keys, k, seed, split_rows).withColumn("__h", F.xxhash64(*[F.col(c) for c in keys], F.lit(seed + 1)))
+    out = numbered(out, [y, "fold"], ["__h", *keys], "__i", split_rows)
+    return out.withColumn("inner", ((F.col("__i") - 1) % inner).cast("int")).drop("__h", "__i")
+
+
+def cross_stack(
+    df: DataFrame, y: str, base, section, keys: Sequence[str], has_section=None, contexts: dict | None = None,
+    k: int = 5, inner: int = 4, seed: int = 42,
+) -> DataFrame:
+    """Every row with ``p_base``, ``p_sectional`` and ``p_meta`` of models that saw neither it nor its fold.
+
+    For each outer fold, the stacking model learns from inner out-of-fold scores of the other folds; base and
+    section model are fitted again on all of them, score the held fold, and the stacking model joins
+    their scores. ``base`` and ``section`` are estimators with feature columns of their own. Rows where
+    ``has_section`` isn't true have no section score (0.5, ``is_sectional_missing`` 1) and take no part in its fits. All fits read one written
+    table of folds.
+    """
+    rows = durable(nested_folds(df, y, keys, k, inner, seed).withColumn("__has", F.lit(True) if has_section is None else F.coalesce(has_section, F.lit(False))), "nested")
+
+    def both(fit_rows: DataFrame, to_score: DataFrame) -> DataFrame:
+        out = score(base.fit(fit_rows), to_score, "p_base")
+        out = score(section.fit(fit_rows.where("__has")), out, "p_sectional")
+        return out.withColumn("p_sectional", F.when(F.col("__has"), F.col("p_sectional")))
+
+    parts = []
+    for o in range(k):
+        seen, held = rows.where(F.col("fold") != o), rows.where(F.col("fold") == o)
+        pieces = [both(seen.where(F.col("inner") != i), seen.where(F.col("inner") == i)) for i in range(inner)]
+        model, names = stack(durable(reduce(DataFrame.unionByName, pieces), "inner"), y, contexts)
+        parts.append(apply_stack(model, both(seen, held), names, contexts))
+    return reduce(DataFrame.unionByName, parts).drop("__has")
+
+
 def _as_is(names: Sequence[str]) -> Prepared:
     return Prepared(
         fill={n: 0.0 for n in names}, mean={n: 0.0 for n in names}, scale={n: 1.0 for n in names}

@@ -223,14 +223,53 @@ def fold_balance(spark, sf):
 
 @query("stack_lr")
 def stack_lr(spark, sf):
-    """Stacking of two scores, one of them missing for some rows."""
+    """Nested cross-fitting: a base and a section model, the latter for a part of the rows, and the stacking
+    model on their out-of-fold scores; each row judged by models that did not see its fold."""
+    keys = ["race_id", *TIE, "ts", "l_extendedprice"]
     s = lenses.scored(spark, sf).withColumn("stage", F.when(F.col("l_tax") > 0.04, "high").otherwise("low"))
-    base = s.select("race_id", *TIE, "ts", "y", "stage", F.col("score").alias("p_base"))
-    section = s.where(F.col("part") % 4 != 0).groupBy("race_id", *TIE, "ts").agg(F.avg("l_discount").alias("p_sectional"))
-    both = joins.out_of_fold_join(base, section, ["race_id", *TIE, "ts"], "p_sectional")
-    contexts = {"stage": ["high", "low"]}
-    model, names = training.stack(both, "y", contexts)
-    return training.apply_stack(model, both, names, contexts).select("race_id", *TIE, "p_meta")
+    ready = preprocess.fit(s, INPUTS[:2]).vector(s, "base_features")
+    ready = preprocess.fit(s, INPUTS[2:]).vector(ready, "section_features")
+    base, section = (LogisticRegression(labelCol="y", featuresCol=f"{n}_features", regParam=0.01, maxIter=100) for n in ("base", "section"))
+    out = training.cross_stack(ready, "y", base, section, keys, F.col("part") % 4 != 0, {"stage": ["high", "low"]})
+    return out.select("race_id", *TIE, "y", "fold", "p_base", "p_sectional", "p_meta")
+
+
+@query("nested_fold_balance", f"""{lens('scored')}, i as (select y, row_number() over (partition by y) - 1 as i from scored),
+f as (select y, i % 5 as fold, row_number() over (partition by y, i % 5) - 1 as j from i)
+select y, cast(fold as int) as fold, cast(j % 4 as int) as "inner", count(*) as n from f group by 1, 2, 3""")
+def nested_fold_balance(spark, sf):
+    """Rows per class, outer and inner fold."""
+    folds = training.nested_folds(lenses.scored(spark, sf), "y", ["race_id", *TIE, "ts", "l_extendedprice"])
+    return folds.groupBy("y", "fold", "inner").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("out_of_fold_join", f"""{lens('lanes')} select race_id, lane, time_tenji as p_base, case when player_id % 4 <> 0 then price end as p_sectional from lanes""")
+def out_of_fold_join(spark, sf):
+    """Scores of a second model, there for a part of the entries, beside those of the first."""
+    lanes = lenses.lanes(spark, sf)
+    base = lanes.select("race_id", "lane", F.col("time_tenji").alias("p_base"))
+    section = lanes.where(F.col("player_id") % 4 != 0).select("race_id", "lane", F.col("price").alias("p_sectional"))
+    return joins.out_of_fold_join(base, section, ["race_id", "lane"], "p_sectional")
+
+
+@query("category_codes", """with c as (select 'o_clerk' as "column", o_custkey::varchar as value from orders union select 'o_status', o_orderstatus from orders)
+select "column", value, row_number() over (partition by "column" order by value) - 1 as code from c where value is not null""")
+def category_codes(spark, sf):
+    """Numbers of the categories of an open vocabulary and of a short one."""
+    o = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("o_clerk"), F.col("o_orderstatus").alias("o_status"))
+    return preprocess.category_codes(o, ["o_clerk", "o_status"])
+
+
+CODED_SQL = """with c as (select v, row_number() over (order by v) - 1 as code from (select distinct o_custkey::varchar as v from orders where o_orderkey % 3 <> 0) q)
+select o_orderkey, cast(coalesce(code, (select count(*) from c)) as bigint) as o_clerk_code from orders left join c on v = o_custkey::varchar"""
+
+
+@query("coded_columns", CODED_SQL)
+def coded_columns(spark, sf):
+    """Codes of a fit on two thirds of the rows; values it has not seen get the number of categories."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("o_clerk"))
+    coded = preprocess.fit_open(o.where(F.col("o_orderkey") % 3 != 0), texts=["o_clerk"])
+    return coded.codes(o).select("o_orderkey", F.col("o_clerk_code").cast("long").alias("o_clerk_code"))
 
 
 @query("importances")

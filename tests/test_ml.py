@@ -122,6 +122,57 @@ def test_out_of_fold_and_stack(spark, table):
     assert out.where("p_meta between 0 and 1").count() == table.count()
 
 
+def test_open_vocabulary(spark):
+    """Codes and sparse vectors against the bounded fit; unseen values, nulls, no rows."""
+    df = spark.createDataFrame([(1, 1.0, "b", "x"), (2, 3.0, "a", None), (3, None, None, "y"), (4, 9.0, "c", "x"), (5, 2.0, "a", "x")], "k int, n double, c string, d string")
+    coded = preprocess.fit_open(df, ["n"], ["c", "d"], split_rows=2)
+    assert coded.sizes == {"c": 3, "d": 2} and coded.mode == {"c": "a", "d": "x"}
+    more = df.unionByName(spark.createDataFrame([(6, 1.0, "zz", "x")], df.schema))
+    plain = preprocess.fit(df, ["n"], ["c", "d"])
+    got = coded.vector(more)
+    assert got.columns == [*more.columns, "features"]
+    want = {r["k"]: r["features"].toArray().tolist() for r in plain.vector(more).collect()}
+    assert {r["k"]: r["features"].toArray().tolist() for r in got.collect()} == want
+    assert rows(coded.codes(more).where("k = 6"), "c_code", "d_code") == [(3.0, 0.0)]
+    nothing = preprocess.fit_open(df.limit(0), ["n"], ["c"])
+    assert nothing.sizes == {"c": 0} and nothing.vector(df).first()["features"].size == 1
+
+
+def test_open_vocabulary_of_a_million(spark):
+    """A model on a text column of 10^6 values: vectors stay sparse, one row a column reaches the driver."""
+    big = spark.range(1_000_000).select(F.concat(F.lit("id"), "id").alias("who"), (F.col("id") % 2).alias("y"))
+    coded = preprocess.fit_open(big, texts=["who"], split_rows=100_000)
+    assert coded.sizes == {"who": 1_000_000}
+    v = coded.vector(big.where("who in ('id7', 'id999999', 'id0')")).collect()
+    assert all(r["features"].size == 1_000_000 and r["features"].numNonzeros() == 1 for r in v) and len(v) == 3
+
+
+def test_cross_stack_keeps_both_levels_apart(spark):
+    """Random labels and a column that names the row: a tree learns it by heart. Scores of rows a model has seen
+    would make the stack sure of itself; nested scores keep its loss near that of a coin."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    n = 240
+    data = [(i, float(i), float(i * 37 % n), (i * 7919 + i // 5) % 3 % 2, "ab"[i % 2]) for i in range(n)]
+    df = spark.createDataFrame(data, "id int, a double, b double, y int, stage string")
+    ready = preprocess.fit(df, ["b"]).vector(preprocess.fit(df, ["a"]).vector(df, "fa"), "fb")
+    deep = [DecisionTreeClassifier(labelCol="y", featuresCol=f, maxDepth=12, maxBins=256) for f in ("fa", "fb")]
+    out = training.cross_stack(ready, "y", *deep, ["id"], F.col("id") % 3 != 0, {"stage": ["a", "b"]}, k=2, inner=2)
+    assert out.count() == n and out.where("is_sectional_missing = 1 and p_sectional = 0.5").count() == n // 3 and "__has" not in out.columns
+    nested = metrics.binary_metrics(out, "y", "p_meta").first()
+    folds = training.nested_folds(ready, "y", ["id"], 2, 2)
+    assert all(r["n"] in range(n // 3 // 4 - 1, n) for r in folds.groupBy("y", "fold", "inner").agg(F.count("id").alias("n")).collect())
+    seen, held = folds.where("fold = 0"), folds.where("fold = 1")
+
+    def both(fitted, to_score):
+        first = training.score(deep[0].fit(fitted), to_score, "p_base")
+        return training.score(deep[1].fit(fitted), first, "p_sectional")
+
+    model, names = training.stack(both(seen, seen), "y")  # the leak: the stack learns from scores of seen rows
+    leaked = metrics.binary_metrics(training.apply_stack(model, both(seen, held), names), "y", "p_meta").first()
+    assert nested["logloss"] < 0.9 < 1.2 < leaked["logloss"] and nested["auc"] < 0.7
+
+
 def test_store_round_trip(spark, table, tmp_path):
     from heatlane.ml import store
 
