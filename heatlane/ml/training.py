@@ -172,7 +172,7 @@ def nested_folds(
 
 def cross_stack(
     df: DataFrame, y: str, base, section, keys: Sequence[str], has_section=None, contexts: dict | None = None,
-    k: int = 5, inner: int = 4, seed: int = 42,
+    k: int = 5, inner: int = 4, seed: int = 42, threads: int = 4,
 ) -> DataFrame:
     """Every row with ``p_base``, ``p_sectional`` and ``p_meta`` of models that saw neither it nor its fold.
 
@@ -180,7 +180,7 @@ def cross_stack(
     section model are fitted again on all of them, score the held fold, and the stacking model joins
     their scores. ``base`` and ``section`` are estimators with feature columns of their own. Rows where
     ``has_section`` isn't true have no section score (0.5, ``is_sectional_missing`` 1) and take no part in its fits. All fits read one written
-    table of folds.
+    table of folds; they don't depend on each other, and ``threads`` of them run at a time.
     """
     rows = durable(nested_folds(df, y, keys, k, inner, seed).withColumn("__has", F.lit(True) if has_section is None else F.coalesce(has_section, F.lit(False))), "nested")
 
@@ -189,12 +189,21 @@ def cross_stack(
         out = score(section.fit(fit_rows.where("__has")), out, "p_sectional")
         return out.withColumn("p_sectional", F.when(F.col("__has"), F.col("p_sectional")))
 
-    parts = []
-    for o in range(k):
-        seen, held = rows.where(F.col("fold") != o), rows.where(F.col("fold") == o)
-        pieces = [both(seen.where(F.col("inner") != i), seen.where(F.col("inner") == i)) for i in range(inner)]
-        model, names = stack(durable(reduce(DataFrame.unionByName, pieces), "inner"), y, contexts)
-        parts.append(apply_stack(model, both(seen, held), names, contexts))
+    def one(job: tuple[int, int | None]) -> DataFrame:
+        o, i = job
+        seen = rows.where(F.col("fold") != o)
+        if i is None:
+            return both(seen, rows.where(F.col("fold") == o))
+        return both(seen.where(F.col("inner") != i), seen.where(F.col("inner") == i))
+
+    def stacked(o: int) -> DataFrame:
+        model, names = stack(durable(reduce(DataFrame.unionByName, [found[o, i] for i in range(inner)]), "inner"), y, contexts)
+        return apply_stack(model, found[o, None], names, contexts)
+
+    jobs = [(o, i) for o in range(k) for i in [*range(inner), None]]
+    with ThreadPoolExecutor(threads) as pool:
+        found = dict(zip(jobs, pool.map(one, jobs), strict=True))
+        parts = list(pool.map(stacked, range(k)))
     return reduce(DataFrame.unionByName, parts).drop("__has")
 
 
