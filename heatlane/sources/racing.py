@@ -130,7 +130,8 @@ def extract_motor_snapshot(pages: DataFrame) -> DataFrame:
         pick_column(["前検タイム_前検タイム", "前検タイム"], ["前検", "タイム"]).alias("c_time"),
     )
     usable = columns.where("c_number is not null and c_rate is not null and c_time is not null")
-    body = cells.where(F.col("section") != "thead").join(usable, ["page_id", "table_no"])
+    # cells repeat, so their files are far smaller than their rows: no side may be broadcast by the size of a file
+    body = cells.where(F.col("section") != "thead").join(usable.hint("merge"), ["page_id", "table_no"])
 
     def cell(c: str) -> Column:
         return F.max(F.when(F.col("grid_col") == F.col(c), F.col("text")))

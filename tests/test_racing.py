@@ -40,6 +40,12 @@ def test_motor_snapshot(spark):
     ]
 
 
+def test_motor_snapshot_broadcasts_no_cells(spark, capsys):
+    racing.extract_motor_snapshot(pages(spark, ("rankingmotor20260114_01", html.motor_ranking()))).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_payouts(spark):
     good, bad = racing.extract_payouts(pages(spark, ("pay20260114", html.payouts()), ("nodate", html.payouts())))
     got = {(r["場名"], r["R"]): r for r in good.collect()}
