@@ -31,6 +31,9 @@ SPLIT_ROWS = 4_000_000
 #: Rows of a key up to which a running median may use Spark's percentile, whose cost is quadratic.
 MEDIAN_ROWS = 500
 MAX_BROADCAST = 20_000
+#: Chunks of a table, as long as they stay within ``SPLIT_ROWS`` rows: what the driver keeps (sampled bounds, map outputs, results
+#: of tasks) grows with their number, and the blocks of a shuffle with its square.
+MAX_CHUNKS = 128
 _CHUNK, _HALO, _SALT, _ALL = "__chunk", "__halo", "__salt", "__all"
 NULL_SALTS = 4096
 
@@ -58,8 +61,9 @@ def asc_order(order: Sequence[str | Column]) -> list[Column]:
 
 
 def listed(df: DataFrame, n: int) -> DataFrame:
-    """``df``, whose rows are counted as at most ``n``, sent to all tasks if that is few."""
-    return F.broadcast(df) if n <= MAX_BROADCAST else df
+    """``df``, whose rows are counted as at most ``n``, sent to all tasks if that is few, and shuffled if not: written
+    tables are compressed, so by the size of their files Spark would broadcast tables of many rows."""
+    return F.broadcast(df) if n <= MAX_BROADCAST else df.hint("merge")
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int | tuple[int, int] = SPLIT_ROWS) -> Hot:
@@ -102,7 +106,8 @@ def _by_heat(df, keys, hot: Hot):
 
 
 def chunk_count(rows: int, split_rows) -> int:
-    return max(2, math.ceil(rows / _limits(split_rows)[1]))
+    size = _limits(split_rows)[1]
+    return max(2, math.ceil(rows / max(size, min(SPLIT_ROWS, math.ceil(rows / MAX_CHUNKS)))))
 
 
 def chunked(df: DataFrame, keys, order: Sequence[str], rows: int, split_rows) -> DataFrame:
@@ -278,7 +283,7 @@ def median_before(
     live = heavy.where(F.col(value).isNotNull()).select(*ids, x.alias("__v"))
     values = numbered(live.select(*keys, "__v").distinct(), keys, ["__v"], "__node", split_rows)
     values = durable(values.withColumn("__node", F.col("__node") - 1), "values")
-    members = live.join(values, [*keys, "__v"]).select(*ids, F.col("__node").alias("__rank"))
+    members = live.join(values.hint("merge"), [*keys, "__v"]).select(*ids, F.col("__node").alias("__rank"))
     members = durable(members, "members")
     top = values.agg(F.max("__node")).first()[0] or 0
     digits = 1
@@ -317,6 +322,6 @@ def median_before(
             ),
             "descent",
         )
-    found = asks.join(values, [*keys, "__node"]).groupBy(*ids).agg(F.avg("__v").alias(name))
-    done = heavy.join(found, ids, "left").select(*df.columns, name)
+    found = asks.join(values.hint("merge"), [*keys, "__node"]).groupBy(*ids).agg(F.avg("__v").alias(name))
+    done = heavy.join(found.hint("merge"), ids, "left").select(*df.columns, name)
     return _plain(calm, keys, order, frame, builders).unionByName(done)

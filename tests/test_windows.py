@@ -146,3 +146,15 @@ def test_keep_first_last_and_limit(spark):
     assert rows(windows.keep_first(df, ["k"], ["t"]), "k", "v") == [("a", "x"), ("b", "z")]
     assert rows(windows.keep_last(df, ["k"], ["t"]), "k", "v") == [("a", "y"), ("b", "z")]
     assert windows.sequence_by(df, ["t"]).orderBy("t").first()["seq"] == 1
+
+
+def test_chunks_do_not_grow_without_bound():
+    assert ordered.chunk_count(600, 50) == 12
+    assert ordered.chunk_count(36_000_000, (10, 4000)) == ordered.MAX_CHUNKS
+    assert ordered.chunk_count(4_000_000_000, 4000) == 1000  # a chunk never holds more than SPLIT_ROWS
+
+
+def test_long_lists_are_not_broadcast(spark, capsys):
+    few = spark.range(9)
+    few.join(ordered.listed(spark.range(9), ordered.MAX_BROADCAST + 1), "id").explain()
+    assert "Broadcast" not in capsys.readouterr().out
