@@ -40,6 +40,15 @@ def test_motor_snapshot(spark):
     ]
 
 
+def test_plain_pages_take_the_short_way(monkeypatch):
+    odd = ["<td>a", "</p><td>b</td>", '<table><tr><td class="a b" rowspan="2">x<br>y<td>z</table>t', '<p class="">a > b', "<title><p>x</title>", "a < b", ""]
+    for page in [html.motor_ranking(), html.card(), html.payouts(), html.deadlines(), *odd]:
+        slow = markup._cells_of("p", page + "<!-- -->"), markup._elements_of("p", page + "<!-- -->", {"p", "td", "br"})
+        assert (markup._cells_of("p", page), markup._elements_of("p", page, {"p", "td", "br"})) == slow
+    monkeypatch.setattr(markup._Walker, "feed", None)
+    assert markup._cells_of("p", html.motor_ranking())
+
+
 def test_motor_snapshot_broadcasts_no_cells(spark, capsys):
     racing.extract_motor_snapshot(pages(spark, ("rankingmotor20260114_01", html.motor_ranking()))).explain()
     plan = capsys.readouterr().out
