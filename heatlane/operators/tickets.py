@@ -2,7 +2,8 @@
 
 A lane 2..6 that is strong against lane 1 is an attacker. Each attacker gives a
 fixed set of first/second patterns with a prior; a ticket's score is the prior
-times a weight of its first two lanes, with a small share of the third.
+times a weight of its first two lanes, with a small share of the third. A race has few
+tickets, so they are listed, compared and cut inside its row.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from heatlane.functions.scoring import clip
 
 TINY = 1e-9
+PAIRS = "array<struct<i:int,j:int,prior:double,tag:string>>"
 # Fixed values of the rule set.
 FIRST_POWER, SECOND_POWER, THIRD_WEIGHT = 0.85, 0.65, 0.08
 LANE_BONUS = {3: 1.02, 4: 1.05}
@@ -66,6 +68,12 @@ def _ratio(values: Column, lane: Column, neighbour: Column) -> Column:
 def attackers(races: DataFrame, race: str, most: int = 2, threshold: float = 0.20) -> DataFrame:
     """(race, attacker, n_attackers): lanes 2..6 whose score passes the threshold,
     the best ``most`` of them."""
+    listed = races.withColumn("__best", _best_lanes(most, threshold))
+    return listed.select(race, "p", "a", "level", F.size("__best").alias("n_attackers"), F.explode("__best").alias("att"))
+
+
+def _best_lanes(most: int, threshold: float) -> Column:
+    """Array of the attacking lanes, the best one first."""
     p, b1 = F.col("p"), F.element_at("p", 1)
     damp = F.when(b1 > 0.70, F.greatest(F.lit(0.0), 1 - (b1 - 0.70))).otherwise(F.lit(1.0))
     scored = []
@@ -78,14 +86,7 @@ def attackers(races: DataFrame, race: str, most: int = 2, threshold: float = 0.2
         scored.append(F.struct(s.alias("s"), F.lit(-k).alias("neg")))
     limit = F.lit(float(threshold)) + F.greatest(F.lit(0.0), b1 - 0.70)
     passed = F.filter(F.array(*scored), lambda x: x["s"] >= limit)
-    best = F.slice(F.sort_array(passed, asc=False), 1, most)
-    return (
-        races.withColumn("__best", best)
-        .withColumn("n_attackers", F.size("__best"))
-        .select(race, "p", "a", "level", "n_attackers", F.explode("__best").alias("__b"))
-        .withColumn("att", -F.col("__b.neg"))
-        .drop("__b")
-    )
+    return F.transform(F.slice(F.sort_array(passed, asc=False), 1, most), lambda x: -x["neg"])
 
 
 def _gate(position: int) -> Column:
@@ -94,10 +95,10 @@ def _gate(position: int) -> Column:
     return F.coalesce(F.try_element_at(known, F.col("level")), F.lit(REVERSE_GATES["normal"][position]))
 
 
-def _patterns(exacta: bool) -> Column:
-    """Array of (first, second, prior, tag) for the attacker of the row; patterns
+def _patterns(att: Column, exacta: bool) -> Column:
+    """Array of (first, second, prior, tag) for an attacker of the row; patterns
     that do not apply are dropped."""
-    att, p = F.col("att"), F.col("p")
+    p = F.col("p")
     nb = F.least(att + 1, F.lit(6))
     one = F.lit(1)
     alt = F.greatest(att - 1, F.lit(2))
@@ -154,26 +155,33 @@ def rank_exactas(
 
 def _rank(df, race, lane, prob, ability, per_attacker, most, threshold, level, exacta) -> DataFrame:
     grade = F.lit(level) if isinstance(level, str) else level
-    live = attackers(lane_arrays(df, race, lane, prob, ability, grade), race, most, threshold)
-    rows = live.select("*", F.explode(_patterns(exacta)).alias("t"))
-    core = F.pow(_floor(F.col("t.i")), FIRST_POWER) * F.pow(_floor(F.col("t.j")), SECOND_POWER)
+    races = lane_arrays(df, race, lane, prob, ability, grade).withColumn("__best", _best_lanes(most, threshold)).where(F.size("__best") > 0)
+    none = F.array().cast(PAIRS)
+    each = [F.when(F.size("__best") > n, _patterns(F.get("__best", F.lit(n)), exacta).cast(PAIRS)).otherwise(none) for n in range(most)]
+    # of one first and second lane the greatest prior counts, as a ticket's weights are the same whatever its pattern
+    races = races.withColumn("__t", F.array_sort(F.concat(*each)))
+    last = F.filter("__t", lambda x, n: (n == F.size("__t") - 1) | (F.get("__t", n + 1)["i"] != x["i"]) | (F.get("__t", n + 1)["j"] != x["j"]))
+    races = races.withColumn("__t", last)
+
+    def core(t: Column) -> Column:
+        return F.pow(_floor(t["i"]), FIRST_POWER) * F.pow(_floor(t["j"]), SECOND_POWER)
+
+    def ticket(t: Column, third: Column, score: Column) -> Column:
+        name = F.concat_ws("-", t["i"].cast("string"), t["j"].cast("string"), third.cast("string"))
+        return F.struct((-score).alias("worth"), name.alias("ticket"), score.alias("score"), t["tag"].alias("tag"))
+
     if exacta:
-        rows = rows.withColumn("k", F.lit(0)).withColumn("score", F.col("t.prior") * core)
+        listed = F.transform("__t", lambda t: ticket(t, F.lit(0), t["prior"] * core(t)))
     else:
-        thirds = F.filter(
-            F.array(*[F.lit(x) for x in range(1, 7)]), lambda x: (x != F.col("t.i")) & (x != F.col("t.j"))
-        )
-        rows = rows.withColumn("k", F.explode(thirds))
-        rows = rows.withColumn("score", F.col("t.prior") * (core + THIRD_WEIGHT * _floor(F.col("k"))))
-    ticket = F.concat_ws("-", F.col("t.i").cast("string"), F.col("t.j").cast("string"), F.col("k").cast("string"))
-    best = rows.groupBy(race, ticket.alias("ticket")).agg(
-        F.max("score").alias("score"),
-        F.max_by("t.tag", F.struct("score", "t.prior", "t.tag")).alias("tag"),
-        F.max("n_attackers").alias("n_attackers"),
-    )
-    return limit_by(best, race, [F.col("score").desc(), F.col("ticket")], F.col("n_attackers") * per_attacker).drop(
-        "n_attackers"
-    )
+        thirds = F.array(*[F.lit(x) for x in range(1, 7)])
+
+        def filled(t: Column) -> Column:
+            free = F.filter(thirds, lambda k: (k != t["i"]) & (k != t["j"]))
+            return F.transform(free, lambda k: ticket(t, k, t["prior"] * (core(t) + THIRD_WEIGHT * _floor(k))))
+
+        listed = F.flatten(F.transform("__t", filled))
+    best = F.slice(F.sort_array(listed), F.lit(1), F.size("__best") * per_attacker)
+    return races.select(race, F.explode(best).alias("t")).select(race, "t.ticket", "t.score", "t.tag")
 
 
 def limit_by(df: DataFrame, group: str, order: Sequence[Column], limit: Column) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from heatlane.functions import points
@@ -579,8 +580,8 @@ SHARE = "round(price / sum(cast(price as decimal(18,2))) over (partition by race
 def ticket_input(spark, sf):
     """Lane probability = its share of the race's prices; ability = exhibition value."""
     la = lenses.lanes(spark, sf)
-    total = la.groupBy("race_id").agg(F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("t"))
-    j = la.join(total, "race_id")
+    whole = F.sum(F.col("price").cast("decimal(18,2)")).over(Window.partitionBy("race_id")).cast("double")
+    j = la.withColumn("t", whole)
     return j.select("race_id", "lane", F.round(F.col("price") / F.col("t"), 6).alias("p"), F.col("time_tenji").alias("ability"))
 
 

@@ -265,3 +265,13 @@ def test_ticket_levels_by_race(spark):
     for race, level in (("n", "normal"), ("f", "final")):
         alone = tickets.rank_tickets(df.where(F.col("race") == race), "race", "lane", "p", level=level)
         assert rows(both.where(F.col("race") == race)) == rows(alone)
+
+
+def test_tickets_are_ranked_inside_the_row_of_a_race(spark):
+    """No sorting aggregate over exploded tickets, and rows move by race alone."""
+    from heatlane.operators import tickets
+
+    df = spark.range(600).select((F.col("id") / 6).cast("long").alias("race"), (F.col("id") % 6 + 1).alias("lane"), (F.rand(3) / 3).alias("p"))
+    for rank in (tickets.rank_tickets, tickets.rank_exactas):
+        plan = rank(df, "race", "lane", "p")._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "Window" not in plan and plan.count("Exchange") == 1
