@@ -224,3 +224,29 @@ def test_registered_models_do_the_whole_job(spark, small, monkeypatch):
             fn(spark, small)
     assert seen[:3] == [400, 400, 400] and len(seen) == 4 and len(seen[3]) == 80
     assert {k: sorted({t[k] for t in seen[3]}) for k in seen[3][0]} == boosting.SPACE
+
+
+def test_numbers_by_hash_are_dense_and_rows_move_once(spark):
+    """The numbers of a plain window, also of null keys; no written copy of the rows, one exchange of them."""
+    from pyspark.sql import Window
+
+    from heatlane.operators import ordered
+
+    df = spark.range(5000).select("id", F.when(F.col("id") % 50 > 0, F.col("id") % 3).alias("k"), F.lit("wide").alias("pad"))
+    df = df.withColumn("h", F.xxhash64("id"))
+    got = ordered.numbered_by_hash(df, ["k"], ["h", "id"], "i", bits=4)
+    want = df.withColumn("i", F.when(F.col("k").isNotNull(), F.row_number().over(Window.partitionBy("k").orderBy("h", "id"))))
+    assert rows(got, "id", "i") == rows(want, "id", "i")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in line and "pad" not in line for line in plan.splitlines()) <= 2 and "rangepartitioning" not in plan
+
+
+def test_shuffled_copy_gives_each_value_once_without_a_join(spark):
+    df = spark.range(3000).select("id", F.rand(1).alias("x"), (F.col("id") % 2).alias("y"))
+    for split in (10**6, 200):
+        got = training.shuffled_copy(df.repartition(7), ["id", "x"], ["id"], 5, split)
+        assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+        out = got.collect()
+        assert sorted(r["alt_id"] for r in out) == list(range(3000)) and sum(r["id"] == r["alt_id"] for r in out) == 0
+        assert {(r["id"], r["x"]) for r in out} == {(r["alt_id"], r["alt_x"]) for r in out}
+        assert rows(got, "id", "alt_id") == rows(training.shuffled_copy(df.repartition(3), ["id", "x"], ["id"], 5, split), "id", "alt_id")
