@@ -50,8 +50,11 @@ def lane_arrays(
     cols = [packed(prob).alias("p")]
     if ability:
         cols.append(packed(ability).alias("raw"))
-    cols.append(F.max(F.lit("normal") if level is None else level).alias("level"))
+    if level is not None:
+        cols.append(F.max(level).alias("level"))
     out = df.groupBy(race).agg(*cols)
+    if level is None:
+        out = out.withColumn("level", F.lit("normal"))
     if not ability:
         return out.withColumn("a", F.lit(None).cast("array<double>"))
     best = F.array_max("raw")
@@ -154,8 +157,10 @@ def rank_exactas(
 
 
 def _rank(df, race, lane, prob, ability, per_attacker, most, threshold, level, exacta) -> DataFrame:
-    grade = F.lit(level) if isinstance(level, str) else level
-    races = lane_arrays(df, race, lane, prob, ability, grade).withColumn("__best", _best_lanes(most, threshold)).where(F.size("__best") > 0)
+    races = lane_arrays(df, race, lane, prob, ability, None if isinstance(level, str) else level)
+    if isinstance(level, str):
+        races = races.withColumn("level", F.lit(level))
+    races = races.withColumn("__best", _best_lanes(most, threshold)).where(F.size("__best") > 0)
     none = F.array().cast(PAIRS)
     each = [F.when(F.size("__best") > n, _patterns(F.get("__best", F.lit(n)), exacta).cast(PAIRS)).otherwise(none) for n in range(most)]
     # of one first and second lane the greatest prior counts, as a ticket's weights are the same whatever its pattern
