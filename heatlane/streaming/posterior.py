@@ -1,6 +1,7 @@
-"""Running posterior on a stream, keyed by (venue, day).
+"""Running posterior on a stream, keyed by day.
 
-State per key is the races that wait and the counts so far. A race waits until
+State per key is the races that wait and the counts so far of each venue, both packed, so that a day of some 300 races costs a few
+calls to the state store. Priors don't change and are joined to the counts that come out. A race waits until
 the watermark has reached its time, so that all races before it are there; then it
 is emitted with the counts before it and counted. That gives the batch numbers
 whatever the arrival order within the delay. When the watermark passes the end
@@ -24,18 +25,13 @@ from heatlane.operators.joins import lookup_join
 from heatlane.operators.regime import KINDS, LANES, valid_result
 from heatlane.session import STATE_STORE
 
-KEYS = ["venue", "day"]
-RACE_FIELDS = "race_id long, race_no long, ts_ms long, r1 long, r2 long, r3 long, ok boolean"
+KEYS = ["day"]
 BASES = [f"base_{kind}_{k}" for kind in KINDS for k in LANES]
-STATE = RACE_FIELDS + ", " + ", ".join(f"{b} double" for b in BASES)
-COUNTS = "seen long, " + ", ".join(f"{kind}_{k} long" for kind in KINDS for k in LANES)
-OUTPUT = (
-    "race_id long, venue long, day long, race_no long, observed_races long, "
-    + ", ".join(f"m_{kind}_{k} double" for kind in KINDS for k in LANES)
-    + ", "
-    + ", ".join(f"strength_{kind} double" for kind in KINDS)
-)
-STATE_NAMES = [part.split()[0] for part in STATE.split(", ")]
+HITS = [f"hits_{kind}_{k}" for kind in KINDS for k in LANES]
+#: A race in state, all longs: no number is the least long, no place is 0.
+FIELDS = ["race_id", "venue", "race_no", "ts_ms", "r1", "r2", "r3", "ok"]
+NO_NUMBER = -(1 << 63)
+OUTPUT = "race_id long, venue long, day long, race_no long, observed_races long, " + ", ".join(f"{h} long" for h in HITS)
 #: A venue day has twelve races; a key with far more isn't a venue day.
 MAX_WAITING = 1000
 DAY_MS = 86_400_000
@@ -43,77 +39,72 @@ DAY_MS = 86_400_000
 FAR = "2200-01-01 00:00:00"
 
 
-def next_races(races: pd.DataFrame, counts: list[int], strength: float) -> tuple[pd.DataFrame, list[int]]:
-    """Multipliers of each race before it counts, in race order, and the counts after all."""
-    races = races.sort_values(["race_no", "race_id"], kind="stable").reset_index(drop=True)
-    ok = races["ok"].to_numpy(dtype=bool)
-    seen = counts[0] + np.cumsum(ok) - ok
-    places = races[["r1", "r2", "r3"]].fillna(0).to_numpy()
-    out = races[["race_id", "race_no"]].copy()
-    out["observed_races"] = seen.astype("int64")
-    after = [counts[0] + int(ok.sum())]
-    for n, (kind, depth) in enumerate(KINDS.items()):
-        base = races[[f"base_{kind}_{k}" for k in LANES]].to_numpy(dtype=float)
-        hits = (places[:, :depth, None] == np.array(list(LANES))).sum(axis=1) * ok[:, None]
-        start = np.array(counts[1 + 6 * n : 7 + 6 * n])
-        before = start + np.cumsum(hits, axis=0) - hits
-        after += (start + hits.sum(axis=0)).astype(int).tolist()
-        post = (depth * strength * base + before) / (depth * strength + depth * seen)[:, None]
-        for i, k in enumerate(LANES):
-            out[f"m_{kind}_{k}"] = post[:, i] / base[:, i]
-        out[f"strength_{kind}"] = np.abs(post - base).sum(axis=1)
-    return out, after
+def next_races(races: np.ndarray, counts: dict[int, np.ndarray]) -> tuple[pd.DataFrame, dict[int, np.ndarray]]:
+    """Observed races and hits before each race (lines of ``FIELDS``), by venue in race order, and each venue's counts after all."""
+    races = races[np.lexsort((races[:, 0], races[:, 2], races[:, 1]))]
+    ok, places = races[:, 7:8], races[:, 4:7]
+    hits = [(places[:, :depth, None] == np.array(list(LANES))).sum(axis=1) for depth in KINDS.values()]
+    one = np.hstack([ok, *[h * ok for h in hits]]).astype(np.int64)
+    venues, first, size = np.unique(races[:, 1], return_index=True, return_counts=True)
+    start = np.array([counts.get(int(v), np.zeros(1 + len(HITS), np.int64)) for v in venues])
+    upto = np.cumsum(one, axis=0)
+    before = upto - one + np.repeat(start - (upto - one)[first], size, axis=0)
+    out = pd.DataFrame(before, columns=["observed_races", *HITS])
+    out.insert(0, "race_no", races[:, 2])
+    out.insert(0, "venue", races[:, 1])
+    out.insert(0, "race_id", races[:, 0])
+    last = first + size - 1
+    return out, {**counts, **dict(zip(venues.tolist(), before[last] + one[last], strict=True))}
 
 
 class DayPosterior(StatefulProcessor):
-    def __init__(self, strength: float):
-        self.strength = strength
-
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", STATE)
-        self.counts = handle.getValueState("counts", COUNTS)
+        self.waiting = handle.getValueState("waiting", "races binary")
+        self.counts = handle.getValueState("counts", "counts binary")
+
+    @staticmethod
+    def packed(state, width: int) -> np.ndarray:
+        return np.frombuffer(bytes(state.get()[0]) if state.exists() else b"", np.int64).reshape(-1, width)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = last = None
+        fresh, last = [], None
         for pdf in rows:
             pdf = pdf[pdf["race_id"].notna()]  # the rest are markers that only move the watermark
             if len(pdf):
                 last = int(pdf["day_end_ms"].iloc[0])
-                first = min(int(pdf["ts_ms"].min()), last if first is None else first)
-                part = pdf[STATE_NAMES].astype(object).where(pdf[STATE_NAMES].notna(), None)
-                self.waiting.appendList([tuple(r) for r in part.itertuples(index=False)])
-        if last is not None:
-            self.handle.registerTimer(first)
+                fresh.append(pdf[FIELDS].to_numpy(dtype=np.int64))
+        if fresh:
+            held = np.vstack([self.packed(self.waiting, len(FIELDS)), *fresh])
+            self.waiting.update((held.tobytes(),))
+            self.handle.registerTimer(min(last, *(int(f[:, 3].min()) for f in fresh)))
             self.handle.registerTimer(last)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
-        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        if len(held) > MAX_WAITING:
-            raise ValueError(f"{len(held)} races wait for venue and day {key}")
-        at = STATE_NAMES.index("ts_ms")
-        due, rest = [r for r in held if r[at] <= now], [r for r in held if r[at] > now]
-        over = expiredTimerInfo.getExpiryTimeInMs() % DAY_MS == 0 and not rest
-        if not due:
+        held = self.packed(self.waiting, len(FIELDS))
+        if len(held) and (most := np.unique(held[:, 1], return_counts=True)[1].max()) > MAX_WAITING:
+            raise ValueError(f"{most} races wait for a venue on day {key}")
+        due, rest = held[held[:, 3] <= now], held[held[:, 3] > now]
+        over = expiredTimerInfo.getExpiryTimeInMs() % DAY_MS == 0 and not len(rest)
+        if not len(due):
             if over:
                 self.counts.clear()
             yield pd.DataFrame()
             return
-        counts = list(self.counts.get()) if self.counts.exists() else [0] * len(COUNTS.split(","))
-        out, counts = next_races(pd.DataFrame(due, columns=STATE_NAMES), counts, self.strength)
-        if rest:
-            self.waiting.put(rest)
-            self.handle.registerTimer(min(r[at] for r in rest))
+        lines = self.packed(self.counts, 2 + len(HITS))
+        out, counts = next_races(due, {int(line[0]): line[1:] for line in lines})
+        if len(rest):
+            self.waiting.update((rest.tobytes(),))
+            self.handle.registerTimer(int(rest[:, 3].min()))
         else:
             self.waiting.clear()
         if over:
             self.counts.clear()
         else:
-            self.counts.update(tuple(counts))
-        out.insert(1, "venue", key[0])
-        out.insert(2, "day", key[1])
+            self.counts.update((np.array([[v, *c] for v, c in counts.items()], np.int64).tobytes(),))
+        out.insert(2, "day", key[0])
         yield out
 
     def close(self) -> None:
@@ -131,15 +122,28 @@ def posterior_stream(
     "1 day"; later ones are left out by Spark (see ``run_bounded``).
     """
     day_end = (F.unix_date(F.to_date("ts")) + 1).cast("long") * DAY_MS
+    known = prior.select("venue").withColumn("__known", F.lit(True))
     ready = (
-        lookup_join(races.withWatermark("ts", delay), prior.select("venue", *BASES).withColumn("__known", F.lit(True)), ["venue"])
+        lookup_join(races.withWatermark("ts", delay), known, ["venue"])
         .where("__known").drop("__known")
-        .withColumn("ok", valid_result(ranks, "valid"))
-        .withColumns({"day_end_ms": day_end, "ts_ms": F.unix_millis("ts")})
+        .withColumn("ok", valid_result(ranks, "valid").cast("long"))
+        .withColumns({"day_end_ms": day_end, "ts_ms": F.unix_millis("ts"), "race_no": F.coalesce("race_no", F.lit(NO_NUMBER))})
+        .withColumns({to: F.coalesce(F.col(r).cast("long"), F.lit(0)) for to, r in zip(("r1", "r2", "r3"), ranks, strict=True)})
+        .select("race_id", *FIELDS[1:], "day", "day_end_ms", "ts")
     )
-    return ready.groupBy(*KEYS).transformWithStateInPandas(
-        statefulProcessor=DayPosterior(strength), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime"
+    counted = ready.groupBy(*KEYS).transformWithStateInPandas(
+        statefulProcessor=DayPosterior(), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime"
     )
+    out = lookup_join(counted, prior.select("venue", *BASES), ["venue"])
+    seen, cols = F.col("observed_races"), {}
+    for kind, depth in KINDS.items():
+        base = {k: F.col(f"base_{kind}_{k}") for k in LANES}
+        post = {k: (depth * F.lit(float(strength)) * base[k] + F.col(f"hits_{kind}_{k}")) / (depth * F.lit(float(strength)) + depth * seen) for k in LANES}
+        cols.update({f"m_{kind}_{k}": post[k] / base[k] for k in LANES})
+        cols[f"strength_{kind}"] = sum((F.abs(post[k] - base[k]) for k in LANES), F.lit(0.0))
+    names = [*[f"m_{kind}_{k}" for kind in KINDS for k in LANES], *[f"strength_{kind}" for kind in KINDS]]
+    race_no = F.nullif(F.col("race_no"), F.lit(NO_NUMBER)).alias("race_no")
+    return out.select("race_id", "venue", "day", race_no, "observed_races", *[cols[n].alias(n) for n in names])
 
 
 @contextmanager

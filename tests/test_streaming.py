@@ -225,3 +225,15 @@ def test_live_starts_get_the_stored_models_score(spark, tmp_path):
     ).awaitTermination()
     want = training.score(model, prepared.vector(batch), "p").select("id", F.round("p", 9).alias("p"))
     assert rows(spark.read.parquet(str(tmp_path / "scores")), "id", "p") == rows(want)
+
+
+def test_next_races_count_by_venue():
+    """Two venues of one day in one call: each race sees the valid races of its own venue before it, and what state held."""
+    import numpy as np
+
+    lines = np.array([[3, 2, 2, 0, 1, 2, 3, 1], [1, 1, 1, 0, 1, 2, 3, 1], [4, 1, 2, 0, 4, 1, 6, 0], [2, 2, 1, 0, 1, 2, 3, 1]], np.int64)
+    held = np.zeros(19, np.int64)
+    held[0], held[1] = 5, 5
+    out, counts = posterior.next_races(lines, {2: held})
+    assert out["race_id"].tolist() == [1, 4, 2, 3] and out["observed_races"].tolist() == [0, 1, 5, 6]
+    assert out["hits_win_1"].tolist() == [0, 1, 5, 6] and counts[1][0] == 1 and counts[2][:2].tolist() == [7, 7]
