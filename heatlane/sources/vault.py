@@ -8,7 +8,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import pyarrow.fs as fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heatlane.operators.joins import sized_broadcast
@@ -56,10 +56,9 @@ def day_grid(spark: SparkSession, start: str, end: str) -> DataFrame:
     return spark.range(1).select(F.explode(days).alias("date"))
 
 
-def _gzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        pdf["bytes"] = [gzip.compress(b, mtime=0) for b in pdf["bytes"]]
-        yield pdf
+def _gzip(content: Column) -> Column:
+    """Packed row by row: a batch of whole files in Python would hold thousands of them at once."""
+    return F.udf(lambda b: None if b is None else gzip.compress(b, mtime=0), "binary", useArrow=False).asNondeterministic()(content)
 
 
 def vault_objects(files: DataFrame, compress: bool = False, index: DataFrame | None = None) -> DataFrame:
@@ -74,7 +73,7 @@ def vault_objects(files: DataFrame, compress: bool = False, index: DataFrame | N
     winners = index.groupBy("sha256").agg(first.alias("f")).select("f.rel_path", "sha256", "f.size", F.lit(int(compress)).alias("is_gzip"))
     once = files.select("rel_path", F.col("content").alias("bytes")).join(sized_broadcast(winners), "rel_path")
     once = once.select("sha256", "size", "is_gzip", "bytes")
-    return once.mapInPandas(_gzip, once.schema) if compress else once
+    return once.withColumn("bytes", _gzip(F.col("bytes"))) if compress else once
 
 
 def vault_index(files: DataFrame, pattern: str = DAY_IN_NAME) -> DataFrame:
