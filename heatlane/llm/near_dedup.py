@@ -18,9 +18,10 @@ SHINGLE, SEED, RADIUS, BITS = 3, 42, 2, 64
 WORDS, LEAST = 5, (8, 10)
 #: Min-hashes meet in BANDS buckets of ROWS each: a pair of similarity s is missed with probability (1 - s**ROWS) ** BANDS.
 BANDS, ROWS = 24, 4
-#: Members of buckets that still hold several groups are dealt anew, level by level, to more buckets of more min-hashes: (bands,
-#: rows), so that a pair of similarity 0.8 shares 6 buckets on average. In a bucket of at most FEW members each is compared with all.
-LEVELS, FEW = ((24, 6), (46, 9), (90, 12)), 8
+#: Members of buckets that still hold several groups are dealt anew, level by level, to parts of their bucket: (parts for each
+#: membership, further min-hashes that a part's members share). Where at most FEW members are outside the largest
+#: group of a bucket, each of them is compared with all.
+LEVELS, FEW = ((1, 2), (3, 3), (3, 3)), 6
 #: Shingle hashes whose bits are counted at once.
 _SLICE = 1 << 15
 
@@ -49,9 +50,11 @@ def simhash(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
     shingle, and a text without words has fingerprint 0.
     """
     words = _words(text)
-    if not words:
-        return 0
-    hashes = _shingles(words, shingle, seed)
+    return _print_of(_shingles(words, shingle, seed)) if words else 0
+
+
+def _print_of(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes."""
     n = len(hashes)
     ones = np.zeros(BITS, dtype=np.int64)
     for at in range(0, n, _SLICE):
@@ -175,25 +178,28 @@ def min_hashes(hashes: np.ndarray, seed: int, bands: int = BANDS, rows: int = RO
 
 
 def _signed(rows: DataFrame, shingle: int, seed: int) -> DataFrame:
-    """``key`` (128 bits of the words), ``n`` (different shingles) and ``buckets`` beside all columns but
-    ``text``. Texts shorter than a shingle equal nothing but their own words and have no bucket."""
+    """``key`` (128 bits of the words), ``n`` (different shingles), ``fp`` (the fingerprint) and ``buckets`` beside all columns but
+    ``text``. Texts shorter than a shingle equal nothing but their own words and have neither fingerprint nor bucket."""
     kept = [c for c in rows.columns if c != "text"]
 
     def run(batches):
         for batch in batches:
-            keys, sizes, buckets = [], [], []
+            keys, sizes, prints, buckets = [], [], [], []
             for t in batch.column("text"):
                 words = _words(t.as_py())
-                hashes = np.unique(_shingles(words, shingle, seed)) if len(words) >= shingle else ()
+                every = _shingles(words, shingle, seed) if len(words) >= shingle else ()
+                hashes = np.unique(every)
                 keys.append(xxhash.xxh3_128_digest(b" ".join(words)))
                 sizes.append(len(hashes))
+                prints.append(_print_of(every) if len(hashes) else None)
                 buckets.append(min_hashes(hashes, seed) if len(hashes) else [])
             made = [batch.column(c) for c in kept]
-            made += [pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(buckets, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(made, [*kept, "key", "n", "buckets"])
+            made += [pa.array(keys, pa.binary()), pa.array(sizes, pa.int32())]
+            made += [pa.array(prints, pa.uint64()).view(pa.int64()), pa.array(buckets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(made, [*kept, "key", "n", "fp", "buckets"])
 
     kinds = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept]
-    return rows.mapInArrow(run, ", ".join([*kinds, "key binary", "n int", "buckets array<long>"]))
+    return rows.mapInArrow(run, ", ".join([*kinds, "key binary", "n int", "fp long", "buckets array<long>"]))
 
 
 def _shingle_sets(texts: DataFrame, shingle: int, seed: int) -> DataFrame:
@@ -231,25 +237,30 @@ def similar_rows(
     """``row``, ``doc_id`` and ``root`` for a written table of ``row`` (different longs), ``doc_id`` and
     ``text``; rows share a root if chains of pairs with a Jaccard similarity of ``least`` or more join them.
 
-    Rows of the same words are one node. Nodes that share a bucket of min-hashes are candidates, and no
+    Rows of the same words are one node. Nodes whose SimHash fingerprints differ in at most ``RADIUS`` bits are candidates, and so
+    are those that share a bucket of min-hashes, as 64 bits tell only the closest texts; no
     link is made before their sets of shingles were compared. Each member of a bucket is compared with one of them, another
-    one in each bucket; buckets of at most ``FEW`` members that then hold different groups compare the rest too. Members of larger
-    ones are dealt anew by further, more selective min-hashes, and again, at most once per entry of ``LEVELS``. So
+    one in each bucket; where at most ``FEW`` members are then outside the largest group of a bucket, they are compared with all others. Members of
+    buckets with more are dealt to parts of the bucket by further min-hashes, and again, at most once per entry of ``LEVELS``. So
     comparisons grow with the members, not with their square. Texts without words are alike.
     """
     marked = durable(_signed(rows, shingle, seed), "signed")
-    nodes = durable(marked.groupBy("key").agg(F.min("row").alias("node"), F.first("n").alias("n"), F.first("buckets").alias("buckets")), "nodes")
-    members = durable(_first_of(nodes.select("node", "n", F.col("node").alias("root"), F.explode("buckets").alias("v"))), "members")
-    texts = rows.join(members.select(F.col("node").alias("row")).distinct(), "row").select(F.col("row").alias("node"), "text")
+    nodes = durable(marked.groupBy("key").agg(F.min("row").alias("node"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("buckets").alias("buckets")), "nodes")
+    close = durable(_close_prints(nodes, least), "close")
+    members = durable(_first_of(nodes.select("node", "n", F.col("node").alias("root"), F.posexplode("buckets").alias("band", "v"))), "members")
+    asked = members.select("node").unionByName(close.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+    texts = rows.join(asked.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "text")
     sets = durable(_shingle_sets(texts, shingle, seed), "shingles")
-    tried = durable(_with_first(members, least), "tried")
+    tried = durable(close.unionByName(_with_first(members, least)).distinct(), "tried")
     edges = durable(_verified(tried, sets, least), "similar")
     roots = components(edges)
-    for level, (bands, per_band) in enumerate((*LEVELS, (0, 0)), 1):
+    bands = BANDS
+    for level, (parts, shared) in enumerate((*LEVELS, (0, 0)), 1):
         few, many = _split(members, roots)
         pairs = _with_all(few, least)
-        if more_to_deal := bands > 0 and not many.isEmpty():
-            members = durable(_first_of(_dealt(many, sets, seed + level, bands, per_band)), "members")
+        if more_to_deal := parts > 0 and not many.isEmpty():
+            members = durable(_first_of(_dealt(many, sets, seed + level, bands, parts, shared)), "members")
+            bands *= parts
             pairs = pairs.unionByName(_with_first(members, least)).distinct()
         pairs = durable(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         more = durable(_verified(pairs, sets, least), "similar")
@@ -263,8 +274,21 @@ def similar_rows(
     return marked.select("row", "doc_id", "key").join(durable(of_key, "roots"), "key").select("row", "doc_id", "root")
 
 
+def _close_prints(nodes: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b), a > b, of nodes by their fingerprints: each with the first node of its fingerprint, and the first nodes of linked ones."""
+    own = nodes.filter(F.col("fp").isNotNull()).select("fp", "node", "n")
+    first = own.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("f")).select("fp", F.col("f.node").alias("f_node"), F.col("f.n").alias("f_n"))
+    first = durable(first, "prints")
+    fits, pair = _pair(F.col("n"), F.col("f_n"), F.col("node"), F.col("f_node"), least)
+    alike = own.join(first, "fp").filter((F.col("node") != F.col("f_node")) & fits).select(*pair)
+    one, two = (first.select(F.col("fp").alias(c), F.struct("f_node", "f_n").alias(f"{c}_f")) for c in "ab")
+    linked = durable(links(first.select("fp")), "links").join(one, "a").join(two, "b")
+    fits, pair = _pair(F.col("a_f.f_n"), F.col("b_f.f_n"), F.col("a_f.f_node"), F.col("b_f.f_node"), least)
+    return alike.unionByName(linked.filter(fits).select(*pair))
+
+
 def _first_of(dealt: DataFrame) -> DataFrame:
-    """Members (v, node, n, root) of buckets with two roots or more, beside the first of their bucket in an order that differs by bucket."""
+    """Members (v, band, node, n, root) of buckets with two roots or more, beside the first of their bucket in an order that differs by bucket."""
     order = F.struct(F.xxhash64("v", "node"), F.col("node"), F.col("n"), F.col("root"))
     met = dealt.groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(order).alias("first"))
     met = met.filter(F.col("low") < F.col("high")).select("v", F.col("first.node").alias("f_node"), F.col("first.n").alias("f_n"), F.col("first.root").alias("f_root"))
@@ -284,36 +308,39 @@ def _with_first(members: DataFrame, least: tuple[int, int]) -> DataFrame:
 
 
 def _with_all(few: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Each member of a bucket of at most FEW with the others of a different group."""
-    listed = few.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("node", "n", "root"))).alias("all"))
-    one = listed.select("all", F.posexplode("all").alias("place", "x"))
-    two = one.select("x", F.explode(F.slice("all", F.col("place") + 2, FEW)).alias("y"))
-    fits, pair = _pair(F.col("x.n"), F.col("y.n"), F.col("x.node"), F.col("y.node"), least)
-    return two.filter((F.col("x.root") != F.col("y.root")) & fits).select(*pair).distinct()
+    """The members outside the largest group of their bucket, at most FEW, with all of a different group."""
+    listed = few.filter(F.col("root") != F.col("top")).groupBy("v").agg(F.array_sort(F.collect_list(F.struct("node", "n", "root"))).alias("others"))
+    two = few.join(durable(listed, "others"), "v").select("node", "n", "root", F.explode("others").alias("y"))
+    fits, pair = _pair(F.col("n"), F.col("y.n"), F.col("node"), F.col("y.node"), least)
+    return two.filter((F.col("root") != F.col("y.root")) & fits).select(*pair).distinct()
 
 
 def _split(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members of buckets that still hold different groups, without the first ones, which all others were
-    compared with; those of buckets with few members, and those of larger ones."""
-    rest = members.filter(F.col("node") != F.col("f_node")).select("v", "node", "n")
+    compared with: those of buckets with few members outside the largest group, ``top``, and those of others."""
+    rest = members.filter(F.col("node") != F.col("f_node")).select("v", "band", "node", "n")
     rest = durable(rest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
-    sizes = rest.groupBy("v").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
-    sizes = durable(sizes.filter(F.col("low") < F.col("high")).select("v", "size"), "split")
-    still = rest.join(sizes, "v")
-    return still.filter(F.col("size") <= FEW).drop("size"), still.filter(F.col("size") > FEW).drop("size")
+    sizes = rest.groupBy("v", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("v")
+    sizes = sizes.agg(F.sum("size").alias("size"), F.max(F.struct("size", "root")).alias("top"))
+    sizes = sizes.select("v", (F.col("size") - F.col("top.size")).alias("outside"), F.col("top.root").alias("top")).filter(F.col("outside") > 0)
+    still = rest.join(durable(sizes, "split"), "v")
+    return still.filter(F.col("outside") <= FEW), still.filter(F.col("outside") > FEW)
 
 
-def _dealt(members: DataFrame, sets: DataFrame, seed: int, bands: int, rows: int) -> DataFrame:
-    """The nodes of ``members`` in new buckets of ``rows`` further min-hashes, ``bands`` for each node."""
+def _dealt(members: DataFrame, sets: DataFrame, seed: int, bands: int, parts: int, shared: int) -> DataFrame:
+    """Each membership in ``parts`` parts of its bucket, one of ``bands`` of its node; the members of a part have ``shared`` further
+    min-hashes in common. Every band has min-hashes of its own, so a node has one row for each part, not one for each band there is."""
 
     def run(batches):
         for batch in batches:
-            keys = [min_hashes(np.frombuffer(x.as_buffer(), dtype="<u8"), seed, bands, rows) for x in batch.column(1)]
+            keys = [min_hashes(np.frombuffer(x.as_buffer(), dtype="<u8"), seed, bands * parts, shared) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], ["node", "keys"])
 
-    nodes = durable(members.select("node", "n", "root").distinct(), "nodes")
-    keys = sets.join(nodes.select("node"), "node").select("node", "shingles").mapInArrow(run, "node long, keys array<long>")
-    return nodes.join(durable(keys, "keys"), "node").select("node", "n", "root", F.explode("keys").alias("v"))
+    nodes = members.select("node").distinct()
+    keys = sets.join(nodes, "node").select("node", "shingles").mapInArrow(run, "node long, keys array<long>")
+    own = F.slice("keys", F.col("band") * parts + 1, parts)
+    made = members.join(durable(keys, "keys"), "node").select("v", "band", "node", "n", "root", F.posexplode(own).alias("part", "key"))
+    return durable(made.select("node", "n", "root", (F.col("band") * parts + F.col("part")).alias("band"), F.xxhash64("v", "key").alias("v")), "dealt")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

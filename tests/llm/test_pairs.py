@@ -347,3 +347,18 @@ def test_registered_queries(spark, small):
     assert got == Counter((i, n, gone, hashlib.sha256(t.encode()).hexdigest()) for i, n, gone, t in plain_repeats(rows))
     got = Counter(tuple(r) for r in queries.QUERIES["op6_simhash_near_dedup"](spark, small).collect())
     assert got == Counter(plain_components([(i, plain_simhash(t)) for i, t in rows]))
+
+
+def test_near_dedup_stage_asks_fingerprints_and_deals_by_membership(spark, monkeypatch):
+    """SimHash links are candidates of the stage, and a split bucket's member is dealt to as many parts as its level says."""
+    plain_links, plain_dealt, asked, right = near_dedup.links, near_dedup._dealt, [], []
+    monkeypatch.setattr(near_dedup, "links", lambda *a: (asked.append(a), plain_links(*a))[1])
+
+    def dealt(members, sets, seed, bands, parts, shared):
+        out = plain_dealt(members, sets, seed, bands, parts, shared)
+        right.append(out.count() == parts * members.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "_dealt", dealt)
+    df = spark.createDataFrame(families(8, 60), "doc_id long, text string").repartition(4)
+    assert near_dedup.stage(spark, df, "").count() <= 8 and len(asked) == 1 and all(right)
