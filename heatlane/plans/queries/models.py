@@ -133,7 +133,7 @@ def train_gbt(spark, sf):
     _, rows = _ready(spark, sf)
     fit_rows, valid = training.hold_out(rows)
     est = training.boosted_trees({"n_estimators": TREES, "num_leaves": 7, "learning_rate": 0.1})
-    out = training.score(est.fit(fit_rows), valid, label="boosted")
+    out = training.score(est.fit(training.parted(fit_rows, "y", "features")), training.parted(valid), label="boosted")
     return out.select("race_id", "line", "item", "supp", "y", "proba", "model_label")
 
 
@@ -283,7 +283,7 @@ def coded_columns(spark, sf):
 def importances(spark, sf):
     """Gain importances and split counts of the boosted trees."""
     prepared, rows = _ready(spark, sf)
-    model = training.boosted_trees({"n_estimators": TREES, "num_leaves": 7}).fit(rows)
+    model = training.boosted_trees({"n_estimators": TREES, "num_leaves": 7}).fit(training.parted(rows, "y", "features"))
     gain = training.importances(model, prepared.names, spark)
     return gain.join(training.split_counts(model, prepared.names, spark), "feature", "left")
 

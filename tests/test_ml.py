@@ -250,3 +250,14 @@ def test_shuffled_copy_gives_each_value_once_without_a_join(spark):
         assert sorted(r["alt_id"] for r in out) == list(range(3000)) and sum(r["id"] == r["alt_id"] for r in out) == 0
         assert {(r["id"], r["x"]) for r in out} == {(r["alt_id"], r["alt_x"]) for r in out}
         assert rows(got, "id", "alt_id") == rows(training.shuffled_copy(df.repartition(3), ["id", "x"], ["id"], 5, split), "id", "alt_id")
+
+
+def test_a_fit_reads_even_parts_of_a_written_table(spark, monkeypatch):
+    """The rows of one part are dealt to as many as they need, none lost, and read from files, whatever made them."""
+    monkeypatch.setattr(training, "FIT_ROWS", (100, 300))
+    df = spark.range(1000).coalesce(1).select("id", (F.col("id") % 2).alias("y"))
+    got = training.parted(df, "id")
+    sizes = [len(x) for x in got.rdd.glom().collect()]
+    assert len(sizes) == 8 and max(sizes) < 300 and sorted(r["id"] for r in got.collect()) == list(range(1000))
+    assert training.parted(df.limit(150)).rdd.getNumPartitions() == 2 and training.parted(df.limit(0)).count() == 0
+    assert "Range" not in got._jdf.queryExecution().executedPlan().toString() and got.columns == ["id"]
