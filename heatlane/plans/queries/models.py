@@ -377,7 +377,7 @@ def saved_model_scores(spark, sf):
     """Transform, base, second and stacked model written, read again and applied to
     raw rows give the scores they gave before."""
     keys = ["race_id", "line", "item", "supp", "ts", "l_extendedprice"]
-    raw = lenses.scored(spark, sf).withColumnRenamed("part", "item").dropDuplicates(keys)
+    raw = training.parted(lenses.scored(spark, sf).withColumnRenamed("part", "item").dropDuplicates(keys))
     prepared = preprocess.fit(raw, INPUTS)
     second_prepared = preprocess.fit(raw, INPUTS[:2])
     base = _logistic({"reg_lambda": 0.01}).fit(prepared.vector(raw))

@@ -261,3 +261,15 @@ def test_a_fit_reads_even_parts_of_a_written_table(spark, monkeypatch):
     assert len(sizes) == 8 and max(sizes) < 300 and sorted(r["id"] for r in got.collect()) == list(range(1000))
     assert training.parted(df.limit(150)).rdd.getNumPartitions() == 2 and training.parted(df.limit(0)).count() == 0
     assert "Range" not in got._jdf.queryExecution().executedPlan().toString() and got.columns == ["id"]
+
+
+def test_registered_trees_are_fitted_on_parts(spark, small, monkeypatch):
+    from heatlane.plans.queries import models
+
+    seen = []
+    whole = training.parted
+    monkeypatch.setattr(models, "TREES", 2)
+    monkeypatch.setattr(training, "parted", lambda df, *cols: seen.append(cols) or whole(df, *cols))
+    assert models.train_gbt(spark, small).count() > 0 and seen == [("y", "features"), ()]
+    out = models.saved_model_scores(spark, small)
+    assert out.count() == out.where("equal and in_range").count() > 0 and len(seen) == 3
