@@ -3,6 +3,7 @@
 import datetime as dt
 import time
 
+import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
@@ -206,6 +207,20 @@ def test_history_stream_equals_batch(spark, tmp_path):
     assert near(got) == near(batch) and got.count() > 200
 
 
+@pytest.mark.parametrize("groups", [1, 2])
+def test_history_stream_shares_state_between_keys(spark, tmp_path, groups):
+    """Keys of one group don't see each other's rows, and the state store holds no more states than two a group."""
+    got = history_of(spark, tmp_path, groups=groups)
+    batch = windows.history_rates(
+        spark.createDataFrame(starts(), STARTS), "who", "axis", ["ts", "id"], "started", {"won": "won"}, value="st", n=5
+    ).where("who is not null and axis is not null")
+    names = history.feature_names(["won"], True, 5, "")
+    near = lambda df: rows(df.select("id", "who", "axis", *[F.round(c, 9).alias(c) for c in names]))
+    assert near(got) == near(batch)
+    held = spark.read.format("statestore").option("stateVarName", "last").load(str(tmp_path / "run/state"))
+    assert 0 < held.count() <= groups
+
+
 def test_live_starts_get_the_stored_models_score(spark, tmp_path):
     """Features from state, scored by a model read from its folder, equal the batch scores."""
     names = history.feature_names(["won"], True, 5, "")
