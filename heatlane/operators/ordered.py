@@ -22,8 +22,12 @@ import math
 from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heatlane.session import durable
 
@@ -107,18 +111,18 @@ def _by_heat(df, keys, hot: Hot):
     return df.join(names, list(keys), "left_anti"), df.join(names, list(keys), "left_semi")
 
 
-def chunk_count(rows: int, split_rows) -> int:
+def chunk_count(rows: int, split_rows, most: int = SPLIT_ROWS) -> int:
     size = _limits(split_rows)[1]
-    return max(2, math.ceil(rows / max(size, min(SPLIT_ROWS, math.ceil(rows / MAX_CHUNKS)))))
+    return max(2, math.ceil(rows / max(size, min(most, math.ceil(rows / MAX_CHUNKS)))))
 
 
-def chunked(df: DataFrame, keys, order: Sequence[str], rows: int, split_rows) -> DataFrame:
+def chunked(df: DataFrame, keys, order: Sequence[str], rows: int, split_rows, most: int = SPLIT_ROWS) -> DataFrame:
     """Range-partition on (keys, order) and pin the partition number as a column.
 
     The partition number depends on sampled bounds, so the result is written
     once and read back: both users of the chunks then see the same ones.
     """
-    ranged = df.repartitionByRange(chunk_count(rows, split_rows), *[F.col(k) for k in keys], *asc_order(order))
+    ranged = df.repartitionByRange(chunk_count(rows, split_rows, most), *[F.col(k) for k in keys], *asc_order(order))
     return durable(ranged.withColumn(_CHUNK, F.spark_partition_id().cast("long")), "chunks")
 
 
@@ -268,7 +272,96 @@ def quantile_exact(
     )
 
 
-RADIX = 16
+#: Rows of a chunk and buckets of values of a running median.
+MEDIAN_CHUNK, BUCKETS = 1 << 19, 1024
+
+
+def medians_along(x: np.ndarray, base: np.ndarray, skipped: int, total: int) -> np.ndarray:
+    """The median of ``total`` values and the first i of ``x``, for i from 0 to all; NaN where there is none.
+
+    ``base`` holds, in order, those of the values that can be reached, ``skipped`` lie below. From the sorted list of all, the values of
+    ``x`` are taken out again, last one first, and the median moves by at most one place a time.
+    """
+    both = np.concatenate([base, x])
+    order = np.argsort(both, kind="stable")
+    n, count = len(both), total + len(x)
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
+    before, after = [n, *range(n)], [*range(1, n + 1), 0]  # a ring: place n is before the first and after the last
+    at = (count - 1) // 2 - skipped
+    lower, upper = [n] * (len(x) + 1), [n] * (len(x) + 1)
+    for i, out in zip(range(len(x), -1, -1), [*place[len(base) :][::-1].tolist(), None], strict=True):
+        if not count:
+            break
+        lower[i], upper[i] = at, at if count % 2 else after[at]
+        if out is None:
+            break
+        if count % 2:
+            at = at if out < at else before[at]
+        else:
+            at = at if out > at else after[at]
+        left, right = before[out], after[out]
+        after[left], before[right] = right, left
+        count -= 1
+    values = np.append(both[order], np.nan)
+    return (values[lower] + values[upper]) / 2
+
+
+def _reach(rows: int) -> int:
+    """Places by which the median of a set can move, either way, while ``rows`` values join it."""
+    return (rows + 1) // 2 + 2
+
+
+def _values_before(pieces: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """(chunk, ``__v``, ``__c``, ``__skip``, ``__total``): for each chunk whose first key goes on from earlier chunks, those values there,
+    with their counts, that a median within the chunk can reach, the number of values below them and of all.
+
+    While m values join a set, its median moves by at most m / 2 places. Values are counted per chunk and bucket; running
+    totals of these counts over the chunks name the buckets a chunk asks for. Their bounds come from a sample and decide nothing but
+    how many values are sent beyond the reach.
+    """
+    spark, first = pieces.sparkSession, F.struct(*keys)
+    ends = pieces.groupBy(_CHUNK).agg(F.min(first).alias("__first"), F.max(first).alias("__last"))
+    along = Window.orderBy(_CHUNK)  # one row a chunk
+    going = ends.withColumn("__on", F.lag("__last").over(along).eqNullSafe(F.col("__first"))).where("__on")
+    going = durable(going.select(_CHUNK, *[F.col("__first")[k].alias(k) for k in keys]), "going")
+    n = going.count()
+    live = pieces.where(F.col("__v").isNotNull()).join(listed(going.select(*keys).distinct(), n), list(keys), "left_semi")
+    live = live.select(*keys, _CHUNK, "__v")
+
+    sample = np.array([r["__v"] for r in live.sample(min(1.0, 32 * BUCKETS / max(rows, 1)), 42).collect()], dtype=float)
+    sample = sample[np.isfinite(sample)]
+    cuts = np.unique(np.quantile(sample, np.linspace(0, 1, BUCKETS + 1)[1:-1], method="lower")) if len(sample) else np.zeros(1)
+    bucketizer = Bucketizer(splits=[-math.inf, *(cuts + 0.0).tolist(), math.inf], inputCol="__v", outputCol="__bucket", handleInvalid="keep")
+    live = bucketizer.transform(live).withColumn("__bucket", F.col("__bucket").cast("long"))
+    cells = durable(live.groupBy(*keys, _CHUNK, "__bucket").agg(F.count(F.lit(1)).alias("__c")), "cells")
+
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(len(cuts) + 1).cast("long")))
+    asks = going.select(*keys, _CHUNK, every.alias("__bucket"), F.lit(0).cast("long").alias("__c"), F.lit(0).alias("__kind"))
+    both = asks.unionByName(cells.withColumn("__kind", F.lit(1)))
+    earlier = Window.partitionBy(*keys, "__bucket").orderBy(_CHUNK, "__kind").rowsBetween(Window.unboundedPreceding, -1)
+    held = both.withColumn("__c", F.coalesce(F.sum("__c").over(earlier), F.lit(0))).where("__kind = 0").drop("__kind")
+    group = [*keys, _CHUNK]
+    upto = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    held = held.withColumns({"__upto": F.sum("__c").over(upto), "__total": F.sum("__c").over(whole)})
+    sizes = cells.groupBy(*group).agg(F.sum("__c").alias("__m"))
+    held = held.join(listed(sizes, n + going.select(*keys).distinct().count()), group, "left")
+    reach = F.floor((F.coalesce("__m", F.lit(0)) + 1) / 2) + 2
+    half = F.floor(F.col("__total") / 2)
+    skip = F.col("__upto") - F.col("__c")
+    asked = held.where((F.col("__c") > 0) & (F.col("__upto") > half - reach) & (skip <= half + reach))
+    asked = durable(asked.select(*keys, "__bucket", F.col(_CHUNK).alias("__for"), skip.alias("__skip"), "__total"), "asked")
+
+    last = asked.groupBy(*keys, "__bucket").agg(F.max("__for").alias("__until"))
+    n_asked = asked.count()
+    few = live.join(listed(last, n_asked), [*keys, "__bucket"]).where(F.col(_CHUNK) < F.col("__until"))
+    few = durable(few.groupBy(*keys, "__bucket", _CHUNK, "__v").agg(F.count(F.lit(1)).alias("__c")), "few")
+    few = few.repartition(max(1, n, spark.sparkContext.defaultParallelism), *keys, "__v")  # each goes to many chunks
+    sent = few.join(listed(asked.drop("__skip", "__total"), n_asked), [*keys, "__bucket"]).where(F.col(_CHUNK) < F.col("__for"))
+    sent = sent.groupBy(F.col("__for").alias(_CHUNK), "__v").agg(F.sum("__c").alias("__c"))
+    heads = asked.groupBy(F.col("__for").alias(_CHUNK)).agg(F.min("__skip").alias("__skip"), F.max("__total").alias("__total"))
+    return sent.join(listed(heads, n), _CHUNK).select(_CHUNK, "__v", "__c", "__skip", "__total")
 
 
 def median_before(
@@ -283,63 +376,44 @@ def median_before(
     (null when there are none).
 
     Keys of up to ``MEDIAN_ROWS`` rows use Spark's percentile over the growing
-    frame, which is quadratic. For all others the wanted order statistics descend the value ranks digit by digit: at each digit a
-    row asks how many earlier values fall under each of ``RADIX`` branches, which is
-    a :func:`totals_before` per branch node, and follows the branch that holds its
-    statistic. The number of rounds is the number of digits of the largest rank.
+    frame, which is quadratic. The rows of all others are cut to chunks; each gets, of the values of its first key in earlier chunks,
+    those that its medians can reach (about as many as it has rows) and is worked on alone. So rows move a fixed number of times.
     """
     x = F.col(value).cast("double")
-    frame = (Window.unboundedPreceding, -1)
     builders = {name: lambda w: F.percentile(x, F.lit(0.5)).over(w)}
     most, chunk = _limits(split_rows)
     hot = hot_keys(df, keys, (min(most, MEDIAN_ROWS), chunk))
+    frame = (Window.unboundedPreceding, -1)
     if hot.keys is None:
         return _plain(df, keys, order, frame, builders)
-    calm, heavy = _by_heat(df, keys, hot)
-    heavy = durable(heavy, "heavy")
-    ids = [*keys, *order]
-    live = heavy.where(F.col(value).isNotNull()).select(*ids, x.alias("__v"))
-    values = numbered(live.select(*keys, "__v").distinct(), keys, ["__v"], "__node", split_rows)
-    values = durable(values.withColumn("__node", F.col("__node") - 1), "values")
-    members = live.join(values.hint("merge"), [*keys, "__v"]).select(*ids, F.col("__node").alias("__rank"))
-    members = durable(members, "members")
-    top = values.agg(F.max("__node")).first()[0] or 0
-    digits = 1
-    while RADIX**digits <= top:
-        digits += 1
-
-    seen = totals_before(heavy.select(*ids, value), keys, order, {"__n": x.isNotNull().cast("long")}, split_rows)
-    middle = (F.col("__n") - 1) / 2
-    wanted = F.array_distinct(F.array(F.floor(middle), F.ceil(middle)))
-    asks = seen.where("__n > 0").select(*ids, F.explode(wanted).alias("__q"))
-    asks = asks.select("*", F.col("__q").alias("__k"), F.lit(0).cast("long").alias("__node"))
-    for place in range(digits - 1, -1, -1):
-        width = RADIX**place
-        branch = F.floor(F.col("__rank") / F.lit(width))
-        counted = members.select(
-            *ids, F.lit(None).cast("long").alias("__q"), F.lit(None).cast("long").alias("__k"),
-            F.floor(F.col("__rank") / F.lit(width * RADIX)).alias("__node"), (branch % RADIX).alias("__d"),
-            F.lit(1).alias("__kind"),
-        )
-        asking = asks.select("*", F.lit(-1).cast("long").alias("__d"), F.lit(0).alias("__kind"))
-        sums = {f"__c{d}": (F.col("__d") == d).cast("long") for d in range(RADIX)}
-        # at one row the question comes first, so a row never counts itself
-        run = totals_before(
-            asking.unionByName(counted), [*keys, "__node"], [*order, "__kind", "__q"], sums, split_rows
-        ).where("__kind = 0")
-        upto = [F.col("__c0")]
-        for d in range(1, RADIX):
-            upto.append(upto[-1] + F.col(f"__c{d}"))
-        run = run.withColumn("__upto", F.array(*upto))
-        digit = F.size(F.filter("__upto", lambda c: c <= F.col("__k"))).cast("long")
-        run = run.withColumn("__d", digit)
-        skipped = F.when(F.col("__d") > 0, F.get("__upto", (F.col("__d") - 1).cast("int"))).otherwise(0)
-        asks = durable(
-            run.select(
-                *ids, "__q", (F.col("__k") - skipped).alias("__k"), (F.col("__node") * RADIX + F.col("__d")).alias("__node")
-            ),
-            "descent",
-        )
-    found = asks.join(values.hint("merge"), [*keys, "__node"]).groupBy(*ids).agg(F.avg("__v").alias(name))
-    done = heavy.join(found.hint("merge"), ids, "left").select(*df.columns, name)
+    calm, heavy = _by_heat(durable(df, "rows"), keys, hot)
+    pieces = chunked(heavy.withColumn("__v", x), keys, order, hot.rows, (most, min(chunk, MEDIAN_CHUNK)), MEDIAN_CHUNK)
+    in_order = Window.partitionBy(_CHUNK).orderBy(*[F.col(k) for k in keys], *asc_order(order))
+    now = F.struct(*keys)
+    placed = pieces.withColumns({"__new": ~F.lag(now).over(in_order).eqNullSafe(now), "__at": F.row_number().over(in_order)})
+    columns = list(df.columns)
+
+    def run(mine: pa.Table, base: pa.Table) -> pa.Table:
+        mine = mine.sort_by("__at")
+        there = mine["__v"].is_valid().to_numpy()
+        v = mine["__v"].to_numpy()[there]
+        starts = np.flatnonzero(mine["__new"].to_numpy() | (np.arange(mine.num_rows) == 0))
+        seen = np.concatenate([[0], np.cumsum(there)])  # values before each row
+        out, known = np.empty(mine.num_rows), np.empty(mine.num_rows, bool)
+        for a, b in zip(starts, [*starts[1:], mine.num_rows], strict=True):
+            some, kept, skipped, total = v[seen[a] : seen[b]], np.zeros(0), 0, 0
+            if a == 0 and base.num_rows:
+                base = base.take(pa.array(np.argsort(base["__v"].to_numpy(), kind="stable")))
+                total, skipped = base["__total"][0].as_py(), base["__skip"][0].as_py()
+                counts = base["__c"].to_numpy()
+                upto = skipped + np.cumsum(counts)
+                low, high = max(skipped, total // 2 - _reach(len(some))), total // 2 + _reach(len(some)) + 1
+                kept = np.repeat(base["__v"].to_numpy(), np.maximum(np.minimum(upto, high) - np.maximum(upto - counts, low), 0))
+                skipped = low
+            out[a:b] = medians_along(some, kept, skipped, total)[seen[a:b] - seen[a]]
+            known[a:b] = total + seen[a:b] - seen[a] > 0
+        return mine.select(columns).append_column(name, pa.array(out, mask=~known))
+
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
+    done = placed.groupBy(_CHUNK).cogroup(_values_before(pieces, keys, hot.rows).groupBy(_CHUNK)).applyInArrow(run, schema)
     return _plain(calm, keys, order, frame, builders).unionByName(done)

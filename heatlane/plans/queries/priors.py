@@ -570,7 +570,7 @@ def market_shift(spark, sf):
 
 @query("market_shift_hot", MARKET_SQL)
 def market_shift_hot(spark, sf):
-    """Medians by descent over the value ranks."""
+    """Medians by chunks, each with the earlier values in its reach."""
     return shift(spark, sf, split_rows=(10, 4000))
 
 

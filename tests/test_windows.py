@@ -112,6 +112,50 @@ def test_median_before_brute_force(skewed, null_share):
         assert {(r["k"], r["t"]): r["m"] for r in got.where("k in ('hot', 'k1')").collect()} == want
 
 
+def test_medians_along_brute_force():
+    """The median before and after each value, ties and NaN included, given only what can be reached of the values before."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    for n, m, spread in [(0, 0, 3), (0, 9, 3), (1, 1, 3), (500, 11, 4), (500, 11, 10**6), (40, 90, 7)]:
+        held, x = np.sort(rng.integers(0, spread, n) / 7), rng.integers(0, spread, m) / 7
+        if m > 8:
+            x[3] = np.nan
+        low, high = max(0, n // 2 - ordered._reach(m)), n // 2 + ordered._reach(m) + 1
+        got = ordered.medians_along(x, held[low:high], low, n)
+        for i in range(m + 1):
+            some = np.sort(np.concatenate([held, x[:i]]))
+            want = (some[(n + i - 1) // 2] + some[(n + i) // 2]) / 2 if n + i else np.nan
+            assert got[i] == want or np.isnan(got[i]) and np.isnan(want)
+
+
+@pytest.mark.parametrize("spread", [1, 5, 10**9])
+def test_median_before_over_many_chunks(spark, spread):
+    """Several keys over several chunks each, drifting values, ties, nulls and a row of NaN."""
+    rng = random.Random(spread)
+    data = [(i, "ab"[i % 2] if i % 7 else "c", None if i % 13 == 0 else float("nan") if i == 500 else float(i // 40 + rng.randrange(spread))) for i in range(3000)]
+    got = ordered.median_before(spark.createDataFrame(data, "t int, k string, v double"), ["k"], ["t"], "v", "m", (100, 90))
+    found, seen = {r["t"]: r["m"] for r in got.collect()}, {"a": [], "b": [], "c": []}
+    assert len(found) == 3000
+    for t, k, v in data:
+        some = sorted(seen[k], key=lambda x: (x != x, x))
+        n = len(some)
+        assert found[t] == ((some[(n - 1) // 2] + some[n // 2]) / 2 if n else None)
+        if v is not None:
+            seen[k].append(v)
+
+
+def test_running_median_moves_rows_as_often_whatever_the_values(spark, monkeypatch):
+    writes, whole = [], ordered.durable
+    monkeypatch.setattr(ordered, "durable", lambda df, label="stage": writes.append(label) or whole(df, label))
+    for values in (3, 5000):
+        df = spark.range(6000).select(F.lit(1).alias("k"), "id", (F.xxhash64("id") % values).alias("v"))
+        assert ordered.median_before(df, ["k"], ["id"], "v", "m", (1000, 2000)).count() == 6000
+        writes.append("|")
+    few, many = "".join(f"{w} " for w in writes).split("|")[:2]
+    assert few.split() == many.split()
+
+
 def test_hot_partitions_stay_small(spark, skewed):
     pieces = ordered.chunked(skewed.where("k = 'hot'"), ["k"], ["t"], 600, 50)
     largest = pieces.groupBy("__chunk").count().agg(F.max("count")).first()[0]
