@@ -106,7 +106,11 @@ def _plain(df, keys, order, frame, builders) -> DataFrame:
 
 
 def _by_heat(df, keys, hot: Hot):
-    """Split rows into (ordinary, hot)."""
+    """Split rows into (ordinary, hot). If the list has to be shuffled, rows move once for both."""
+    if hot.count > MAX_BROADCAST:
+        marked = df.join(hot.keys.withColumn(_HALO, F.lit(True)).hint("merge"), list(keys), "left").select(*df.columns, _HALO)
+        marked = durable(marked, "heat")
+        return marked.where(F.col(_HALO).isNull()).drop(_HALO), marked.where(_HALO).drop(_HALO)
     names = listed(hot.keys, hot.count)
     return df.join(names, list(keys), "left_anti"), df.join(names, list(keys), "left_semi")
 
@@ -126,6 +130,17 @@ def chunked(df: DataFrame, keys, order: Sequence[str], rows: int, split_rows, mo
     return durable(ranged.withColumn(_CHUNK, F.spark_partition_id().cast("long")), "chunks")
 
 
+def going_on(pieces: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+    """(chunk, keys) of each chunk whose first key has rows in earlier chunks, written, and their number: one a chunk at most, as
+    chunks are ranges of the keys. No other key needs anything from another chunk."""
+    key = F.struct(*keys)
+    ends = pieces.groupBy(_CHUNK).agg(F.min(key).alias("__first"), F.max(key).alias("__last"))
+    earlier = F.lag("__last").over(Window.orderBy(_CHUNK))  # one row a chunk
+    on = ends.withColumn("__on", earlier.eqNullSafe(F.col("__first"))).where("__on")
+    on = durable(on.select(_CHUNK, *[F.col("__first")[k].alias(k) for k in keys]), "going")
+    return on, on.count()
+
+
 def over_previous(
     df: DataFrame,
     keys: Sequence[str],
@@ -197,14 +212,16 @@ def totals_before(
     group = [*keys, _CHUNK]
     w = Window.partitionBy(*group).orderBy(*asc_order(order)).rowsBetween(*before)
     inside = pieces.select("*", *[running(c)(w).alias(n) for n, c in sums.items()])
-    # one row per (hot key, chunk): at most chunks + keys, as the chunks are ranges of the keys
-    per_chunk = pieces.groupBy(*group).agg(*[F.sum(c).alias(f"__t_{n}") for n, c in sums.items()])
+    # only keys of several chunks have offsets: two rows a chunk at most
+    going, n = going_on(pieces, keys)
+    across = pieces.join(listed(going.select(*keys).distinct(), n), list(keys), "left_semi")
+    per_chunk = across.groupBy(*group).agg(*[F.sum(c).alias(f"__t_{n}") for n, c in sums.items()])
     cw = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(*before)
     offsets = per_chunk.select(
         *group, *[F.coalesce(F.sum(f"__t_{n}").over(cw), F.lit(0)).alias(f"__o_{n}") for n in sums]
     )
-    done = inside.join(listed(offsets, chunk_count(hot.rows, split_rows) + hot.count), group)
-    done = done.select(*df.columns, *[(F.col(n) + F.col(f"__o_{n}")).alias(n) for n in sums])
+    done = inside.join(listed(offsets, 2 * n), group, "left")
+    done = done.select(*df.columns, *[(F.col(n) + F.coalesce(f"__o_{n}", F.lit(0))).alias(n) for n in sums])
     plain = _plain(calm, keys, order, before, {n: running(c) for n, c in sums.items()})
     return plain.unionByName(done)
 
@@ -320,12 +337,7 @@ def _values_before(pieces: DataFrame, keys: Sequence[str], rows: int) -> DataFra
     totals of these counts over the chunks name the buckets a chunk asks for. Their bounds come from a sample and decide nothing but
     how many values are sent beyond the reach.
     """
-    spark, first = pieces.sparkSession, F.struct(*keys)
-    ends = pieces.groupBy(_CHUNK).agg(F.min(first).alias("__first"), F.max(first).alias("__last"))
-    along = Window.orderBy(_CHUNK)  # one row a chunk
-    going = ends.withColumn("__on", F.lag("__last").over(along).eqNullSafe(F.col("__first"))).where("__on")
-    going = durable(going.select(_CHUNK, *[F.col("__first")[k].alias(k) for k in keys]), "going")
-    n = going.count()
+    spark, (going, n) = pieces.sparkSession, going_on(pieces, keys)
     live = pieces.where(F.col("__v").isNotNull()).join(listed(going.select(*keys).distinct(), n), list(keys), "left_semi")
     live = live.select(*keys, _CHUNK, "__v")
 

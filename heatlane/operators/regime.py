@@ -35,6 +35,11 @@ def _observed(races: DataFrame, keys, order, ranks, flag, split_rows) -> DataFra
     return totals_before(races, keys, order, sums, split_rows)
 
 
+def _needed(races: DataFrame, venue: str, day: str, order, ranks, flag, keep) -> DataFrame:
+    """The columns that move with a race; bases, one row a venue, join it once its totals are there."""
+    return races.select(*dict.fromkeys([*keep, venue, day, *order, *ranks, *([flag] if flag else [])]))
+
+
 def running_posterior(
     races: DataFrame, prior: DataFrame, venue: str, day: str, order: Sequence[str], ranks: Sequence[str],
     valid: str | None = None, strength: float = 20.0, keep: Sequence[str] = (), split_rows: int = SPLIT_ROWS,
@@ -46,8 +51,8 @@ def running_posterior(
     without a prior are skipped; invalid races are reported and do not count.
     """
     base = prior.select(venue, *[f"base_{kind}_{k}" for kind in KINDS for k in LANES])
-    known = lookup_join(races, base.withColumn("__known", F.lit(True)), [venue]).where(F.col("__known"))
-    seen = _observed(known.drop("__known"), [venue, day], order, ranks, valid, split_rows)
+    known = lookup_join(_needed(races, venue, day, order, ranks, valid, keep), base.select(venue, F.lit(True).alias("__known")), [venue]).where("__known")
+    seen = lookup_join(_observed(known.drop("__known"), [venue, day], order, ranks, valid, split_rows), base, [venue])
     k_races = F.lit(float(strength))
     out = {}
     for kind, depth in KINDS.items():
@@ -84,9 +89,9 @@ def share_posterior(
     wide = shares.groupBy(venue).agg(
         *[F.max(F.when(F.col("lane") == k, F.col("share"))).alias(f"base_share_{k}") for k in LANES]
     )
-    live = races.where(valid_result(ranks, valid))
-    known = lookup_join(live, wide, [venue]).where(F.col("base_share_1").isNotNull())
-    seen = _observed(known, [venue, day], order, ranks, valid, split_rows)
+    live = _needed(races.where(valid_result(ranks, valid)), venue, day, order, ranks, valid, keep)
+    known = lookup_join(live, wide.select(venue, "base_share_1"), [venue]).where(F.col("base_share_1").isNotNull()).drop("base_share_1")
+    seen = lookup_join(_observed(known, [venue, day], order, ranks, valid, split_rows), wide, [venue])
     cols = {
         f"p_post_{k}": (F.lit(float(strength)) * F.col(f"base_share_{k}") + F.col(f"__top3_{k}"))
         / (F.lit(float(strength)) + 3 * F.col("__seen"))

@@ -82,6 +82,19 @@ def test_totals_before_hot_equals_plain(skewed):
     assert rows(plain, "k", "t", "a", "n") == rows(hot, "k", "t", "a", "n")
 
 
+def test_totals_over_chunks_shuffle_no_row_for_offsets(spark, monkeypatch):
+    """Many hot keys: rows are marked in one pass, and offsets of the few keys of several chunks are broadcast."""
+    monkeypatch.setattr(ordered, "MAX_BROADCAST", 40)
+    writes, whole = {}, ordered.durable
+    monkeypatch.setattr(ordered, "durable", lambda df, label="stage": writes.setdefault(label, whole(df, label)))
+    df = spark.range(3000).select("id", F.when(F.col("id") % 101 > 0, F.floor(F.col("id") / 30)).alias("k"))
+    got = ordered.totals_before(df, ["k"], ["id"], {"n": F.lit(1).cast("long"), "s": F.col("id")}, (10, 200))
+    assert writes["heat"].count() == 3000 and 0 < writes["going"].count() <= 15
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    plain = ordered.totals_before(df, ["k"], ["id"], {"n": F.lit(1).cast("long"), "s": F.col("id")})
+    assert rows(got) == rows(plain)
+
+
 def test_numbered_is_dense(skewed):
     got = [r["i"] for r in ordered.numbered(skewed, [], ["t"], "i", split_rows=60).orderBy("t").collect()]
     assert got == list(range(1, 1001))
