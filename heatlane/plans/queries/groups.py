@@ -11,6 +11,7 @@ from heatlane.operators import filters, quality, sets
 from heatlane.plans import lenses
 from heatlane.plans.lenses import table
 from heatlane.plans.registry import lens, query, r, rounded
+from heatlane.session import durable
 from heatlane.sources import files
 from heatlane.streaming.live import guard_races
 
@@ -54,9 +55,9 @@ select race_id, string_agg(distinct reason, ' / ' order by reason) as reason fro
 def exclusion_report(spark, sf):
     """Reasons of this run merged with an older list."""
     b = ranked(spark, sf)
-    new = filters.group_reasons(b, "race_id", rules()).withColumnRenamed("rule_key", "reason")
-    twice = new.groupBy("race_id").agg(F.collect_set("reason").alias("s"))
-    old = twice.where(F.array_contains("s", "rank_nonnumeric") & F.array_contains("s", "weather_missing_any"))
+    new = durable(filters.group_reasons(b, "race_id", rules()).withColumnRenamed("rule_key", "reason"), "reasons")
+    both = [F.bool_or(F.col("reason") == name) for name in ("rank_nonnumeric", "weather_missing_any")]
+    old = new.groupBy("race_id").agg((both[0] & both[1]).alias("both")).where("both")
     return quality.exclusion_report(new, old.select("race_id", F.lit("rank_nonnumeric").alias("reason")))
 
 

@@ -275,3 +275,13 @@ def test_tickets_are_ranked_inside_the_row_of_a_race(spark):
     for rank in (tickets.rank_tickets, tickets.rank_exactas):
         plan = rank(df, "race", "lane", "p")._jdf.queryExecution().executedPlan().toString()
         assert "SortAggregate" not in plan and "Window" not in plan and plan.count("Exchange") == 1
+
+
+def test_exclusion_report_query_reads_its_reasons_once(spark, small):
+    """New reasons and the older list come from one written table; races are not put together again for each."""
+    from heatlane.plans.queries import groups
+
+    out = groups.exclusion_report(spark, small)
+    assert all("/reasons-" in path for path in out.inputFiles()) and len(out.inputFiles()) > 0
+    found = {r["reason"] for r in out.collect()}
+    assert "rank_nonnumeric / weather_missing_any" in found and all(list(x.split(" / ")) == sorted(set(x.split(" / "))) for x in found)
