@@ -20,7 +20,7 @@ WORDS, LEAST = 5, (8, 10)
 BANDS, ROWS = 24, 4
 #: Members of buckets that still hold several groups are dealt anew, level by level, to parts of their bucket: (parts for each
 #: membership, further min-hashes that a part's members share). Where at most FEW members are outside the largest
-#: group of a bucket, each of them is compared with all.
+#: group of a bucket, each of them is compared with all. What the levels leave apart is compared by rare shingles.
 LEVELS, FEW = ((1, 2), (3, 3), (3, 3)), 6
 #: Shingle hashes whose bits are counted at once.
 _SLICE = 1 << 15
@@ -241,8 +241,9 @@ def similar_rows(
     are those that share a bucket of min-hashes, as 64 bits tell only the closest texts; no
     link is made before their sets of shingles were compared. Each member of a bucket is compared with one of them, another
     one in each bucket; where at most ``FEW`` members are then outside the largest group of a bucket, they are compared with all others. Members of
-    buckets with more are dealt to parts of the bucket by further min-hashes, and again, at most once per entry of ``LEVELS``. So
-    comparisons grow with the members, not with their square. Texts without words are alike.
+    buckets with more are dealt to parts of the bucket by further min-hashes, and again, at most once per entry of ``LEVELS``: that joins most
+    groups by comparisons in proportion to the members. Members of these buckets that are in different groups even then are compared
+    wherever the rarest shingles of two allow the similarity, so no pair of a bucket is left out. Texts without words are alike.
     """
     marked = durable(_signed(rows, shingle, seed), "signed")
     nodes = durable(marked.groupBy("key").agg(F.min("row").alias("node"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("buckets").alias("buckets")), "nodes")
@@ -254,9 +255,10 @@ def similar_rows(
     tried = durable(close.unionByName(_with_first(members, least)).distinct(), "tried")
     edges = durable(_verified(tried, sets, least), "similar")
     roots = components(edges)
-    bands = BANDS
+    bands, split = BANDS, None
     for level, (parts, shared) in enumerate((*LEVELS, (0, 0)), 1):
         few, many = _split(members, roots)
+        split = many if split is None else split
         pairs = _with_all(few, least)
         if more_to_deal := parts > 0 and not many.isEmpty():
             members = durable(_first_of(_dealt(many, sets, seed + level, bands, parts, shared)), "members")
@@ -267,9 +269,13 @@ def similar_rows(
         if not more.isEmpty():
             edges = edges.unionByName(more)
             roots = components(edges)
+        tried = tried.unionByName(pairs)
         if not more_to_deal:
             break
-        tried = tried.unionByName(pairs)
+    apart = _apart(split, roots)
+    if not apart.isEmpty():
+        pairs = durable(_by_rare_shingles(apart, sets, least).join(tried, ["a", "b"], "left_anti"), "pairs")
+        roots = components(edges.unionByName(durable(_verified(pairs, sets, least), "similar")))
     of_key = nodes.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
     return marked.select("row", "doc_id", "key").join(durable(of_key, "roots"), "key").select("row", "doc_id", "root")
 
@@ -327,6 +333,52 @@ def _split(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     return still.filter(F.col("outside") <= FEW), still.filter(F.col("outside") > FEW)
 
 
+def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``node`` and ``root`` of the members of buckets that hold different groups now."""
+    now = members.select("v", "node").join(roots, "node", "left").select("v", "node", F.coalesce("root", "node").alias("root"))
+    now = durable(now, "members")
+    met = now.groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(F.col("low") < F.col("high"))
+    return durable(now.join(durable(met.select("v"), "split"), "v").select("node", "root").distinct(), "apart")
+
+
+def _by_rare_shingles(apart: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """All pairs (a, b), a > b, of nodes of different groups that can reach the similarity ``least``.
+
+    Shingles have one order: those of a single group first, then by the number of their nodes. Of two similar sets, each must hold a common
+    one among its first: as many as may be missing in the other, and one. The sum of those they have in common there and of all that
+    follow must reach what the similarity asks for. So a pair is compared only if it shares shingles that few others have.
+    """
+    num, den = least
+
+    def each(batches):
+        for batch in batches:
+            found = [np.frombuffer(x.as_buffer(), dtype="<i8") for x in batch.column(2)]
+            sizes = [len(x) for x in found]
+            made = [np.repeat(batch.column(c).to_numpy(), sizes) for c in (0, 1)] + [np.repeat(sizes, sizes), np.concatenate(found)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in made], ["node", "root", "n", "s"])
+
+    every = sets.join(apart, "node").select("node", "root", "shingles").mapInArrow(each, "node long, root long, n long, s long")
+    every = durable(every, "every")
+    held = every.groupBy("s").agg(F.count(F.lit(1)).alias("f"), F.min("root").alias("low"), F.max("root").alias("high"))
+    held = durable(held.filter(F.col("low") < F.col("high")).select("s", "f"), "held")
+    first = F.col("n") - F.ceil(F.col("n") * num / den) + 1
+    common = every.join(held, "s")
+    seen = common.groupBy("node").agg(F.first("root").alias("root"), F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("f", "s"))).alias("order"))
+    # those of one group come before all others: they take places, but meet nobody
+    alone = (F.col("n") - F.size("order")).cast("int")
+    asked = seen.withColumn("alone", alone).withColumn("first", first).filter(F.col("first") > F.col("alone"))
+    asked = asked.select("node", "root", "n", "first", "alone", F.posexplode(F.slice("order", F.lit(1), (F.col("first") - F.col("alone")).cast("int"))).alias("at", "o"))
+    asked = durable(asked.select("node", "root", "n", "first", (F.col("alone") + F.col("at")).alias("at"), F.col("o.s").alias("s")), "rare")
+    one, two = (asked.select("s", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "n", "first", "at")]) for x in "ab")
+    fits, pair = _pair(F.col("n_a"), F.col("n_b"), F.col("node_a"), F.col("node_b"), least)
+    met = one.join(two, "s").filter((F.col("node_a") > F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & fits)
+    rest = F.greatest(F.max(F.col("n_a") - F.col("first_a")), F.max(F.col("n_b") - F.col("first_b")))
+    behind = F.least(F.max(F.col("n_a") - F.col("at_a")), F.max(F.col("n_b") - F.col("at_b")))
+    need = (F.max(F.col("n_a") + F.col("n_b"))) * num
+    bound = F.least(F.count(F.lit(1)) + rest, behind) * (num + den)
+    return met.groupBy(*pair).agg(bound.alias("bound"), need.alias("need")).filter(F.col("bound") >= F.col("need")).select("a", "b")
+
+
 def _dealt(members: DataFrame, sets: DataFrame, seed: int, bands: int, parts: int, shared: int) -> DataFrame:
     """Each membership in ``parts`` parts of its bucket, one of ``bands`` of its node; the members of a part have ``shared`` further
     min-hashes in common. Every band has min-hashes of its own, so a node has one row for each part, not one for each band there is."""

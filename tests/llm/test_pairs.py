@@ -362,3 +362,25 @@ def test_near_dedup_stage_asks_fingerprints_and_deals_by_membership(spark, monke
     monkeypatch.setattr(near_dedup, "_dealt", dealt)
     df = spark.createDataFrame(families(8, 60), "doc_id long, text string").repartition(4)
     assert near_dedup.stage(spark, df, "").count() <= 8 and len(asked) == 1 and all(right)
+
+
+def pairs_of_one_template(n, seed=9):
+    """Pages of one template, two by two: mates reach 0.8, all others share buckets but stay apart."""
+    rng = np.random.default_rng(seed)
+    page, rows = [f"t{i}" for i in range(200)], []
+    for k in range(n):
+        words = list(page)
+        for mate in range(2):
+            for place in rng.choice(200, 3 if mate else 4, replace=False):
+                words[place] = f"p{k}m{mate}x{place}"
+            rows.append((len(rows), " ".join(words)))
+    return rows
+
+
+def test_near_dedup_stage_compares_what_levels_leave_apart(spark, monkeypatch):
+    """No pair of a bucket with many groups is left out, however often it was dealt."""
+    monkeypatch.setattr(near_dedup, "LEVELS", ())
+    rows = pairs_of_one_template(300)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = {i for (i, _), least in zip(rows, plain_similar(rows), strict=True) if i == least}
+    assert {r.doc_id for r in near_dedup.stage(spark, df, "").collect()} == want and 250 < len(want) < 350
