@@ -122,7 +122,7 @@ TIE = ["line", "part", "supp"]
 
 def _ready(spark, sf):
     s = lenses.scored(spark, sf).withColumnRenamed("part", "item")
-    s = windows.split_by_first_seen(s, "race_id", ["ts"])
+    s = durable(windows.split_by_first_seen(s, "race_id", ["ts"]), "split")
     prepared = preprocess.fit(s.where(F.col("part") == "train"), INPUTS)
     return prepared, prepared.vector(s)
 

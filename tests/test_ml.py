@@ -273,3 +273,33 @@ def test_registered_trees_are_fitted_on_parts(spark, small, monkeypatch):
     assert models.train_gbt(spark, small).count() > 0 and seen == [("y", "features"), ()]
     out = models.saved_model_scores(spark, small)
     assert out.count() == out.where("equal and in_range").count() > 0 and len(seen) == 3
+
+
+def test_boosted_trees_of_merged_rows_are_those_of_spark(spark, monkeypatch):
+    """The same trees, importances and probabilities, from a few jobs instead of some three a tree."""
+    import numpy as np
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    from heatlane.ml import merged
+
+    rng = np.random.default_rng(4)
+    x = np.round(np.column_stack([rng.normal(size=3000) * 3, rng.integers(0, 9, 3000), rng.random(3000) * 50, np.ones(3000)]))
+    y = (x[:, 0] + x[:, 1] + rng.normal(size=3000) * 4 > 5).astype(int)
+    df = spark.createDataFrame([(int(b), [float(v) for v in a]) for a, b in zip(x, y, strict=True)], "y int, x array<double>")
+    df = df.select("y", array_to_vector("x").alias("features")).repartition(3)
+    est = training.boosted_trees({"n_estimators": 12, "num_leaves": 15, "learning_rate": 0.2, "min_child_samples": 5})
+    spark.sparkContext.setJobGroup("merged", "one fit")
+    model = est.fit(df)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("merged"))
+    spark.sparkContext.setJobGroup("other", "the rest")
+    spark_model = GBTClassifier._fit(est, df) if not isinstance(est, merged.MergedGBTClassifier) else super(merged.MergedGBTClassifier, est)._fit(df)
+    a, b = ([r.p for r in training.score(m, df, "p").orderBy("features", "y").collect()] for m in (model, spark_model))
+    assert np.allclose(a, b, rtol=1e-12) and len(set(a)) > 50
+    assert np.allclose(model.featureImportances.toArray(), spark_model.featureImportances.toArray(), rtol=1e-9)
+    assert [t.numNodes for t in model.trees] == [t.numNodes for t in spark_model.trees] and model.treeWeights == spark_model.treeWeights
+    assert jobs < 24
+    monkeypatch.setattr(merged, "_Grid", merged._Listed)
+    assert np.allclose(a, [r.p for r in training.score(est.fit(df), df, "p").orderBy("features", "y").collect()], rtol=1e-12)
+    monkeypatch.setattr(merged, "MOST_CELLS", 0)  # Spark's own fit
+    assert est.fit(df).getNumTrees == 12
